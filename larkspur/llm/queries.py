@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larkspur.llm import lines, mixing, packing, shards
+from larkspur.llm import chat, chunks, jaccard, lines, mixing, packing, shards, substrings
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -21,6 +22,15 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), n=5, percent=80)
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs, window=50).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op4_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -30,6 +40,18 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(text).alias("text"))
+    record = F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"})
+    return chat.read_back(chat.format_records(rows.unionByName(more), "conv_id", "turn", record))
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.edited_pairs(table(spark, sf_dir, "documents"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
@@ -38,9 +60,46 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-OP6_SQL = r"""
+_LOWER_AZ = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+OP1_SQL = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, {_WORDS.format(_LOWER_AZ.format("coalesce(text, '')"))} AS l FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(g, ' ') AS s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(l) = 0 THEN [] WHEN len(l) < 5 THEN [l]
+                               ELSE list_transform(range(1, len(l) - 3), lambda i: l[i:i + 4]) END) AS g FROM words)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * i >= 80 * (p.n + q.n - i)
+), edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, c) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT e.y, r.c FROM reach r JOIN edges e ON e.x = r.doc_id
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(c) AS c FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
+OP3_SQL = f"""
+WITH docs AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS l FROM documents),
+words AS (
+  SELECT doc_id, i, l[i] AS word, CASE WHEN i + 49 <= len(l) THEN md5(array_to_string(l[i:i + 49], ' ')) END AS k
+  FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM docs)
+), firsts AS (SELECT k, min(doc_id) AS m FROM words WHERE k IS NOT NULL GROUP BY k),
+covered AS (
+  SELECT doc_id, i, word, max(coalesce(m < doc_id, false)::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS c
+  FROM words LEFT JOIN firsts USING (k)
+)
+SELECT d.doc_id, len(d.l)::BIGINT AS n_words, coalesce(r.gone, 0)::BIGINT AS n_removed, sha256(coalesce(r.kept, '')) AS kept_sha256
+FROM docs d LEFT JOIN (SELECT doc_id, sum(c) AS gone, string_agg(word, ' ' ORDER BY i) FILTER (c = 0) AS kept FROM covered GROUP BY doc_id) r USING (doc_id)
+"""
+
+OP6_SQL = f"""
 WITH lines AS (
-  SELECT doc_id, i, line, lower_az(trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')) AS key
+  SELECT doc_id, i, line, {_LOWER_AZ.format("trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')")} AS key
   FROM (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS i
         FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))
 ), repeated AS (
@@ -50,16 +109,38 @@ SELECT doc_id, count(*)::BIGINT AS n_lines,
        count(*) FILTER (keep_in IS NOT NULL AND doc_id > keep_in)::BIGINT AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (keep_in IS NULL OR doc_id = keep_in), '')) AS kept_sha256
 FROM lines LEFT JOIN repeated USING (key) GROUP BY doc_id
-""".replace(
-    "lower_az(trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '))",
-    "translate(trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')",
+"""
+
+_ESCAPE = r"regexp_replace(replace({}, '\', '\\'), '" + chat.CONTROL + r"', '\1\\\2', 'g')"
+_MARKS = len(chat.TURN + chat.TEXT + chat.DONE)
+
+OP7_SQL = f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
 )
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum({_MARKS} + length({_ESCAPE.format("role")}) + length({_ESCAPE.format("text")}))::BIGINT AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_interleave": op4_interleave,
     "op6_line_dedup": op6_line_dedup,
+    "op7_chat_format": op7_chat_format,
+    "op8_fingerprints": op8_fingerprints,
     "op9_mixing": op9_mixing,
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_line_dedup": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_ngram_jaccard": OP1_SQL,
+    "op3_substring_dedup": OP3_SQL,
+    "op6_line_dedup": OP6_SQL,
+    "op7_chat_format": OP7_SQL,
+}
