@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import chat, chunks, jaccard, lines, mixing, packing, shards, substrings
+from larkspur.llm import chat, chunks, jaccard, lines, mixing, packing, shards, substrings, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -35,6 +35,13 @@ def op4_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_documents(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("tox_score").alias("score"), (F.col("tox_score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
@@ -131,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_interleave": op4_interleave,
+    "op5_toxicity": op5_toxicity,
     "op6_line_dedup": op6_line_dedup,
     "op7_chat_format": op7_chat_format,
     "op8_fingerprints": op8_fingerprints,
