@@ -80,8 +80,8 @@ def arrow_rows(spark: SparkSession, rows: int):
         spark.conf.set(key, before)
 
 
-def slices_for(rows: int, per_slice: int = 20_000) -> int:
-    """A power of two with about ``per_slice`` rows in a slice."""
+def slices_for(rows: int, per_slice: int = 2_000) -> int:
+    """A power of two of slices with about ``per_slice`` rows in each."""
     n = 1
     while n * per_slice < rows:
         n *= 2
