@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import chat, chunks, jaccard, lines, mixing, packing, shards, substrings, toxicity
+from larkspur.llm import chat, chunks, jaccard, lines, mixing, neighbours, packing, shards, substrings, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -26,6 +26,11 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), n=5, percent=80)
 
 
+def op2_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0").select("vec_id"), k=20)
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substrings.remove_repeats(docs, window=50).select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -136,6 +141,7 @@ FROM rows GROUP BY conv_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_nn_descent": op2_nn_descent,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_interleave": op4_interleave,
     "op5_toxicity": op5_toxicity,
