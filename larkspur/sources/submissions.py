@@ -56,7 +56,7 @@ def parse_vqa(texts: DataFrame) -> DataFrame:
 
 def read_csv(spark: SparkSession, path: str, ddl: str, limit: int | None = None, order: str | None = None) -> DataFrame:
     """CSV with header; a row cap needs an order to be deterministic."""
-    df = spark.read.csv(path, header=True, schema=ddl, mode="FAILFAST", multiLine=True, escape='"')
+    df = spark.read.csv(path, header=True, schema=ddl, mode="FAILFAST", escape='"')
     return df if limit is None else df.orderBy(order or df.columns[0]).limit(limit)
 
 
