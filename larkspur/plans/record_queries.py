@@ -240,10 +240,10 @@ def _l2(spark, d):
     return vectors(spark, d).select("vec_id", F.round(V.norm(V.normalised(F.transform("embedding", lambda e: e * 3))), 6).alias("norm"))
 
 
-@add("mean_similarity", f"SELECT round(avg(greatest(100 * list_cosine_similarity(x, y), 0)), 7) AS clip, round((avg(greatest(100 * list_cosine_similarity(x, y), 0)) + avg(list_dot_product(x, y))) / 2, 7) AS mean FROM {PAIR}")
+@add("mean_similarity", f"SELECT round(avg(greatest(100 * list_cosine_similarity(x, y), 0)), 7) AS score, round((avg(greatest(100 * list_cosine_similarity(x, y), 0)) + avg(list_dot_product(x, y))) / 2, 7) AS mean FROM {PAIR}")
 def _mean(spark, d):
     p = _neighbour_pairs(spark, d).select(V.similarity_score(F.col("x"), F.col("y")).alias("s"), V.dot(F.col("x"), F.col("y")).alias("d"))
-    return p.agg(F.round(F.avg("s"), 7).alias("clip"), F.round((F.avg("s") + F.avg("d")) / 2, 7).alias("mean"))
+    return p.agg(F.round(F.avg("s"), 7).alias("score"), F.round((F.avg("s") + F.avg("d")) / 2, 7).alias("mean"))
 
 
 @add("random_baseline", "SELECT k, k / (SELECT count(*) FROM embeddings) AS expected FROM (SELECT unnest([5, 10, 50, 100])::BIGINT AS k)")

@@ -44,7 +44,7 @@ doc_text("or_blank", lambda: X.or_blank(F.when(F.col("lang") == "en", F.col("sou
 doc_text("word_count", lambda: X.word_count(T()), "len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> ''))")
 doc_text("normalise_spaces", lambda: F.md5(X.normalise_spaces(T()).cast("binary")), "md5(lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))))")
 doc_text("question_bucket", lambda: X.question_bucket(F.element_at(F.array(*[F.lit(x) for x in ("free_response", "multiple_choice", "report_generation", "conversation", "other")]), (F.col("n_chars") % 5 + 1).cast("int"))), "(['Long answer', 'Multiple choice', 'Report generation', 'Long answer', 'Short answer'])[n_chars % 5 + 1]")
-doc_text("metric_from_log", lambda: X.metric_from_log(F.when(F.col("n_chars") % 3 == 0, F.concat(F.lit("log CLIPScore : "), (F.col("n_chars") / 8).cast("string"), F.lit("e0 done"))).otherwise("none"), "CLIPScore"), "CASE WHEN n_chars % 3 = 0 THEN n_chars / 8 END")
+doc_text("metric_from_log", lambda: X.metric_from_log(F.when(F.col("n_chars") % 3 == 0, F.concat(F.lit("log Similarity : "), (F.col("n_chars") / 8).cast("string"), F.lit("e0 done"))).otherwise("none"), "Similarity"), "CASE WHEN n_chars % 3 = 0 THEN n_chars / 8 END")
 doc_text("dimensions_from_text", lambda: F.aggregate(X.dimensions(F.concat_ws("x", (F.col("n_chars") % 7 + 1).cast("string"), F.lit("0.5"), F.lit("2"))), F.lit(1.0), lambda a, b: a * b), "(n_chars % 7 + 1)::DOUBLE")
 doc_text("truth_from_text", lambda: X.truth(F.when(F.col("lang") == "en", "True").otherwise("False")), "lang = 'en'")
 doc_text("first_of_list_text", lambda: X.first_of_list_text(F.concat(F.lit("["), (F.col("n_chars") / 4).cast("string"), F.lit(", 0.7]"))), "n_chars / 4")
