@@ -1,7 +1,8 @@
 """Near duplicates by n-gram Jaccard similarity on a count-vector R-tree.
 
 A document's set holds its distinct ``n``-word shingles (64-bit hashes). Shingles hash into
-``GROUPS`` groups and a set becomes the point of its group counts. Two sets share at most
+groups, about as many as the set has members, and a set becomes the point of its group
+counts; a point with twice as many groups folds onto one with fewer. Two sets share at most
 ``sum(min(a_g, b_g))`` shingles, and a set and any set under a tree node at most
 ``sum(min(a_g, hi_g))`` of the node's box, so the tree leaves out boxes and pairs whose
 bound is below what similarity needs; pairs that survive are verified on the sets.
@@ -24,6 +25,8 @@ so components are exact.
 
 from __future__ import annotations
 
+import itertools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,10 +38,13 @@ from larkspur.llm.graphs import connected_components
 from larkspur.llm.spark_util import arrow_rows, drop_table, stage_table
 from larkspur.llm.text_arrays import _CODES, U, as_long, mix, sequence_hashes, text_slices, word_hashes
 
-GROUPS = 64
+#: Fewest and most groups of a point.
+GROUPS, MOST_GROUPS = 64, 4_096
 #: Shingles held by the most documents that the order knows; bounds what the driver gathers (1 MB).
 FREQUENT = 65_536
 TILE = 2_048
+SAME = 256
+MOST_BITS = 1 << 25
 _NODE = 16
 
 
@@ -63,15 +69,37 @@ def needed(total: np.ndarray | int, percent: int) -> np.ndarray | int:
     return -(-percent * total // (100 + percent))
 
 
+def groups_for(n: int) -> int:
+    """Groups of a set of ``n``: the next power of two, within bounds."""
+    return min(MOST_GROUPS, max(GROUPS, 1 << (max(n, 1) - 1).bit_length()))
+
+
 def group_counts(hashes: np.ndarray) -> np.ndarray:
-    return np.bincount((hashes >> U(40)).astype(np.int64) % GROUPS, minlength=GROUPS).astype(np.int32)
+    g = groups_for(len(hashes))
+    return np.bincount((hashes >> U(40)).astype(np.int64) & (g - 1), minlength=g).astype(np.uint16)
+
+
+def pack_counts(counts: np.ndarray) -> bytes:
+    return zlib.compress(counts.astype("<u2").tobytes(), 1)
+
+
+def unpack_counts(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), "<u2")
+
+
+def fold(counts: np.ndarray, groups: int) -> np.ndarray:
+    """The counts over fewer groups; works on the last axis."""
+    while counts.shape[-1] > groups:
+        half = counts.shape[-1] // 2
+        counts = counts[..., :half] + counts[..., half:]
+    return counts
 
 
 class CountVectorTree:
-    """An R-tree over count vectors, packed by set size and total counts of halves, with boxes of ``_NODE`` children."""
+    """An R-tree over count vectors, packed by set size and the count of half the groups, with boxes of ``_NODE`` children."""
 
     def __init__(self, vectors: np.ndarray, sizes: np.ndarray) -> None:
-        half = vectors[:, : GROUPS // 2].sum(axis=1)
+        half = vectors[:, : vectors.shape[1] // 2].sum(axis=1)
         self.order = np.lexsort((half, sizes))
         self.points, self.sizes = vectors[self.order], sizes[self.order]
         self.levels = []
@@ -88,17 +116,40 @@ class CountVectorTree:
             hi, small, large = self.levels[depth]
             fits = (small[at] * percent <= size * 100) & (large[at] * 100 >= size * percent)
             at = at[fits]
-            bound = np.minimum(hi[at], vector).sum(axis=1)
+            bound = np.minimum(hi[at], vector).sum(axis=1, dtype=np.int64)
             at = at[bound >= needed(size + np.maximum(small[at], -(-size * percent // 100)), percent)]
             width = len(self.levels[depth - 1][0]) if depth else len(self.points)
             at = (at[:, None] * _NODE + np.arange(_NODE)).ravel()
             at = at[at < width]
         near = (self.sizes[at] * percent <= size * 100) & (self.sizes[at] * 100 >= size * percent)
         at = at[near]
-        bound = np.minimum(self.points[at], vector).sum(axis=1)
+        bound = np.minimum(self.points[at], vector).sum(axis=1, dtype=np.int64)
         return self.order[at[bound >= needed(size + self.sizes[at], percent)]]
 
 
+def near_points(vectors: list[np.ndarray], sizes: np.ndarray, own: np.ndarray, others: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(q, positions of ``own`` that may be similar) for each q of ``others``. Points are indexed by their number of
+    groups; similar sets differ by one doubling at most, and the finer point is folded."""
+    groups = np.array([len(v) for v in vectors])
+    trees: dict[tuple[int, int], tuple[np.ndarray, CountVectorTree]] = {}
+
+    def tree(g: int, to: int) -> tuple[np.ndarray, CountVectorTree] | None:
+        if (g, to) not in trees:
+            rows = own[groups[own] == g]
+            if not len(rows):
+                return None
+            trees[g, to] = rows, CountVectorTree(fold(np.stack([vectors[i] for i in rows]), to), sizes[rows])
+        return trees[g, to]
+
+    for q in others.tolist():
+        g = len(vectors[q])
+        for other in (g // 2, g, 2 * g):
+            found = tree(other, min(g, other))
+            if found:
+                rows, index = found
+                yield q, rows[index.search(fold(vectors[q], min(g, other)), int(sizes[q]), percent)]
+
+
 def frequent_shingles(docs: DataFrame, n: int) -> np.ndarray:
     """Up to ``FREQUENT`` shingles that most documents hold, sorted by count. Only the order of shingles depends on
     them, never which links exist; a shingle counts where a task sees it in at least three documents."""
@@ -152,7 +203,7 @@ def signatures(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> D
                     routes.append(as_long(rare[:take]))
                 else:
                     routes.append(as_long(own[:take]))
-                points.append(group_counts(own).astype("<i4").tobytes() if m else b"")
+                points.append(pack_counts(group_counts(own)) if m else b"")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(routes, pa.list_(pa.int64())), pa.array(points, pa.binary())], names
             )
@@ -161,26 +212,49 @@ def signatures(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> D
 
 
 def shared_routes(routes: DataFrame) -> DataFrame:
-    """Rows (tree, rep) of trees with two points at least. Runs of equal trees are told apart as sorted rows stream by."""
+    """Rows (tree, rep) of trees with two points at least. Near copies share many routes and so make many trees of the
+    same points: a tree of at most ``SAME`` points is named by a hash of its points, which leaves one of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree_, rep_, told = None, None, True  # the last row so far, and whether it has been passed on
-        for batch in batches:
-            tree, rep = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        tree_, held = None, np.zeros(0, np.int64)  # the last tree so far with the points that are not yet passed on
+        large = False  # has it more than SAME points?
+        seen: set[int] = set()
+        for batch in itertools.chain(batches, [None]):
+            if batch is None:
+                tree = np.full(len(held), tree_ if tree_ is not None else 0)
+                rep = held
+            else:
+                if not batch.num_rows:
+                    continue
+                tree = np.concatenate([np.full(len(held), tree_ if tree_ is not None else 0, np.int64), batch.column(0).to_numpy()])
+                rep = np.concatenate([held, batch.column(1).to_numpy()])
             if not len(tree):
                 continue
-            same = tree[1:] == tree[:-1]
-            keep = np.append(same, False) | np.append(False, same)
-            joins = tree_ is not None and tree_ == tree[0]
-            if joins:
-                keep[0] = True
-            extra = [(tree_, rep_)] if joins and not told else []
-            t = np.concatenate([[x[0] for x in extra], tree[keep]]).astype(np.int64)
-            r = np.concatenate([[x[1] for x in extra], rep[keep]]).astype(np.int64)
-            tree_, rep_, told = tree[-1], rep[-1], bool(keep[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(r)], ["tree", "rep"])
-
-    return routes.repartition("tree").sortWithinPartitions("tree").mapInArrow(run, "tree long, rep long")
+            begin = np.flatnonzero(np.append(True, tree[1:] != tree[:-1]))
+            size = np.diff(np.append(begin, len(tree)))
+            continued = large and tree[0] == tree_
+            named = np.add.reduceat(mix(rep.view(U)), begin).view(np.int64) ^ size
+            keep = (size > 1) & (size <= SAME)
+            big = size > SAME
+            if continued:
+                keep[0], big[0] = False, True
+            if batch is not None:  # the last run may go on
+                tree_, large = int(tree[-1]), bool(big[-1])
+                held = np.zeros(0, np.int64) if large else rep[begin[-1] :]
+                keep[-1] = False
+            fresh = np.zeros(len(begin), bool)
+            _, first = np.unique(named[keep], return_index=True)
+            for i in np.flatnonzero(keep)[first].tolist():
+                if int(named[i]) not in seen:
+                    fresh[i] = True
+                    if len(seen) < 500_000:  # bounds memory; what it misses goes in the next step
+                        seen.add(int(named[i]))
+            out = fresh | big
+            rows = np.repeat(out, size)
+            names = np.repeat(np.where(big, tree[begin], named), size)
+            yield pa.RecordBatch.from_arrays([pa.array(names[rows]), pa.array(rep[rows])], ["tree", "rep"])
+
+    return routes.repartition("tree").sortWithinPartitions("tree").mapInArrow(run, "tree long, rep long").distinct()
 
 
 def pivot_pairs(points: DataFrame, percent: int) -> DataFrame:
@@ -221,13 +295,11 @@ def tree_pairs(points: DataFrame, percent: int) -> DataFrame:
                 return a, b
             x, y = rows[0][1], rows[0][2]
             sizes = np.array([r[4] for r in rows], np.int64)
-            vectors = np.frombuffer(b"".join(r[6] for r in rows), "<i4").reshape(len(rows), GROUPS).astype(np.int64)
+            vectors = [unpack_counts(r[6]) for r in rows]
             comps = np.array([r[5] for r in rows], np.int64)
             strip = np.array([r[7] for r in rows])
-            own = np.flatnonzero(strip == x)
-            tree = CountVectorTree(vectors[own], sizes[own])
-            for q in own if x == y else np.flatnonzero(strip == y):
-                hits = own[tree.search(vectors[q], int(sizes[q]), percent)]
+            own, others = np.flatnonzero(strip == x), np.flatnonzero(strip == y)
+            for q, hits in near_points(vectors, sizes, own, others, percent):
                 for h in hits[comps[hits] != comps[q]].tolist():
                     a.append(min(rows[h][3], rows[q][3]))
                     b.append(max(rows[h][3], rows[q][3]))
@@ -255,22 +327,39 @@ def tree_pairs(points: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs whose point bound and whose sets reach the threshold. Sets are made again for documents in pairs only."""
+def bitmap(ids: DataFrame, column: str) -> tuple[np.ndarray, int]:
+    """Marks of hashed ids and their number of bits: eight for each id, ``MOST_BITS`` at most (4 MB). Rows without a mark
+    need not move; with more ids than bits more rows move, and joins still decide."""
+    bits = 1 << 16
+    n = ids.count()
+    while bits < 8 * n and bits < MOST_BITS:
+        bits *= 2
+    hashed = ids.select(F.pmod(F.xxhash64(column), F.lit(bits)).alias("b"))
+    words = hashed.groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("m")).toArrow()
+    marks = np.zeros(bits >> 6, np.int64)
+    marks[words.column("w").to_numpy()] = words.column("m").to_numpy()
+    return marks, bits
+
+
+def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, percent: int, bounded: bool = False) -> DataFrame:
+    """The pairs whose point bound (unless a tree has held it) and whose sets reach the threshold. Sets are made again for documents in pairs only."""
     point = reps.select("rep", "n", "counts")
     left, right = point.toDF("a", "_na", "_ca"), point.toDF("b", "_nb", "_cb")
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size = batch.column(2).to_numpy() + batch.column(4).to_numpy()
-            # counts are fixed-size rows
-            x = np.frombuffer(b"".join(batch.column(3).to_pylist()), "<i4").reshape(-1, GROUPS)
-            y = np.frombuffer(b"".join(batch.column(5).to_pylist()), "<i4").reshape(-1, GROUPS)
-            keep = pa.array(np.minimum(x, y).sum(axis=1, dtype=np.int64) >= needed(size, percent))
+            keep = []
+            for na, x, nb, y in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
+                x, y = unpack_counts(x), unpack_counts(y)
+                g = min(len(x), len(y))
+                keep.append(np.minimum(fold(x, g), fold(y, g)).sum(dtype=np.int64) >= needed(na + nb, percent))
+            keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            b = batch.column(2).to_numpy()
+            batch = batch.filter(pa.array((marks[b >> 6] >> (b & 63)) & 1 == 1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in shingle_sets(batch.column(1), n)], pa.binary())], ["rep", "own"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,11 +373,12 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, percent
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
     spark = docs.sparkSession
-    near = stage_table(pairs.join(left, "a").join(right, "b").select("a", "b", "_na", "_ca", "_nb", "_cb").mapInArrow(bound, "a long, b long"), "near-pairs")
+    near = stage_table(pairs if bounded else pairs.join(left, "a").join(right, "b").select("a", "b", "_na", "_ca", "_nb", "_cb").mapInArrow(bound, "a long, b long"), "near-pairs")
     asked = near.select(F.col("a").alias("rep")).union(near.select(F.col("b").alias("rep"))).distinct()
+    marks, bits = bitmap(asked, "rep")
     with arrow_rows(spark, 500):
-        texts = docs.join(asked, docs["doc_id"] == asked["rep"]).select("rep", "text").dropDuplicates(["rep"])
-        own = stage_table(texts.mapInArrow(sets, "rep long, own binary"), "near-sets")
+        marked = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("rep"), "text", F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("b"))
+        own = stage_table(marked.mapInArrow(sets, "rep long, own binary"), "near-sets")
         full = near.join(own.toDF("a", "_x"), "a").join(own.toDF("b", "_y"), "b").select("a", "b", "_x", "_y")
         links = stage_table(full.mapInArrow(check, "a long, b long"), "near-links")
     drop_table(own)
@@ -307,16 +397,17 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     classes = stage_table(some.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
     firsts = classes.select("rep", F.col("d1").alias("_d1"), F.col("d2").alias("_d2"))
     chosen = some.join(firsts, (F.col("doc_id") == F.col("rep")) & (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2")))
-    reps = stage_table(chosen.select("rep", F.col("n_shingles").alias("n"), "counts").dropDuplicates(["rep"]), "class-points")
+    chosen = stage_table(chosen.dropDuplicates(["rep", "_d1", "_d2"]).select("rep", F.col("n_shingles").alias("n"), "counts", "route"), "class-points")
+    reps = chosen.select("rep", "n", "counts")
     shared = stage_table(shared_routes(chosen.select(F.explode("route").alias("tree"), "rep").select("tree", "rep")), "shared-routes")
-    points = shared.distinct().join(reps.select("rep", "n"), "rep")
+    points = shared.join(reps.select("rep", "n"), "rep")
     # first: every point with its trees' pivots
     links = verified(pivot_pairs(points, percent), docs, reps, n, percent)
     first = stage_table(connected_components(links).toDF("rep", "component"), "first-components")
-    placed = stage_table(shared.distinct().join(first, "rep", "left").select("tree", "rep", F.coalesce("component", "rep").alias("component")), "placed-points")
+    placed = stage_table(shared.join(first, "rep", "left").select("tree", "rep", F.coalesce("component", "rep").alias("component")), "placed-points")
     mixed = placed.groupBy("tree").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo < _hi").select("tree")
     search = placed.join(mixed, "tree").join(reps, "rep").select("tree", "rep", "n", "component", "counts")
-    more = verified(tree_pairs(search, percent), docs, reps, n, percent)
+    more = verified(tree_pairs(search, percent), docs, reps, n, percent, bounded=True)
     final = stage_table(connected_components(links.unionByName(more)).toDF("_rep", "_component"), "components")
     named = classes.join(final, classes["rep"] == final["_rep"], "left").select("d1", "d2", "n_shingles", F.coalesce("_component", "rep").alias("component_id"))
     member = signed.select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2", "n_shingles"], "left")
