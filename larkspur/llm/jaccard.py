@@ -174,8 +174,8 @@ def frequent_shingles(docs: DataFrame, n: int) -> np.ndarray:
             yield seen()
 
     with arrow_rows(docs.sparkSession, 2000):
-        rows = docs.select("text").mapInArrow(count, "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "s").limit(FREQUENT).collect()
-    return np.array([r["s"] for r in reversed(rows)], np.int64).view(U)
+        rows = docs.select("text").mapInArrow(count, "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "s").limit(FREQUENT).toArrow()
+    return rows.column("s").to_numpy()[::-1].astype(np.int64).view(U)
 
 
 def signatures(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:

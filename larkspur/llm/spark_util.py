@@ -10,6 +10,8 @@ count of the slices before it.
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -68,6 +70,14 @@ def drop_table(df: DataFrame) -> None:
         _written[:] = [x for x in _written if x[1] != path]
 
 
+def give_back_memory() -> None:
+    """Return what the driver's Python has freed to the system, where the C library can."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int):
     """Rows in an Arrow batch while the jobs inside run; small where a row holds a whole text."""
