@@ -1,12 +1,13 @@
 """Approximate nearest neighbours (largest inner product) on an NN-descent graph.
 
 Equal vectors are one node. A first graph comes from random-projection trees: nodes of a
-leaf are compared with each other. NN-descent then repeats: every node sends its vector to
-its neighbours and to nodes it is a neighbour of (a join), each node compares what it has
-received, neighbours of neighbours, and pairs better than a node's worst neighbour go back
-to be merged. Queries are answered by greedy graph search in rounds: the best unexpanded
-candidates of each query travel to their adjacency rows, which answer with the neighbours
-that beat the query's worst candidate. The best candidates are scored again in double
+leaf are compared with each other. NN-descent then repeats until few neighbours change
+(``SETTLED``): every node sends its vector to its neighbours and to nodes it is a neighbour
+of (a join), each node compares what it has received, neighbours of neighbours, and pairs
+better than a node's worst neighbour go back to be merged. Queries are answered by greedy
+graph search in rounds, until every candidate is expanded: the best unexpanded candidates of
+each query travel to their adjacency rows, which answer with the neighbours that beat the
+query's worst candidate. The best candidates are scored again in double
 precision on the original vectors.
 
 * vectors that are null, zero, hold null or non-finite components, or whose length is not
@@ -18,6 +19,7 @@ precision on the original vectors.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Iterator
 
@@ -28,12 +30,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from larkspur.llm.spark_util import arrow_rows, drop_table, stage_table
+from larkspur.llm.spark_util import arrow_rows, drop_table, give_back_shuffles, stage_table
 
 #: Vectors that tree splits are fitted on.
 SAMPLE = 16_384
 LEAF = 512
 NEIGHBOURS = 32
+#: Share of the graph's neighbours that the last NN-descent round may still change.
+SETTLED = 0.001
 
 
 def _pack(x: np.ndarray, dtype: str) -> list[bytes]:
@@ -113,6 +117,8 @@ def best_of(ids: np.ndarray, sims: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 
 
 GRAPH = "u long, ids binary, sims binary"
+#: A merged row also marks the neighbours that the row before did not have, and counts them.
+MERGED = GRAPH + ", fresh binary, changed int"
 
 
 def _runs(batches: Iterator[pa.RecordBatch], key: int, limit: int | None = None) -> Iterator[list[tuple]]:
@@ -168,60 +174,81 @@ def leaf_graph(nodes: DataFrame, dim: int, trees: int, count: int, seed: int) ->
     return dealt.mapInArrow(compare, GRAPH)
 
 
-def merged(parts: DataFrame, k: int) -> DataFrame:
-    """One row for each node with its ``k`` best neighbours."""
+def merged(parts: DataFrame, k: int, graph: DataFrame | None = None) -> DataFrame:
+    """One row for each node with its ``k`` best neighbours of ``parts`` and of ``graph``; those that ``graph`` has not are fresh."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = []
+        out, fresh = [], []
+
+        def batch_of() -> pa.RecordBatch:
+            marks = [pa.array([f.tobytes() for f in fresh], pa.binary()), pa.array([int(f.sum()) for f in fresh], pa.int32())]
+            return pa.RecordBatch.from_arrays([*_graph_batch(out).columns, *marks], ["u", "ids", "sims", "fresh", "changed"])
+
         for rows in _runs(batches, 0):
-            ids, sims = np.frombuffer(b"".join(r[1] for r in rows), "<i8"), np.frombuffer(b"".join(r[2] for r in rows), "<f4")
-            out.append((rows[0][0], *best_of(ids, sims, k)))
+            ids, sims = best_of(np.frombuffer(b"".join(r[1] for r in rows), "<i8"), np.frombuffer(b"".join(r[2] for r in rows), "<f4"), k)
+            known = [np.frombuffer(r[1], "<i8") for r in rows if r[3] == 0]
+            out.append((rows[0][0], ids, sims))
+            fresh.append((~np.isin(ids, known[0]) if known else np.ones(len(ids), bool)).astype(np.int8))
             if len(out) == 2000:
-                yield _graph_batch(out)
-                out = []
-        yield _graph_batch(out)
+                yield batch_of()
+                out, fresh = [], []
+        yield batch_of()
 
-    return parts.repartition("u").sortWithinPartitions("u").mapInArrow(merge, GRAPH)
+    both = parts.select("u", "ids", "sims", F.lit(1).alias("t"))
+    if graph is not None:
+        both = both.union(graph.select("u", "ids", "sims", F.lit(0).alias("t")))
+    return both.repartition("u").sortWithinPartitions("u").mapInArrow(merge, MERGED)
 
 
-def exchanged(graph: DataFrame, codes: DataFrame, forward: int, backward: int, seed: int) -> DataFrame:
-    """(c, x, code, scale, worst): the vectors that centre ``c`` receives, from its ``forward`` best neighbours and
-    from up to ``backward`` nodes that have it as a neighbour."""
+def exchanged(graph: DataFrame, codes: DataFrame, backward: int, seed: int) -> DataFrame:
+    """(c, x, code, scale, worst, fresh): the vectors that centre ``c`` receives, from all its neighbours and from up to
+    ``backward`` nodes that have it as a neighbour, of fresh edges first."""
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            u, v = [], []
-            for a, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.frombuffer(ids, "<i8")[:forward]
-                u.append(np.full(len(ids), a))
-                v.append(ids)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(u) if u else [], pa.int64()), pa.array(np.concatenate(v) if v else [], pa.int64())], ["u", "v"])
-
-    pairs = graph.select("u", "ids").mapInArrow(edges, "u long, v long")
-    back = Window.partitionBy("v").orderBy(F.xxhash64(F.lit(seed), "u"))
+            ids, fresh = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            u = np.repeat(batch.column(0).to_numpy(), [len(f) for f in fresh])
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(np.frombuffer(b"".join(ids), "<i8")), pa.array(np.frombuffer(b"".join(fresh), np.int8))], ["u", "v", "f"])
+
+    pairs = graph.select("u", "ids", "fresh").mapInArrow(edges, "u long, v long, f byte")
+    back = Window.partitionBy("v").orderBy(F.col("f").desc(), F.xxhash64(F.lit(seed), "u"))
     chosen = pairs.withColumn("_r", F.row_number().over(back)).where(F.col("_r") <= backward)
-    asked = pairs.select(F.col("u").alias("c"), F.col("v").alias("x")).union(chosen.select(F.col("v").alias("c"), F.col("u").alias("x"))).distinct()
-    return asked.join(codes, "x").select("c", "x", "code", "scale", "worst")
+    asked = pairs.select(F.col("u").alias("c"), F.col("v").alias("x"), "f").union(chosen.select(F.col("v").alias("c"), F.col("u").alias("x"), "f"))
+    asked = asked.groupBy("c", "x").agg(F.max("f").alias("fresh"))
+    return asked.join(codes, "x").select("c", "x", "code", "scale", "worst", "fresh")
+
+
+def _centres(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """What each centre has received, (x, vectors, worst, fresh), from sorted batches."""
+    held: list[np.ndarray] | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        c, x, code, scale, worst, fresh = batch.columns
+        own = [c.to_numpy(), x.to_numpy(), restore(_matrix(code, "i1"), scale.to_numpy()), worst.to_numpy(), fresh.to_numpy() > 0]
+        if held is not None:
+            own = [np.concatenate(p) for p in zip(held, own, strict=True)]
+        cuts = [0, *(np.flatnonzero(np.diff(own[0])) + 1).tolist()]
+        for low, high in zip(cuts, cuts[1:], strict=False):
+            yield [p[low:high] for p in own[1:]]
+        held = [p[cuts[-1] :] for p in own]  # goes on in the next batch
+    if held is not None:
+        yield held[1:]
 
 
 def descent_step(graph: DataFrame, codes: DataFrame, seed: int, k: int) -> DataFrame:
-    """One NN-descent round: neighbours of neighbours compared at the node between them."""
+    """One NN-descent round: neighbours of neighbours compared at the node between them. Pairs of two edges that are
+    not fresh were compared there before; of the others all that beat a node's worst neighbour are merged."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
-        for rows in _runs(batches, 0):
-            if len(rows) > 1:
-                x = np.array([r[1] for r in rows])
-                v = restore(np.frombuffer(b"".join(r[2] for r in rows), np.int8).reshape(len(rows), -1), np.array([r[3] for r in rows], np.float32))
-                worst = np.array([r[4] for r in rows], np.float32)
+        for x, v, worst, fresh in _centres(batches):
+            if fresh.any():
                 sims = v @ v.T
                 np.fill_diagonal(sims, -np.inf)
-                n = min(6, len(rows) - 1)
-                top = np.argpartition(-sims, n - 1, axis=1)[:, :n]
-                found = np.take_along_axis(sims, top, 1)
-                for i in np.flatnonzero(found.max(axis=1) > worst):
-                    better = found[i] > worst[i]
-                    out.append((int(x[i]), x[top[i][better]], found[i][better]))
+                better = (sims > worst[:, None]) & (fresh[:, None] | fresh)
+                for i in np.flatnonzero(better.any(axis=1)):
+                    out.append((int(x[i]), x[better[i]], sims[i, better[i]]))
             if len(out) > 5000:
                 yield _graph_batch(out)
                 out = []
@@ -238,9 +265,20 @@ def descent_step(graph: DataFrame, codes: DataFrame, seed: int, k: int) -> DataF
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(worst, pa.float32())], ["x", "code", "scale", "worst"])
 
     known = with_worst.select("x", "code", "scale", "sims").mapInArrow(worst_of, "x long, code binary, scale float, worst float")
-    sent = exchanged(graph, known, 24, 16, seed)
+    sent = exchanged(graph, known, 16, seed)
     better = sent.repartition("c").sortWithinPartitions("c").mapInArrow(compare, GRAPH)
-    return merged(graph.union(better), k)
+    return merged(better, k, graph)
+
+
+def descend(graph: DataFrame, codes: DataFrame, seed: int, k: int, count: int) -> DataFrame:
+    """NN-descent rounds over a staged graph until one changes at most ``SETTLED`` of the neighbours. Neighbours only ever get better, so it ends."""
+    step = 0
+    while (graph.agg(F.sum("changed")).first()[0] or 0) > SETTLED * k * count:
+        nxt = stage_table(descent_step(graph, codes, seed + step, k), "graph")
+        drop_table(graph)
+        graph, step = nxt, step + 1
+        give_back_shuffles(graph.sparkSession)
+    return graph
 
 
 STATE = "q long, v binary, ids binary, sims binary, open binary"
@@ -252,7 +290,7 @@ def choose(ids: np.ndarray, sims: np.ndarray, still: np.ndarray, expand: int) ->
 
 
 def graph_search(queries: DataFrame, adjacency: DataFrame, rounds: tuple[int, ...], width: int) -> DataFrame:
-    """(q, ids, sims): up to ``width`` candidates. ``queries``: (q, v as packed floats), nodes of the graph, where the search starts."""
+    """(q, ids, sims): up to ``width`` candidates, all of them expanded; the last of ``rounds`` is repeated until they are. ``queries``: (q, v as packed floats), nodes of the graph, where the search starts."""
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -264,7 +302,10 @@ def graph_search(queries: DataFrame, adjacency: DataFrame, rounds: tuple[int, ..
             )
 
     state = stage_table(queries.mapInArrow(begin, STATE), "search")
-    for expand in rounds:
+    for number in itertools.count():
+        expand = rounds[min(number, len(rounds) - 1)]
+        if number >= len(rounds) and state.where(F.instr(F.hex("open"), "1") > 0).isEmpty():
+            break
 
         def ask(batches: Iterator[pa.RecordBatch], expand: int = expand) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -316,6 +357,7 @@ def graph_search(queries: DataFrame, adjacency: DataFrame, rounds: tuple[int, ..
             nxt = stage_table(both.repartition("q").sortWithinPartitions("q", "t").mapInArrow(merge, STATE), "search")
         drop_table(state)
         state = nxt
+        give_back_shuffles(state.sparkSession)
     return state.select("q", "ids", "sims")
 
 
@@ -336,14 +378,14 @@ def adjacency_table(graph: DataFrame, codes: DataFrame, seed: int, buckets: int)
                 out = []
         yield batch_of()
 
-    sent = exchanged(graph, codes.withColumn("worst", F.lit(0.0).cast("float")), NEIGHBOURS, NEIGHBOURS, seed)
+    sent = exchanged(graph, codes.withColumn("worst", F.lit(0.0).cast("float")), NEIGHBOURS, seed)
     rows = sent.select("c", "x", "code", "scale").repartition(buckets, "c").sortWithinPartitions("c").mapInArrow(gather, "u long, ids binary, codes binary, scales binary")
     name = f"adjacency_{uuid.uuid4().hex}"
     rows.write.bucketBy(buckets, "u").sortBy("u").saveAsTable(name)
     return graph.sparkSession.table(name), name
 
 
-def nearest(table: DataFrame, query_ids: DataFrame, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding", trees: int = 8, steps: int = 2, rounds: tuple[int, ...] = (1, 64, 128, 160), width: int = 400, seed: int = 11) -> DataFrame:
+def nearest(table: DataFrame, query_ids: DataFrame, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding", trees: int = 8, rounds: tuple[int, ...] = (1, 64, 128, 160), width: int = 400, seed: int = 11) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of each query among all rows but its own.
 
     ``query_ids`` has one column with ids of rows of ``table``.
@@ -367,10 +409,7 @@ def nearest(table: DataFrame, query_ids: DataFrame, k: int = 20, id_column: str
 
         codes = stage_table(nodes.mapInArrow(encode, "x long, code binary, scale float"), "codes")
         graph = stage_table(merged(leaf_graph(nodes, dim, trees, count, seed), NEIGHBOURS), "graph")
-        for step in range(steps):
-            nxt = stage_table(descent_step(graph, codes, seed + step, NEIGHBOURS), "graph")
-            drop_table(graph)
-            graph = nxt
+        graph = descend(graph, codes, seed, NEIGHBOURS, count)
         adjacency, adjacency_name = adjacency_table(graph, codes, seed, buckets)
         # a query's class is where its search starts
         wanted = vectors.join(query_ids.toDF("id").distinct(), "id").join(classes.select("h1", "h2", "rep"), ["h1", "h2"]).select("id", "rep")

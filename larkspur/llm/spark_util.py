@@ -78,6 +78,12 @@ def give_back_memory() -> None:
         trim(0)
 
 
+def give_back_shuffles(spark: SparkSession) -> None:
+    """Let the cluster delete the shuffle files of plans that are no longer held."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int):
     """Rows in an Arrow batch while the jobs inside run; small where a row holds a whole text."""

@@ -49,3 +49,11 @@ def test_few_or_no_vectors(spark):
     assert neighbours.nearest(df, df.select("vec_id").where("vec_id % 20 = 0"), 20).count() == 4
     assert neighbours.nearest(df.limit(0), df.select("vec_id").limit(0), 20).count() == 0
     assert neighbours.nearest(df.where("vec_id = 0"), df.select("vec_id"), 20).count() == 0
+
+
+def test_rounds_go_on_until_settled(spark, monkeypatch):
+    changes = [900, 400, 50, 7, 3, 2]
+    monkeypatch.setattr(neighbours, "descent_step", lambda graph, codes, seed, k: spark.createDataFrame([(0, changes.pop(0))], "u long, changed int"))
+    monkeypatch.setattr(neighbours, "stage_table", lambda df, name: df)
+    last = neighbours.descend(spark.createDataFrame([(0, 1000)], "u long, changed int"), None, 1, 10, 400)
+    assert last.first()["changed"] == 3 and changes == [2]
