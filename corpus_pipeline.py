@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from larkspur.llm import jaccard, lines, mixing, packing, toxicity
 from larkspur.llm.queries import table, tokenizer_path
-from larkspur.llm.spark_util import stage_table
+from larkspur.llm.spark_util import distributed_rank, stage_table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,14 +37,22 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it. Equal rows share their copies evenly, rounded down."""
-    plan = mixing.mix_sources(docs).groupBy("doc_id", "source", "size").agg(F.expr("sum(copies) div count(*)").cast("int").alias("__copies"))
-    sized = docs.withColumn("__size", mixing.word_count(F.col("text")))
-    on = sized["doc_id"].eqNullSafe(plan["doc_id"]) & sized["source"].eqNullSafe(plan["source"]) & (sized["__size"] == plan["size"])
+    """Every document as often as the mix takes it. Rows of one id, source and size are numbered on both sides, so each has its own copies."""
+    plan = numbered(mixing.mix_sources(docs).select("doc_id", "source", F.col("size").alias("__size"), F.col("copies").alias("__copies")))
+    sized = numbered(docs.withColumn("__size", mixing.word_count(F.col("text"))))
+    on = sized["doc_id"].eqNullSafe(plan["doc_id"]) & sized["source"].eqNullSafe(plan["source"]) & (sized["__size"] == plan["__size"]) & (sized["__row"] == plan["__row"])
     taken = sized.join(plan.where("__copies > 0"), on).withColumn("__c", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     return taken.select(*[sized[c] for c in docs.columns])
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``__row``, from 0 inside rows of one id, source and size; many rows without id are numbered by many tasks."""
+    marked = stage_table(rows.withColumn("__h", F.monotonically_increasing_id()), "mix-rows")  # staged, so that marks stay
+    slot = F.pmod(F.xxhash64("__h"), F.lit(64)).cast("int")
+    row = distributed_rank(marked.select("doc_id", "source", "__size", "__h"), ["doc_id", "source", "__size"], slot, [F.col("__h")], out="__row")
+    return stage_table(marked.join(row.select("__h", "__row"), "__h").drop("__h"), "mix-numbered")
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 tokens."""
     return packing.best_fit_pack(docs, tokenizer_path())

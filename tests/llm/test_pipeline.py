@@ -40,3 +40,11 @@ def test_stages(spark, folder):
     used = sequences(packed, 1024)
     assert used <= np.ceil(sum(r["length"] for r in packed) / 1024) * 1.05 + 1
     assert corpus_pipeline.run(spark, d).count() == len(packed)
+
+
+def test_equal_rows_have_their_own_copies(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b", "x"), (1, "a b", "x"), (None, "c d", "x"), (None, "e f", "x"), (None, "g h", "x")], "doc_id long, text string, source string")
+    copies = spark.createDataFrame([(1, "x", 2, 1), (1, "x", 2, 0), (None, "x", 2, 1), (None, "x", 2, 1), (None, "x", 2, 0)], "doc_id long, source string, size long, copies int")
+    monkeypatch.setattr(corpus_pipeline.mixing, "mix_sources", lambda docs: copies)
+    got = [tuple(r) for r in corpus_pipeline.mix(spark, docs, "").collect()]
+    assert [r for r in got if r[0] == 1] == [(1, "a b", "x")] and len({r[1] for r in got}) == len(got) == 3
