@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from larkspur.llm.spark_util import drop_table, stage_table
 
 
-def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, component) of every node of ``links`` (a, b); the component is its least node."""
+def connected_components(links: DataFrame) -> DataFrame:
+    """(node, component) of every node of ``links`` (a, b); the component is its least node. Rounds go on until nothing changes."""
     edges = stage_table(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     before = None
-    for _ in range(rounds):
+    while True:
         # large star: every larger neighbour of u hangs on the least of u and its neighbours
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))

@@ -111,3 +111,15 @@ def test_components(spark, links):
     comp = {r["node"]: r["component"] for r in connected_components(df).collect()}
     nodes = {x for e in links for x in e}
     assert set(comp) == nodes and all(v == min(nodes) for v in comp.values())
+
+
+def test_components_go_on_until_nothing_changes(spark, monkeypatch):
+    from unittest.mock import MagicMock
+
+    from larkspur.llm import graphs
+
+    tables = [MagicMock(**{"agg.return_value.first.return_value": i}) for i in [*range(80), 79]]
+    monkeypatch.setattr(graphs, "stage_table", lambda df, name: tables.pop(0))
+    monkeypatch.setattr(graphs, "drop_table", lambda df: None)
+    graphs.connected_components(MagicMock())
+    assert not tables
