@@ -101,8 +101,70 @@ def test_points_of_different_fineness_bound_the_overlap():
         shared = len(np.intersect1d(a, b))
         assert np.minimum(jaccard.fold(x, g), jaccard.fold(y, g)).sum() >= shared
         sizes = np.array([len(np.unique(a)), len(np.unique(b))])
-        found = [h for q, hits in jaccard.near_points([x, y], sizes, np.array([0]), np.array([1]), 80) for h in hits]
-        assert found == [0]
+        for few in (0, 48):  # by the tree, and directly
+            tile = jaccard.Points([jaccard.pack_counts(v) for v in (x, y)], sizes, 80)
+            tile.FEW = few
+            assert tile.near(1, np.array([0])).tolist() == [0]
+
+
+def near_copies(spark, m):
+    base = [f"w{i}" for i in range(200)]
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(m):  # two of them are alike or not, about half and half
+        own = list(base)
+        for _ in range(int(rng.integers(2, 7))):
+            own[rng.integers(200)] = f"y{rng.integers(1 << 30)}"
+        rows.append((k, " ".join(own)))
+    return rows, spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+
+def test_links_of_a_near_copy_group_grow_with_it(spark, monkeypatch):
+    """No task gives all pairs of a group: links stay below the points that it has received."""
+    monkeypatch.setattr(jaccard, "TILE", 40)
+    made = []
+    tiles, stage = jaccard.tile_links, jaccard.stage_table
+    monkeypatch.setattr(jaccard, "tile_links", lambda t, *a: made.append([stage(t, "t").count(), 0]) or tiles(t, *a))
+
+    def staged(df, name):
+        out = stage(df, name)
+        if name in ("group-links", "strip-links"):
+            made[-1][1] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "stage_table", staged)
+    rows, df = near_copies(spark, 240)
+    assert got(jaccard.near_duplicates(df)) == brute(rows)
+    assert len(made) == 4 and made[0][1] and all(links <= points + before for (points, links), (_, before) in zip(made, [(0, 0), *made], strict=False))
+
+
+@pytest.mark.parametrize("tile", [jaccard.Points, jaccard.Sets])
+def test_spanning_links_join_what_pairs_join(tile):
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 63, (6, 120)).astype(np.uint64)
+    sets = [np.unique(np.where(rng.random(120) < 0.06, rng.integers(0, 1 << 63, 120).astype(np.uint64), base[i % 6])) for i in range(90)]
+    own = [jaccard.pack_counts(jaccard.group_counts(s)) if tile is jaccard.Points else s.tobytes() for s in sets]
+    sizes = np.array([len(s) for s in sets])
+    for few in (0, 48):
+        jaccard.Points.FEW = few
+        it = tile(own, sizes, 80)
+        for start in (np.arange(90), np.arange(90) // 7):
+            def classes(links, start=start):
+                root = start.copy()
+                for a, b in links:
+                    root[root == root[a]] = root[b]
+                return {frozenset(np.flatnonzero(root == r).tolist()) for r in root}
+
+            links = jaccard.spanning_links(it, start)
+            every = [(q, int(h)) for q in range(90) for h in it.near(q, np.arange(90))]
+            assert classes(links) == classes(every) and len(links) == len(set(start.tolist())) - len(classes(every))
+    jaccard.Points.FEW = 48
+
+
+def test_rows_of_one_id_with_different_texts_are_linked(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(20)) for x in "abc")
+    df = spark.createDataFrame([(3, a), (7, a), (7, b), (9, b), (9, b), (11, c)], "doc_id long, text string")
+    assert {(r["doc_id"], r["component_id"]) for r in jaccard.near_duplicates(df).collect()} == {(3, 3), (7, 3), (9, 3), (11, 11)}
 
 
 @pytest.mark.parametrize("links", [[(1, 2), (2, 3), (9, 8), (3, 9)], [(i, i + 1) for i in range(30)], []])
