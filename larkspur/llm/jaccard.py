@@ -1,7 +1,7 @@
 """Near duplicates by n-gram Jaccard similarity on a count-vector R-tree.
 
 A document's set holds its distinct ``n``-word shingles (64-bit hashes). Shingles hash into
-groups, about as many as the set has members, and a set becomes the point of its group
+groups, about one for two members of the set, and a set becomes the point of its group
 counts; a point with twice as many groups folds onto one with fewer. Two sets share at most
 ``sum(min(a_g, b_g))`` shingles, and a set and any set under a tree node at most
 ``sum(min(a_g, hi_g))`` of the node's box, so the tree leaves out boxes and pairs whose
@@ -78,8 +78,8 @@ def needed(total: np.ndarray | int, percent: int) -> np.ndarray | int:
 
 
 def groups_for(n: int) -> int:
-    """Groups of a set of ``n``: the next power of two, within bounds."""
-    return min(MOST_GROUPS, max(GROUPS, 1 << (max(n, 1) - 1).bit_length()))
+    """Groups of a set of ``n``: the power of two from ``n / 2`` up, within bounds."""
+    return min(MOST_GROUPS, max(GROUPS, (1 << (max(n, 1) - 1).bit_length()) >> 1))
 
 
 def group_counts(hashes: np.ndarray) -> np.ndarray:
@@ -88,11 +88,14 @@ def group_counts(hashes: np.ndarray) -> np.ndarray:
 
 
 def pack_counts(counts: np.ndarray) -> bytes:
-    return zlib.compress(counts.astype("<u2").tobytes(), 1)
+    """Entropy-coded; the first byte tells the width of a count."""
+    width = 1 if counts.max(initial=0) < 256 else 2
+    coder = zlib.compressobj(6, zlib.DEFLATED, -15, 9, zlib.Z_HUFFMAN_ONLY)
+    return bytes([width]) + coder.compress(counts.astype(f"<u{width}").tobytes()) + coder.flush()
 
 
 def unpack_counts(packed: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(packed), "<u2")
+    return np.frombuffer(zlib.decompress(packed[1:], -15), f"<u{packed[0]}").astype(np.uint16)
 
 
 def fold(counts: np.ndarray, groups: int) -> np.ndarray:
@@ -397,11 +400,11 @@ def group_links(points: DataFrame, payload: DataFrame, kind: type[Points] | type
 
 
 def bitmap(ids: DataFrame, column: str) -> tuple[np.ndarray, int]:
-    """Marks of hashed ids and their number of bits: eight for each id, ``MOST_BITS`` at most (4 MB). Rows without a mark
+    """Marks of hashed ids and their number of bits: 64 for each id, ``MOST_BITS`` at most (4 MB). Rows without a mark
     need not move; with more ids than bits more rows move, and joins still decide."""
     bits = 1 << 16
     n = ids.count()
-    while bits < 8 * n and bits < MOST_BITS:
+    while bits < 64 * n and bits < MOST_BITS:
         bits *= 2
     hashed = ids.select(F.pmod(F.xxhash64(column), F.lit(bits)).alias("b"))
     words = hashed.groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("m")).toArrow()
