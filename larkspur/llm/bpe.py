@@ -69,20 +69,36 @@ def split_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return np.flatnonzero(start), odd_rows
 
 
+def is_plain_byte_bpe(spec: dict) -> bool:
+    """Whether a tokenizers file works as this module does: no normaliser, the byte-level split with its usual pattern and no
+    space put before a text, and BPE by merges whose order is that of the ids."""
+    split, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    if spec.get("normalizer") is not None or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
+        return False
+    if model.get("type", "BPE") != "BPE" or any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")):
+        return False
+    vocab = model["vocab"]
+    made = [vocab.get("".join(m) if isinstance(m, list) else m.replace(" ", "")) for m in model["merges"]]
+    plain = all(x.get("single_word") is not True and not x.get("lstrip") and not x.get("rstrip") for x in spec.get("added_tokens", []))
+    return plain and None not in made and all(a < b for a, b in zip(made, made[1:], strict=False))
+
+
 class ByteBpe:
     """Ids of a tokenizers file of the byte-level kind, with a bounded memory of pieces."""
 
-    MEMORY = 400_000
+    MEMORY = 200_000
     _loaded: dict[str, ByteBpe] = {}
 
     def __init__(self, path: str) -> None:
         import tiktoken
-        from tokenizers import Tokenizer
 
         self.path = path
-        self.whole = Tokenizer.from_file(path)
+        self._whole = None
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self.known_kind = is_plain_byte_bpe(spec)
+        if not self.known_kind:  # every text goes to the tokenizers library
+            return
         self.special = [x["content"].encode() for x in spec.get("added_tokens", [])]
         added = {x["content"] for x in spec.get("added_tokens", [])}
         visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -92,6 +108,15 @@ class ByteBpe:
         self.core = tiktoken.Encoding("file", pat_str=r".+", mergeable_ranks=ranks, special_tokens={})._core_bpe
         self._reset()
 
+    @property
+    def whole(self):  # noqa: ANN201
+        """The tokenizers library's tokenizer, loaded for the first row that needs it."""
+        if self._whole is None:
+            from tokenizers import Tokenizer
+
+            self._whole = Tokenizer.from_file(self.path)
+        return self._whole
+
     def _reset(self) -> None:
         self.keys = np.zeros(0, np.uint64)
         self.at = np.zeros(0, np.int64)
@@ -140,6 +165,10 @@ class ByteBpe:
 
     def encode_column(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         """(row, ids) of every text; null counts as empty."""
+        if not self.known_kind:
+            for row, text in enumerate(column.to_pylist()):
+                yield row, np.array(self.whole.encode(text or "", add_special_tokens=False).ids, np.uint32)
+            return
         for low, high, data, offsets in text_slices(column):
             if not len(data):
                 for row in range(low, high):

@@ -40,15 +40,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.graphs import connected_components
-from larkspur.llm.spark_util import arrow_rows, drop_table, stage_table
+from larkspur.llm.spark_util import arrow_rows, drop_table, give_back_memory, stage_table
 from larkspur.llm.text_arrays import _CODES, U, as_long, mix, sequence_hashes, text_slices, word_hashes
 
 #: Fewest and most groups of a point.
 GROUPS, MOST_GROUPS = 64, 4_096
 #: Shingles held by the most documents that the order knows; bounds what the driver gathers (1 MB).
 FREQUENT = 65_536
-#: Points of a strip, and shingles of its sets (32 MB).
-TILE, TILE_SHINGLES = 1_024, 4_000_000
+#: Points of a strip, and shingles of its sets (8 MB).
+TILE, TILE_SHINGLES = 1_024, 1_000_000
 #: Pivots of a group of several strips, about.
 PIVOTS = 8
 SAME = 256
@@ -288,6 +288,7 @@ def signatures(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, held
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(routes, pa.list_(pa.int64())), pa.array(hot, pa.list_(pa.int64())), pa.array(points, pa.binary())], names
             )
+        give_back_memory()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, route array<long>, hot array<long>, counts binary")
 

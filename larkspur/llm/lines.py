@@ -7,7 +7,8 @@ it loses those lines. What is left is put together again by position.
 * null or empty text: one empty line, kept;
 * a null ``doc_id``: the row keeps all its lines and is not counted as a document;
 * rows that share a ``doc_id`` count as one document;
-* other columns pass through untouched, whatever their names.
+* other columns pass through untouched, whatever their names; a column of a name that is
+  added (``names``) is replaced.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from larkspur.llm.spark_util import stage_table
+from larkspur.llm.spark_util import fresh_names, stage_table
 
 SPACES = "\t\n\x0b\x0c\r "
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -46,22 +48,22 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> Da
     return found.groupBy("doc_id", "_tag").agg(F.collect_set("pos").alias("drop"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> DataFrame:
-    """``docs`` with the kept lines as ``text``, and ``n_lines``, ``n_dropped``, ``kept_sha256``."""
-    added = ["n_lines", "n_dropped", "kept_sha256"]
-    docs = docs.drop(*added)
-    gone = dropped_lines(docs, min_chars, min_docs).toDF("__doc", "__tag2", "__drop")
-    tagged = docs.withColumn("__tag", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    both = tagged.join(gone, (F.col("doc_id") == F.col("__doc")) & (F.col("__tag") == F.col("__tag2")), "left").drop("__doc", "__tag", "__tag2")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", n_lines long, n_dropped long, kept_sha256 string"
-    names = docs.columns
-    at = names.index("text")
+def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, names: tuple[str, str, str] = ("n_lines", "n_dropped", "kept_sha256")) -> DataFrame:
+    """``docs`` with the kept lines as ``text``, and three more columns called ``names``."""
+    docs = docs.drop(*names)
+    own, tag, doc, drop = fresh_names(docs.columns, "_own_tag", "_tag", "_doc", "_drop")
+    gone = dropped_lines(docs.select("doc_id", "text"), min_chars, min_docs).toDF(doc, tag, drop)
+    tagged = docs.withColumn(own, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    both = tagged.join(gone, (F.col("doc_id") == F.col(doc)) & (F.col(own) == F.col(tag)), "left")
+    kept = docs.columns
+    at = kept.index("text")
+    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.LongType()), T.StructField(names[1], T.LongType()), T.StructField(names[2], T.StringType())])
 
     def reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(i) for i in range(len(names))]
+            columns = [batch.column(i) for i in range(len(kept))]
             texts, n_lines, n_dropped, digests = [], [], [], []
-            for text, drop in zip(columns[at], batch.column(len(names)), strict=True):
+            for text, drop in zip(columns[at], batch.column(len(kept)), strict=True):
                 lines = (text.as_py() or "").split("\n")
                 gone = set(drop.as_py() or ())
                 left = [x for i, x in enumerate(lines) if i not in gone] if gone else lines
@@ -71,6 +73,6 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> Data
                 n_dropped.append(len(lines) - len(left))
                 digests.append(hashlib.sha256(out.encode()).hexdigest())
             columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(digests, pa.string())], [*names, *added])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(digests, pa.string())], [*kept, *names])
 
-    return both.select(*[F.col(f"`{c}`") for c in names], "__drop").mapInArrow(reassemble, schema)
+    return both.select(*[F.col(f"`{c}`") for c in kept], drop).mapInArrow(reassemble, schema)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.llm.bpe import ByteBpe
-from larkspur.llm.spark_util import arrow_rows, stage_table
+from larkspur.llm.spark_util import arrow_rows, give_back_memory, stage_table
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, _task int, _seen long"
 
@@ -58,6 +58,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, seq_len: int, end_id:
                 [ids.take(pa.array(keep, pa.int64())), pa.array(rows[0], pa.int32()), *[pa.array(x, pa.int64()) for x in rows[1:4]], pa.array(np.full(len(keep), task), pa.int32()), pa.array(rows[4], pa.int64())],
                 ["doc_id", "piece", "start", "length", "ids_crc32", "_task", "_seen"],
             )
+        give_back_memory()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECES)
 

@@ -13,20 +13,26 @@ import atexit
 import ctypes
 import gc
 import os
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Most bytes of an Arrow batch; a longer row is a batch of its own.
+BATCH_BYTES = "8m"
 _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a folder under the temp dir only where none is set."""
+    """The shared folder of the cluster. Where none is set, a local session gets a temporary one; a cluster has none that all see."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that the driver and all executors share")
         found = os.path.join(tempfile.gettempdir(), "checkpoints")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -70,9 +76,22 @@ def drop_table(df: DataFrame) -> None:
         _written[:] = [x for x in _written if x[1] != path]
 
 
+def fresh_names(taken: list[str], *wanted: str) -> list[str]:
+    """``wanted``, with underscores before them until none is a name that is taken, in either case."""
+    lower = {c.lower() for c in taken}
+    out = []
+    for name in wanted:
+        while name.lower() in lower:
+            name = f"_{name}"
+        lower.add(name.lower())
+        out.append(name)
+    return out
+
+
 def give_back_memory() -> None:
-    """Return what the driver's Python has freed to the system, where the C library can."""
+    """Return what this Python, the driver's or a worker's, has freed to the system, where the C library can."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
         trim(0)
@@ -86,14 +105,16 @@ def give_back_shuffles(spark: SparkSession) -> None:
 
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int):
-    """Rows in an Arrow batch while the jobs inside run; small where a row holds a whole text."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+    """Rows in an Arrow batch while the jobs inside run, and at most ``BATCH_BYTES``; small where a row holds a whole text."""
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def slices_for(rows: int, per_slice: int = 2_000) -> int:

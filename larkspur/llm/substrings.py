@@ -13,7 +13,8 @@ grouped, and verified by their own coordinates.
 * words are ``[^\\x20\\x09-\\x0D]+``, unchanged; null or empty text has none;
 * windows that repeat only inside one document, or among rows that share a ``doc_id``, stay;
 * a null ``doc_id``: the row keeps all its words and is not counted;
-* texts shorter than a window are never cut; other columns pass through.
+* texts shorter than a window are never cut; other columns pass through, whatever their
+  names; a column of a name that is added (``names``) is replaced.
 """
 
 from __future__ import annotations
@@ -25,8 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from larkspur.llm.spark_util import arrow_rows, drop_table, stage_table
+from larkspur.llm.spark_util import arrow_rows, drop_table, fresh_names, stage_table
 from larkspur.llm.text_arrays import as_long, find_words, sequence_hashes, sliding_argmin, text_slices, word_hashes
 
 KMER = 10
@@ -134,11 +136,11 @@ def judge_windows(docs: DataFrame, found: DataFrame, window: int, kmer: int) ->
     return joined.mapInArrow(run, "doc_id long, tag long, gone array<int>, pos array<int>, hash array<long>")
 
 
-def remove_repeats(docs: DataFrame, window: int = 50, kmer: int = KMER) -> DataFrame:
-    """``docs`` with the kept words, joined by one space, as ``text``, and ``n_words``, ``n_removed``, ``kept_sha256``."""
+def remove_repeats(docs: DataFrame, window: int = 50, kmer: int = KMER, names: tuple[str, str, str] = ("n_words", "n_removed", "kept_sha256")) -> DataFrame:
+    """``docs`` with the kept words, joined by one space, as ``text``, and three more columns called ``names``."""
     spark = docs.sparkSession
-    added = ["n_words", "n_removed", "kept_sha256"]
-    docs = docs.drop(*added)
+    docs = docs.drop(*names)
+    own, d, t, g, a = fresh_names(docs.columns, "_own_tag", "_doc", "_tag", "_gone", "_across")
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), text.alias("text"))
     with arrow_rows(spark, 2000):
@@ -153,17 +155,17 @@ def remove_repeats(docs: DataFrame, window: int = 50, kmer: int = KMER) -> DataF
     least = across.groupBy("hash").agg(F.min("doc_id").alias("_least"), F.max("doc_id").alias("_last")).where("_least < _last").drop("_last")
     later = across.join(stage_table(least, "repeat-across"), "hash").where("doc_id > _least").groupBy("doc_id", "tag").agg(F.collect_set("pos").alias("across"))
     runs = judged.where(F.size("gone") > 0).select("doc_id", "tag", "gone").distinct()
-    cuts = stage_table(runs.join(later, ["doc_id", "tag"], "full").toDF("__d", "__t", "__gone", "__across"), "repeat-cuts")
+    cuts = stage_table(runs.join(later, ["doc_id", "tag"], "full").toDF(d, t, g, a), "repeat-cuts")
     drop_table(judged)
-    both = docs.withColumn("__tag", F.xxhash64(text)).join(cuts, (F.col("doc_id") == F.col("__d")) & (F.col("__tag") == F.col("__t")), "left")
-    names = docs.columns
-    at = names.index("text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", n_words long, n_removed long, kept_sha256 string"
+    both = docs.withColumn(own, F.xxhash64(text)).join(cuts, (F.col("doc_id") == F.col(d)) & (F.col(own) == F.col(t)), "left")
+    kept_names = docs.columns
+    at = kept_names.index("text")
+    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.LongType()), T.StructField(names[1], T.LongType()), T.StructField(names[2], T.StringType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(i) for i in range(len(names))]
-            gone, across = batch.column(len(names)), batch.column(len(names) + 1)
+            columns = [batch.column(i) for i in range(len(kept_names))]
+            gone, across = batch.column(len(kept_names)), batch.column(len(kept_names) + 1)
             texts, n_words, n_removed, digests = [], [], [], []
             for low, high, data, offsets in text_slices(columns[at]):
                 starts, ends, first = find_words(data, offsets)
@@ -187,6 +189,6 @@ def remove_repeats(docs: DataFrame, window: int = 50, kmer: int = KMER) -> DataF
                     n_removed.append(b - a - len(keep))
                     digests.append(hashlib.sha256(kept).hexdigest())
             columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digests, pa.string())], [*names, *added])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digests, pa.string())], [*kept_names, *names])
 
-    return both.select(*[F.col(f"`{c}`") for c in names], "__gone", "__across").mapInArrow(cut, schema)
+    return both.select(*[F.col(f"`{c}`") for c in kept_names], g, a).mapInArrow(cut, schema)

@@ -18,7 +18,7 @@ _P_INV = U(pow(int(_P), -1, 1 << 64))
 _MASK = (1 << 64) - 1
 
 #: Bytes of text worked on at a time; a longer text is worked on alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 
 
 def _byte_codes() -> np.ndarray:

@@ -10,7 +10,7 @@ through Arrow batches and moves no text between executors.
 * very long texts are scored whole: the maximum runs over every word;
 * rows of ``labels`` without label or document are not used, of several rows of a document
   the largest label counts; with no labelled rows all texts get score 0;
-* other columns pass through untouched.
+* other columns pass through untouched; a column called as the score (``name``) is replaced.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larkspur.llm.spark_util import arrow_rows, give_back_memory
 from larkspur.llm.text_arrays import _CODES, _LOWER, U, span_hashes, text_slices
@@ -244,19 +245,20 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> ConvModel
     return model
 
 
-def score_documents(docs: DataFrame, model: ConvModel) -> DataFrame:
-    """``docs`` with ``tox_score``."""
-    docs = docs.drop("tox_score")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+def score_documents(docs: DataFrame, model: ConvModel, name: str = "tox_score") -> DataFrame:
+    """``docs`` with the score as column ``name``."""
+    docs = docs.drop(name)
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
     at = docs.columns.index("text")
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.scores(batch.column(at)), pa.float64())], [*names, "tox_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.scores(batch.column(at)), pa.float64())], [*names, name])
+        give_back_memory()
 
     with arrow_rows(docs.sparkSession, 2000):
-        return docs.mapInArrow(run, f"{fields}, tox_score double")
+        return docs.mapInArrow(run, schema)
 
 
 def flagged(score: Column, lang: Column, thresholds: dict[str, float]) -> Column:
