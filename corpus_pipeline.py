@@ -14,19 +14,20 @@ from pyspark.sql import functions as F
 
 from larkspur.llm import jaccard, lines, mixing, packing, toxicity
 from larkspur.llm.queries import table, tokenizer_path
-from larkspur.llm.spark_util import distributed_rank, stage_table
+from larkspur.llm.spark_util import distributed_rank, fresh_names, stage_table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score reaches their language's threshold go."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score_documents(docs, model)
-    return scored.where(~toxicity.flagged(F.col("tox_score"), F.col("lang"), model.thresholds)).drop("tox_score")
+    (score,) = fresh_names(docs.columns, "_tox_score")
+    scored = toxicity.score_documents(docs, model, score)
+    return scored.where(~toxicity.flagged(F.col(score), F.col("lang"), model.thresholds)).select(*docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines stay only in the first document that holds them; ``n_chars`` follows the text."""
-    kept = lines.dedup_lines(docs).drop("n_lines", "n_dropped", "kept_sha256")
+    kept = lines.dedup_lines(docs, names=tuple(fresh_names(docs.columns, "_n_lines", "_n_dropped", "_kept_sha256")))
     return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
@@ -38,19 +39,32 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it. Rows of one id, source and size are numbered on both sides, so each has its own copies."""
-    plan = numbered(mixing.mix_sources(docs).select("doc_id", "source", F.col("size").alias("__size"), F.col("copies").alias("__copies")))
-    sized = numbered(docs.withColumn("__size", mixing.word_count(F.col("text"))))
-    on = sized["doc_id"].eqNullSafe(plan["doc_id"]) & sized["source"].eqNullSafe(plan["source"]) & (sized["__size"] == plan["__size"]) & (sized["__row"] == plan["__row"])
-    taken = sized.join(plan.where("__copies > 0"), on).withColumn("__c", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    size, copies, row, copy = fresh_names(docs.columns, "_size", "_copies", "_row", "_copy")
+    key = ["doc_id", "source", size]
+    plan = stage_table(mixing.mix_sources(docs).select("doc_id", "source", F.col("size").alias(size), F.col("copies").alias(copies)), "mix-plan")
+    several = stage_table(plan.groupBy(*key).agg(F.count(F.lit(1)).alias(row)).where(F.col(row) > 1).select(*key), "mix-several")
+    sized = docs.withColumn(size, mixing.word_count(F.col("text")))
+    if several.isEmpty():
+        plan, sized = plan.withColumn(row, F.lit(0).cast("long")), sized.withColumn(row, F.lit(0).cast("long"))
+    else:
+        plan, sized = numbered(plan, several, key, row), numbered(sized, several, key, row)
+    plan = plan.where(F.col(copies) > 0)
+    on = (sized[row] == plan[row]) & (sized[size] == plan[size]) & sized["doc_id"].eqNullSafe(plan["doc_id"]) & sized["source"].eqNullSafe(plan["source"])
+    taken = sized.join(plan, on).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
     return taken.select(*[sized[c] for c in docs.columns])
 
 
-def numbered(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``__row``, from 0 inside rows of one id, source and size; many rows without id are numbered by many tasks."""
-    marked = stage_table(rows.withColumn("__h", F.monotonically_increasing_id()), "mix-rows")  # staged, so that marks stay
-    slot = F.pmod(F.xxhash64("__h"), F.lit(64)).cast("int")
-    row = distributed_rank(marked.select("doc_id", "source", "__size", "__h"), ["doc_id", "source", "__size"], slot, [F.col("__h")], out="__row")
-    return stage_table(marked.join(row.select("__h", "__row"), "__h").drop("__h"), "mix-numbered")
+def numbered(rows: DataFrame, several: DataFrame, key: list[str], row: str) -> DataFrame:
+    """``rows`` with a number from 0 inside rows of one key, as ``row``; only rows whose key is one of ``several`` have
+    to move, and many rows without id are numbered by many tasks."""
+    mark, other = fresh_names([*rows.columns, row], "_mark", "_mark2")
+    same = [rows[k].eqNullSafe(several[k]) for k in key]
+    marked = stage_table(rows.join(several, same, "left_semi").withColumn(mark, F.monotonically_increasing_id()), "mix-rows")  # staged, so that marks stay
+    slot = F.pmod(F.xxhash64(mark), F.lit(64)).cast("int")
+    rank = distributed_rank(marked.select(*key, mark), key, slot, [F.col(mark)], out=row).select(F.col(mark).alias(other), row)
+    counted = marked.join(rank, F.col(mark) == F.col(other)).drop(mark, other)
+    single = rows.join(several, same, "left_anti").withColumn(row, F.lit(0).cast("long"))
+    return single.unionByName(counted)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
