@@ -126,31 +126,57 @@ def test_pack(docs, rows):
     assert sequences(got, 128) <= total / 128 * 1.02 + 1
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.dictionaries(st.integers(1, 16), st.integers(1, 60), max_size=16))
-def test_plan_is_a_packing_and_near_the_bound(counts):
-    plan = packing.plan_places(counts, 16)
-    used = defaultdict(list)
-    for length, n in counts.items():
-        rows = np.flatnonzero(plan["length"] == length)
-        for rank in range(n):
-            h = rows[np.searchsorted(plan["rank"][rows], rank, "right") - 1]
-            i = rank - plan["rank"][h]
-            used[plan["seq"][h] + i // plan["per"][h]].append((plan["offset"][h] + i % plan["per"][h] * length, length))
-    for v in used.values():
-        at = 0
-        for o, length in sorted(v):
-            assert o == at
-            at += length
-        assert at <= 16
-    gaps = []  # best-fit decreasing, one piece at a time
-    for length in sorted((k for k, v in counts.items() for _ in range(v)), reverse=True):
+def best_fit_decreasing(lengths, seq_len):
+    """Sequences that plain best fit needs, one piece at a time."""
+    gaps, used = [], 0
+    for length in sorted(lengths, reverse=True):
         fits = [g for g in gaps if g >= length]
-        gap = min(fits) if fits else 16
+        gap = min(fits) if fits else seq_len
+        used += not fits
         if fits:
             gaps.remove(gap)
         gaps.append(gap - length)
-    assert len(used) <= len(gaps)
+    return used
+
+
+def pieces_of(spark, lengths):
+    rows = [(k, 0, 0, n, 7, k) for k, n in enumerate(lengths)]
+    return spark.createDataFrame(rows, packing.PIECES).repartition(3)
+
+
+@pytest.mark.parametrize(("seed", "seq_len"), [(1, 16), (2, 100), (3, 1024)])
+def test_one_range_is_best_fit(spark, seed, seq_len):
+    rng = np.random.default_rng(seed)
+    lengths = [int(x) for x in np.concatenate([rng.integers(1, seq_len + 1, 150), rng.integers(1, seq_len // 4 + 1, 300), np.full(60, seq_len // 3)])]
+    got = packing.place_pieces(pieces_of(spark, lengths), seq_len).collect()
+    assert Counter(r["length"] for r in got) == Counter(lengths) and len({r["doc_id"] for r in got}) == len(lengths)
+    assert sequences(got, seq_len) == best_fit_decreasing(lengths, seq_len)
+
+
+def test_many_ranges_are_near_best_fit(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RANGE", 300)
+    rng = np.random.default_rng(4)
+    lengths = [int(min(x, 256)) for x in np.concatenate([rng.lognormal(3, 1, 2500) + 1, np.full(900, 37)])]  # a hot length
+    got = packing.place_pieces(pieces_of(spark, lengths), 256).collect()
+    assert Counter(r["length"] for r in got) == Counter(lengths) and len({r["doc_id"] for r in got}) == len(lengths)
+    assert sequences(got, 256) <= best_fit_decreasing(lengths, 256) * 1.02 + 2
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 30), st.booleans()), max_size=40))
+def test_gaps_give_the_successor(moves):
+    gaps, plain = packing.Gaps(), []
+    for k, (size, put) in enumerate(moves):
+        if put:
+            gaps.put(size, k)
+            plain.append((size, k))
+        else:
+            found = gaps.take(size)
+            fits = [g for g in plain if g[0] >= size]
+            assert (found is None) == (not fits)
+            if fits:
+                assert found[0] == min(fits)[0] and found in plain
+                plain.remove(found)
 
 
 def test_pack_edge_cases(odd_docs, rows, no_docs):
