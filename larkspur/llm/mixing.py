@@ -79,7 +79,7 @@ def tilts(cells: DataFrame, targets: DataFrame, cap: float, steps: int, toleranc
 
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), cap: int = 3, seed: int = 29, steps: int = 60, tolerance: float = 1e-7) -> DataFrame:
     """(doc_id, source, size, source_size, target, rate, copies, taken) of all documents."""
-    rows = stage_table(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")).withColumn("_h", F.xxhash64(F.lit(seed), F.col("doc_id"))), "mix-sizes")
+    rows = stage_table(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("_h")), "mix-sizes")
     cells = stage_table(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-cells")
     targets = stage_table(source_targets(cells.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).cast("long").alias("source_size")), weights, cap), "mix-targets")
     tilt = tilts(cells, targets, cap, steps, tolerance).withColumnRenamed("source", "_s2")

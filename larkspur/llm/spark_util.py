@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 #: Most bytes of an Arrow batch; a longer row is a batch of its own.
 BATCH_BYTES = "8m"
+#: Slices whose totals are summed together.
+BLOCK = 1_024
 _written: list[tuple[SparkSession, str]] = []
 
 
@@ -130,11 +132,20 @@ def distributed_rank(df: DataFrame, keys: list[str], slot: Column, order: list[C
 
     ``slot`` must be non-decreasing in the wanted order and deal the rows of one key
     evenly over its values, so a key with a third of all rows is ranked by many tasks.
+    Slices start at running sums of two levels, so the totals of a key are summed by many
+    tasks too: one task orders a total for each ``BLOCK`` slices.
     """
     dealt = df.withColumn("_slice", slot.cast("int"))
     sizes = dealt.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    sizes = sizes.withColumn("_block", F.floor(F.col("_slice") / BLOCK).cast("int"))
+    inner = Window.partitionBy(*keys, "_block").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    outer = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = sizes.groupBy(*keys, "_block").agg(F.sum("_n").alias("_n")).withColumn("_first", F.coalesce(F.sum("_n").over(outer), F.lit(0)))
+    blocks = blocks.select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)], F.col("_block").alias("_block2"), "_first")
+    same = F.col("_block") == F.col("_block2")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_b{i}"))
+    starts = sizes.withColumn("_inner", F.coalesce(F.sum("_n").over(inner), F.lit(0))).join(blocks, same).withColumn("_start", F.col("_first") + F.col("_inner"))
     renamed = starts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_slice").alias("_slice2"), "_start")
     within = Window.partitionBy(*keys, "_slice").orderBy(*order)
     numbered = dealt.withColumn("_rn", F.row_number().over(within))

@@ -3,8 +3,9 @@
 A word's embedding is the sum of hashed embeddings of the word and of its prefixes, so
 inflected forms of a known stem are near it. Filters of several widths run over all words
 of a text, the maximum over positions is taken, and a logistic unit weighs the maxima. The
-model is trained in numpy on a bounded sample of labelled rows; scoring streams whole texts
-through Arrow batches and moves no text between executors.
+model is trained in numpy on a bounded sample of labelled rows, a fifth of which takes no part
+in the steps: its loss ends the training and it calibrates the thresholds by language.
+Scoring streams whole texts through Arrow batches and moves no text between executors.
 
 * scores depend on the text only; empty and null texts get the model's score of no words;
 * very long texts are scored whole: the maximum runs over every word;
@@ -27,10 +28,10 @@ from pyspark.sql import types as T
 from larkspur.llm.spark_util import arrow_rows, give_back_memory
 from larkspur.llm.text_arrays import _CODES, _LOWER, U, span_hashes, text_slices
 
-#: Bound of the labelled rows that training reads.
-TRAIN_ROWS = 6_000
-#: Bound of the features that have an embedding.
-TRAIN_FEATURES = 300_000
+#: Bounds of the labelled rows that training reads, and of their texts together; every feature of two of them has an embedding.
+TRAIN_ROWS, TRAIN_BYTES = 6_000, 64 << 20
+#: Most passes over them; the loss on the rows that are kept out ends them sooner.
+EPOCHS = 8
 PREFIXES = (4, 5, 6)
 WIDTHS = (1, 2, 3)
 FILTERS, DIM = 8, 8
@@ -79,6 +80,9 @@ class ConvModel:
     offset: float
     thresholds: dict[str, float]
 
+    def copy(self) -> ConvModel:
+        return ConvModel(self.keys, self.table.copy(), [f.copy() for f in self.filters], self.bias.copy(), self.weights.copy(), self.offset, dict(self.thresholds))
+
     def rows_of(self, features: np.ndarray) -> np.ndarray:
         if not len(self.keys):
             return np.full(features.shape, len(self.table) - 1)
@@ -116,13 +120,24 @@ class ConvModel:
         return out
 
 
-def train(texts: list[str] | pa.Array, labels: np.ndarray, langs: list[str | None], epochs: int | None = None, seed: int = 5) -> ConvModel:
+def log_loss(scores: np.ndarray, y: np.ndarray) -> float:
+    p = np.clip(scores, 1e-6, 1 - 1e-6)
+    return float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).mean())
+
+
+def train(texts: list[str] | pa.Array, labels: np.ndarray, langs: list[str | None], epochs: int = EPOCHS, seed: int = 5) -> ConvModel:
     """Fit on a bounded sample. Embeddings start from smoothed log odds of a feature's documents, then all
-    parameters take gradient steps; only the positions of the maxima have gradients."""
+    parameters take gradient steps; only the positions of the maxima have gradients. Every fifth row of either label is
+    kept out; passes end when its loss grows, and the pass before counts."""
     rng = np.random.default_rng(seed)
-    epochs = epochs or int(np.clip(9_000 // max(len(texts), 1), 3, 10))  # small samples are seen more often
-    y = labels.astype(np.float64)
-    column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    everything = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    out = np.zeros(len(labels), bool)
+    for value in (0, 1):
+        out[np.flatnonzero(labels == value)[4::5]] = True
+    kept_out, used = np.flatnonzero(out), np.flatnonzero(~out)
+    column, y = everything.take(pa.array(used)), labels[used].astype(np.float64)
+    check_column, check_y = everything.take(pa.array(kept_out)), labels[kept_out].astype(np.float64)
+    del everything
     rate = min(max(y.mean() if len(y) else 0.0, 1e-3), 1 - 1e-3)
     # documents and toxic documents of each feature, summed slice by slice
     parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -135,8 +150,6 @@ def train(texts: list[str] | pa.Array, labels: np.ndarray, langs: list[str | Non
         counts = np.bincount(inverse, weights=np.concatenate([p[1] for p in parts]), minlength=len(every))
         toxic = np.bincount(inverse, weights=np.concatenate([p[2] for p in parts]), minlength=len(every))
         use = np.flatnonzero((counts >= 2) & (every != 0))
-        if len(use) > TRAIN_FEATURES:
-            use = np.sort(use[np.argsort(-counts[use], kind="stable")[:TRAIN_FEATURES]])
         keys, counts, toxic = every[use], counts[use], toxic[use]
         del every, inverse, parts
     else:
@@ -166,7 +179,9 @@ def train(texts: list[str] | pa.Array, labels: np.ndarray, langs: list[str | Non
     # moments for the dense part, sums of squares for the rest
     square_w, square_o = np.zeros_like(model.weights), 0.0
     square_f, square_b = [np.zeros_like(f) for f in filters], np.zeros_like(model.bias)
+    best = log_loss(model.scores(check_column), check_y) if len(check_y) else np.inf
     for epoch in range(epochs):
+        before = model.copy()
         for i in rng.permutation(len(docs)):
             f, at = docs[i]
             if not len(at):
@@ -177,10 +192,10 @@ def train(texts: list[str] | pa.Array, labels: np.ndarray, langs: list[str | Non
             padded = np.concatenate([words, np.zeros((max(WIDTHS) - 1, DIM), np.float32)])
             for k, (width, w) in enumerate(zip(WIDTHS, filters, strict=True)):
                 conv = sum(padded[j : j + len(words)] @ w[j] for j in range(width))
-                best = conv.argmax(axis=0)
+                top = conv.argmax(axis=0)
                 span = slice(k * FILTERS, (k + 1) * FILTERS)
-                places[span] = best
-                pooled[span] = np.maximum(conv[best, np.arange(FILTERS)] + model.bias[span], 0)
+                places[span] = top
+                pooled[span] = np.maximum(conv[top, np.arange(FILTERS)] + model.bias[span], 0)
             logit = pooled @ model.weights + model.offset
             error = 1 / (1 + np.exp(-np.clip(logit, -40, 40))) - y[i]
             if abs(error) < 1e-3:
@@ -204,11 +219,16 @@ def train(texts: list[str] | pa.Array, labels: np.ndarray, langs: list[str | Non
                             np.add.at(model.table, f[at[p + j]], (-0.1 * step * b * filters[k][j, :, c]).astype(np.float32))
                         filters[k][j, :, c] -= 0.2 * step * g / (1 + np.sqrt(square_f[k][j, :, c]))
                 model.table[-1] = 0
-    model.thresholds = language_thresholds(model.scores(column), labels, langs)
+        loss = log_loss(model.scores(check_column), check_y) if len(check_y) else -float(epoch)
+        if loss >= best:
+            model = before
+            break
+        best = loss
+    model.thresholds = language_thresholds(model.scores(check_column), labels[kept_out], [langs[i] for i in kept_out])
     return model
 
 
-def language_thresholds(scores: np.ndarray, labels: np.ndarray, langs: list[str | None], default: float = 0.3, least: int = 20) -> dict[str, float]:
+def language_thresholds(scores: np.ndarray, labels: np.ndarray, langs: list[str | None], default: float = 0.3, least: int = 10) -> dict[str, float]:
     """For each language with enough toxic rows the threshold of best F1, halfway to the next lower score, kept in
     [0.15, 0.6]; others use ``default``."""
     out = {"": default}
@@ -216,7 +236,7 @@ def language_thresholds(scores: np.ndarray, labels: np.ndarray, langs: list[str
     for name in np.unique(names):
         own = names == name
         s, y = scores[own], labels[own]
-        if y.sum() < least or y.min() == y.max():
+        if y.sum() < least or y.min() == y.max():  # too few to tell
             continue
         order = np.argsort(-s, kind="stable")
         hit = np.cumsum(y[order])
@@ -227,15 +247,24 @@ def language_thresholds(scores: np.ndarray, labels: np.ndarray, langs: list[str
     return out
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[pa.Array, np.ndarray, list[str | None]]:
-    """Texts, labels and languages of at most ``rows`` labelled documents that are not held out, by hash of the id."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES) -> tuple[pa.Array, np.ndarray, list[str | None]]:
+    """Texts, labels and languages of at most ``rows`` labelled documents that are not held out, in the order of a hash of
+    the id; a document that would bring the texts above ``most_bytes`` is left out. Of rows that share an id one counts."""
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     picked = usable.groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("_y")).orderBy(F.xxhash64(F.lit(3), "_id"), "_id").limit(rows)
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
-    known = docs.select("doc_id", "text", lang.alias("_lang"))
-    # at most ``rows`` rows of two numbers are broadcast
-    found = known.join(F.broadcast(picked), known["doc_id"] == F.col("_id")).select("_id", "_y", "_lang", F.coalesce("text", F.lit("")).alias("text"))
-    got = found.toArrow().sort_by([("_id", "ascending"), ("text", "ascending")])
+    known = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), lang.alias("_lang"))
+    # at most ``rows`` rows of two numbers are broadcast, and as many come back
+    own = known["doc_id"] == F.col("_id")
+    sizes = known.join(F.broadcast(picked), own).groupBy("_id", "_y").agg(F.min(F.struct(F.xxhash64("text").alias("tag"), F.octet_length("text").alias("n"))).alias("t"))
+    taken, total = [], 0
+    for r in sizes.orderBy(F.xxhash64(F.lit(3), "_id"), "_id").collect():
+        if total + r["t"]["n"] <= most_bytes:
+            total += r["t"]["n"]
+            taken.append((r["_id"], int(r["_y"]), r["t"]["tag"]))
+    chosen = docs.sparkSession.createDataFrame(taken, "_id long, _y int, _tag long")
+    found = known.join(F.broadcast(chosen), own & (F.xxhash64("text") == F.col("_tag"))).select("_id", "_y", "_lang", "text")
+    got = found.dropDuplicates(["_id"]).toArrow().sort_by([("_id", "ascending")])
     return got.column("text").combine_chunks(), (got.column("_y").to_numpy() > 0).astype(int), got.column("_lang").to_pylist()
 
 

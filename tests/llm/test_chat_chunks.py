@@ -91,3 +91,30 @@ def test_chunk_edge_cases(odd_docs, rows, no_docs, docs):
     one = docs.where("doc_id = 0")
     r = chunks.edited_pairs(one, 3).first()
     assert r["near_next"] == 1.0
+
+
+def plain_chunks(raw):
+    """Chunk ends by a rolling loop over the bytes."""
+    gear = [int(x) for x in chunks._GEAR]
+    h, at, ends = 0, 0, []
+    for i, b in enumerate(raw):
+        h = ((h << 1) + gear[b]) & 0xFFFFFFFF
+        n = i + 1 - at
+        if i + 1 == len(raw) or n >= chunks.MIN_BYTES and (h >> 24 == 0 if n < chunks.TARGET_BYTES else h >> 27 == 0) or n == chunks.MAX_BYTES:
+            ends.append(i + 1)
+            at = i + 1
+    return ends
+
+
+def test_fingerprints_equal_a_rolling_loop():
+    import random
+
+    r = random.Random(4)
+    texts = ["", "a", "x" * 700, *("".join(r.choice("abcdefgh é\n") for _ in range(r.randint(1, 3000))) for _ in range(12))]
+    got = chunks.fingerprints(pa.array(texts, pa.string()))
+    for text, own in zip(texts, got, strict=True):
+        raw = text.encode()
+        ends = plain_chunks(raw)
+        parts = {raw[a:b] for a, b in zip([0, *ends], ends)}
+        assert len(own) == len(parts) and sorted(int(x & 255) + 1 for x in own.tolist()) == sorted(len(p) for p in parts)
+        assert chunks.weight(own) == sum(len(p) for p in parts)

@@ -1,3 +1,4 @@
+import hashlib
 import zlib
 from collections import Counter, defaultdict
 
@@ -30,6 +31,32 @@ def test_shards(docs, rows, monkeypatch, per_slice):
     assert again == {r["doc_id"]: (r["shard"], r["slot"]) for r in got}
 
 
+def plain_interleaving(rows, shards, seed=17):
+    """{(doc_id, crc): (shard, slot)} by sorting in one place."""
+    def h(*parts):
+        return int(hashlib.md5(":".join("" if p is None else str(p) for p in (seed, *parts)).encode()).hexdigest()[:15], 16)
+
+    by = defaultdict(list)
+    for doc, text, _, source, _ in rows:
+        raw = (text or "").encode()
+        by[source].append((h(doc, zlib.crc32(raw), len(raw) + 16), doc, zlib.crc32(raw)))
+    order = sorted(((k + 0.5) / len(own), h(source, k), *r) for source, own in by.items() for k, r in enumerate(sorted(own)))
+    out, n = {}, len(order)
+    for g, (*_, doc, crc) in enumerate(order):
+        shard = g * shards // n
+        out[doc, crc] = (shard, g - -(-shard * n // shards))
+    return out
+
+
+@pytest.mark.parametrize(("per_slice", "block"), [(2_000, 1_024), (4, 3)])
+def test_shards_equal_a_plain_sort(docs, rows, monkeypatch, per_slice, block):
+    monkeypatch.setattr(shards, "slices_for", lambda n: spark_util.slices_for(n, per_slice))
+    monkeypatch.setattr(spark_util, "BLOCK", block)
+    long = rows + [(7000, "very long " * 100_000, "en", "a", 1)]
+    got = shards.shard_documents(docs.sparkSession.createDataFrame(long, docs.schema).repartition(3), 7).collect()
+    assert {(r["doc_id"], r["text_crc32"]): (r["shard"], r["slot"]) for r in got} == plain_interleaving(long, 7)
+
+
 def test_shard_edge_cases(odd_docs, rows, no_docs):
     assert shards.shard_documents(odd_docs).count() == len(rows) + 6
     assert shards.shard_documents(no_docs).count() == 0
@@ -75,6 +102,8 @@ def test_mix_edge_cases(spark, odd_docs, rows, no_docs):
     assert mixing.mix_sources(no_docs).count() == 0
     blank = spark.createDataFrame([(1, None, "a"), (2, "", "b")], "doc_id long, text string, source string")
     assert [(r["size"], r["taken"], r["target"]) for r in mixing.mix_sources(blank).collect()] == [(0, 0, 0.0)] * 2
+    long = spark.createDataFrame([(1, "w " * 300_000, "a"), (2, "w", "b"), (3, "x y", "b")], "doc_id long, text string, source string")
+    assert {r["doc_id"]: r["size"] for r in mixing.mix_sources(long).collect()} == {1: 300_000, 2: 1, 3: 2}
     one = spark.createDataFrame([(i, "w " * (i % 7 + 1), None) for i in range(50)], "doc_id long, text string, source string")
     assert sum(r["taken"] for r in mixing.mix_sources(one).collect()) == sum(i % 7 + 1 for i in range(50))
 

@@ -67,3 +67,44 @@ def test_language_thresholds():
     y = np.array([1, 1, 0, 0] * 30)
     got = toxicity.language_thresholds(s, y, ["en"] * 120)
     assert 0.45 < got["en"] <= 0.65 and got[""] == 0.3
+
+
+def plain_maxima(model, words):
+    """All filters at every position of one text, beyond whose end there are no words."""
+    out = []
+    for k, width in enumerate(toxicity.WIDTHS):
+        for c in range(toxicity.FILTERS):
+            at = [sum(float(words[p + j] @ model.filters[k][j][:, c]) for j in range(width) if p + j < len(words)) for p in range(len(words))]
+            out.append(max(0.0, max(at) + float(model.bias[k * toxicity.FILTERS + c])) if at else 0.0)
+    return out
+
+
+def test_pooled_equals_a_plain_convolution():
+    rng = np.random.default_rng(6)
+    filters = [rng.normal(size=(w, toxicity.DIM, toxicity.FILTERS)).astype(np.float32) for w in toxicity.WIDTHS]
+    model = toxicity.ConvModel(np.zeros(0, np.uint64), np.zeros((1, toxicity.DIM), np.float32), filters, rng.normal(size=24).astype(np.float32), np.zeros(24), 0.0, {})
+    lengths = [0, 1, 2, 3, 0, 7, 1]
+    first = np.cumsum([0, *lengths])
+    vectors = rng.normal(size=(sum(lengths), toxicity.DIM)).astype(np.float32)
+    want = [plain_maxima(model, vectors[a:b]) for a, b in zip(first, first[1:])]
+    assert np.allclose(model.pooled(vectors, first), want, atol=1e-4)
+
+
+def test_sample_is_bounded_and_whole(spark):
+    docs = spark.createDataFrame([(i, f"t{i} " * 50, "en") for i in range(40)] + [(3, "again", "de"), (5, None, "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    texts, y, langs = toxicity.labelled_sample(docs, labels, rows=10)
+    assert len(texts) == len(y) == len(langs) == 10
+    every = {r["doc_id"]: set() for r in docs.collect()}
+    for r in docs.collect():
+        every[r["doc_id"]].add(r["text"] or "")
+    texts, y, _ = toxicity.labelled_sample(docs, labels, most_bytes=900)
+    assert 0 < len(texts) < 10 and sum(len(t.as_py()) for t in texts) <= 900 and all(any(t.as_py() in v for v in every.values()) for t in texts)
+
+
+def test_training_ends_by_the_rows_kept_out():
+    rows = corpus(400)
+    texts, y, langs = [r[1] for r in rows], np.array([r[3] for r in rows]), [r[2] for r in rows]
+    kept_out = np.concatenate([np.flatnonzero(y == v)[4::5] for v in (0, 1)])
+    losses = [toxicity.log_loss(toxicity.train(texts, y, langs, epochs=e).scores(pa.array([texts[i] for i in kept_out])), y[kept_out]) for e in (0, 1, 8)]
+    assert losses[2] <= losses[1] < losses[0]
