@@ -6,8 +6,15 @@ declarative mapping that turns the record into canonical ``(role, text)`` turns.
 rendered with control strings; control strings inside roles and texts are escaped with a
 backslash, which ``read_back`` undoes exactly.
 
-* null roles and texts count as empty; a record that is null, no object or of no known
-  layout gives one row with a null ``layout``, ``segment`` and ``turn``;
+* null roles and texts count as empty; a text that is a list of parts is the parts' texts, one
+  after another; other values are their JSON; a lone surrogate becomes U+FFFD;
+* an item of a list of turns that is no object is a turn without role, and an empty list has no turns: one row
+  with a null ``segment`` and ``turn``;
+* a record with the fields of several layouts counts as the first of them in ``MAPPINGS``;
+* a record that is null, no object, nested too deeply to read or of no known layout gives one row
+  with a null ``layout``, ``segment`` and ``turn``; ``read_back`` answers a conversation without turns with zeros;
+* a conversation's digests run over its turns in order, so one conversation is one task's work,
+  streamed, whatever its length;
 * turns of a conversation keep the order of ``turn`` (null first), then of their rendered
   text, so repeated rows stay repeated and ties have one order;
 * other fields of a record are ignored unless they share a mapping's path.
@@ -31,6 +38,7 @@ TURN, TEXT, DONE = "<|turn|>", "<|text|>", "<|done|>"
 CONTROL = r"([<\[])(\|(?:turn|text|done|endoftext|im_start|im_end)\|>|/?s>|</?SYS>>|/?INST\])"
 _CONTROL = re.compile(CONTROL)
 _ESCAPED = re.compile(r"\\(\\?)")
+_SURROGATE = re.compile("[\ud800-\udfff]")
 _SEGMENT = re.compile(r"<\|turn\|>(.*?)<\|text\|>(.*?)<\|done\|>", re.S)
 
 
@@ -83,17 +91,42 @@ def fingerprint(paths: set[str]) -> str:
 
 def layout_table(mappings: tuple[Mapping, ...]) -> tuple[set[str], dict[str, Mapping]]:
     """All paths that mappings name, and the mapping of each fingerprint."""
-    known = {p for m in mappings for p in (*m.required, *m.optional)}
+    known = {p for m in mappings for p in (*m.required, *m.optional, *([f"{m.turns}[]"] if m.turns else []))}
     table = {}
     for m in mappings:
-        for n in range(len(m.optional) + 1):
-            for extra in itertools.combinations(m.optional, n):
+        items = (f"{m.turns}[]",) if m.turns else ()
+        optional = (*m.optional, *items)
+        for n in range(len(optional) + 1):
+            for extra in itertools.combinations(optional, n):
                 table.setdefault(fingerprint({*m.required, *extra}), m)
+        if m.turns:
+            table.setdefault(fingerprint({*items}), m)
     return known, table
 
 
+def known_paths(value: object, known: set[str]) -> set[str]:
+    """The paths of a record, each cut down to the longest known path that it starts with."""
+    out = set()
+    for path in field_paths(value):
+        while path and path not in known:
+            path = path[:-2] if path.endswith("[]") else path.rpartition(".")[0]
+        out.add(path)
+    return out - {""}
+
+
+def layout_of(value: object, known: set[str], table: dict[str, Mapping], mappings: tuple[Mapping, ...]) -> Mapping | None:
+    """The mapping of a record's fingerprint; with the fields of several, the first whose fields are all there."""
+    if not isinstance(value, dict):
+        return None
+    paths = known_paths(value, known)
+    return table.get(fingerprint(paths)) or next((m for m in mappings if paths.issuperset(m.required)), None)
+
+
 def _string(value: object) -> str:
-    return "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    if isinstance(value, list) and all(isinstance(x, str) or isinstance(x, dict) and isinstance(x.get("text"), str | None) for x in value):
+        value = "".join(x if isinstance(x, str) else x.get("text") or "" for x in value)
+    text = "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    return _SURROGATE.sub("\ufffd", text)
 
 
 def turns_of(record: object, mapping: Mapping) -> list[tuple[str, str]]:
@@ -101,7 +134,10 @@ def turns_of(record: object, mapping: Mapping) -> list[tuple[str, str]]:
         return [(_string(record.get("role")), _string(record.get("text")))]
     if mapping.turns:
         out = []
-        for x in record[mapping.turns]:
+        for x in record[mapping.turns] or ():
+            if not isinstance(x, dict):
+                out.append(("", _string(x)))
+                continue
             role = _string(x.get(mapping.role))
             out.append((mapping.roles.get(role, role), _string(x.get(mapping.text))))
         return out
@@ -133,9 +169,9 @@ def format_records(records: DataFrame, conv: str, order: str, record: Column, ma
             for c, o, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 try:
                     value = json.loads(raw) if raw is not None else None
-                except ValueError:
-                    value = None
-                found = table.get(fingerprint(field_paths(value) & known)) if isinstance(value, dict) else None
+                    found = layout_of(value, known, table, mappings)
+                except (ValueError, RecursionError):
+                    found = None
                 if found is None:
                     made = [(c, o, None, None, None, None, None)]
                 else:
@@ -144,6 +180,7 @@ def format_records(records: DataFrame, conv: str, order: str, record: Column, ma
                         segment, a, b = render(role, text)
                         under = role == "assistant"
                         made.append((c, o, k, found.name, segment, a if under else 0, b if under else 0))
+                    made = made or [(c, o, None, found.name, None, None, None)]
                 for row in made:
                     for column, x in zip(rows, row, strict=True):
                         column.append(x)
@@ -159,7 +196,7 @@ def read_back(segments: DataFrame) -> DataFrame:
     Segments are sorted by conversation and streamed through running digests, so a conversation
     of any length needs a bounded amount of memory.
     """
-    dealt = segments.where(F.col("segment").isNotNull()).repartition("conv_id").sortWithinPartitions("conv_id", "record_no", "turn", "segment")
+    dealt = segments.repartition("conv_id").sortWithinPartitions("conv_id", "record_no", "turn", "segment")
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
@@ -176,6 +213,8 @@ def read_back(segments: DataFrame) -> DataFrame:
                     if now is not None:
                         done.append(close(now))
                     now = [c, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                if segment is None:
+                    continue
                 for role, text in _SEGMENT.findall(segment):
                     now[1] += 1
                     now[2].update(f"{unescape(role)}\n{unescape(text)}\n".encode())

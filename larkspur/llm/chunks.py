@@ -9,7 +9,7 @@ lengths; two are compared by the length of the chunks they share.
 * null text counts as empty; the fingerprint of an empty text is the empty string, which
   is like another empty one (1) and like nothing else (0);
 * equal texts have equal fingerprints; repeated rows are kept, in the order of their texts;
-* rows without ``doc_id`` come before all others.
+* rows without ``doc_id`` come before all others; rows that share an id are sorted by one task.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -106,22 +107,41 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return min(containment(a, b))
 
 
+#: Bytes of text in a part, about.
+PART_BYTES = 32 << 20
+
+
+def parts_for(docs: DataFrame) -> int:
+    """Parts of bounded size: as many as the corpus needs, and not fewer than the session's shuffles have."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
+
+
 def in_id_order(docs: DataFrame, parts: int) -> DataFrame:
     """Rows (p, last, _id, doc_id, text) sorted by (p, last, _id, text): each part holds a range of ids and, marked
-    ``last``, the first row of the next part (of the first part after the last). One shuffle moves the texts."""
+    ``last``, the first row of the next part (of the first part after the last). One shuffle moves the texts; a number or
+    two for each part come to the driver."""
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_id"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ids = keyed.select("_id")
     bounds = sorted({int(x) for x in ids.approxQuantile("_id", [i / parts for i in range(1, parts)], 0.2 / parts)}) if parts > 1 else []
-    p = F.expr(f"size(filter(array({', '.join(f'{x}L' for x in bounds)}), b -> b <= _id))") if bounds else F.lit(0)
-    # one row for each part comes to the driver
-    firsts = sorted((r["p"], r["_id"]) for r in ids.groupBy(p.alias("p")).agg(F.min("_id").alias("_id")).collect())
-    also = {first: firsts[k - 1][0] for k, (_, first) in enumerate(firsts)}
-    here = F.struct(p.alias("p"), F.lit(False).alias("last"))
-    if also:
-        other = F.create_map(*[F.lit(x) for kv in also.items() for x in kv])
-        copies = F.when(F.col("_id").isin(list(also)), F.array(here, F.struct(other[F.col("_id")].alias("p"), F.lit(True).alias("last")))).otherwise(F.array(here))
-    else:
-        copies = F.array(here)
+    edges = np.array(bounds, np.int64)
+
+    @F.pandas_udf("int")
+    def part(x: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(edges, x.to_numpy(), "right").astype(np.int32))
+
+    firsts = sorted((r["p"], r["_id"]) for r in ids.groupBy(part("_id").alias("p")).agg(F.min("_id").alias("_id")).collect())
+    heads = np.array([first for _, first in firsts], np.int64)
+    before = np.array([firsts[k - 1][0] for k in range(len(firsts))], np.int32)
+
+    @F.pandas_udf("array<struct<p:int,last:boolean>>")
+    def places(x: pd.Series) -> pd.Series:
+        own = x.to_numpy()
+        p = np.searchsorted(edges, own, "right")
+        at = np.minimum(np.searchsorted(heads, own), len(heads) - 1)
+        return pd.Series([[{"p": int(a), "last": False}] + ([{"p": int(before[k]), "last": True}] if first else []) for a, k, first in zip(p, at, heads[at] == own, strict=True)])
+
+    copies = places("_id")
     spread = keyed.select("_id", "doc_id", "text", F.explode(copies).alias("c")).select("c.p", "c.last", "_id", "doc_id", "text")
     return spread.repartition(parts, "p").sortWithinPartitions("p", "last", "_id", "text")
 

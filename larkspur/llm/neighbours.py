@@ -11,7 +11,8 @@ query's worst candidate. The best candidates are scored again in double
 precision on the original vectors.
 
 * vectors that are null, zero, hold null or non-finite components, or whose length is not
-  the commonest one take no part; nor do rows without id;
+  the commonest one take no part; nor do rows without id; rows that repeat a vector under its id
+  count once, and of rows that share an id with different vectors the one with the least hash counts;
 * ties go to the smaller id; of equal vectors all ids are candidates (the ``k + 1`` smallest
   are enough for any answer);
 * all rows are indexed. The trees' split points are fitted on a bounded sample (``SAMPLE``).
@@ -22,6 +23,7 @@ from __future__ import annotations
 import itertools
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from larkspur.llm.spark_util import arrow_rows, drop_table, give_back_shuffles, stage_table
+from larkspur.llm.spark_util import arrow_rows, delete_path, drop_table, give_back_shuffles, shared_dir, stage_table
 
 #: Vectors that tree splits are fitted on.
 SAMPLE = 16_384
@@ -361,8 +363,9 @@ def graph_search(queries: DataFrame, adjacency: DataFrame, rounds: tuple[int, ..
     return state.select("q", "ids", "sims")
 
 
-def adjacency_table(graph: DataFrame, codes: DataFrame, seed: int, buckets: int) -> tuple[DataFrame, str]:
-    """(u, ids, codes, scales), and its table's name: neighbours in both directions with their quantised vectors, bucketed by ``u`` so that
+@contextmanager
+def adjacency_table(graph: DataFrame, codes: DataFrame, seed: int, buckets: int) -> Iterator[DataFrame]:
+    """(u, ids, codes, scales), a table in the shared folder that goes at the end: neighbours in both directions with their quantised vectors, bucketed by ``u`` so that
     search rounds move queries only."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -380,26 +383,49 @@ def adjacency_table(graph: DataFrame, codes: DataFrame, seed: int, buckets: int)
 
     sent = exchanged(graph, codes.withColumn("worst", F.lit(0.0).cast("float")), NEIGHBOURS, seed)
     rows = sent.select("c", "x", "code", "scale").repartition(buckets, "c").sortWithinPartitions("c").mapInArrow(gather, "u long, ids binary, codes binary, scales binary")
+    spark = graph.sparkSession
     name = f"adjacency_{uuid.uuid4().hex}"
-    rows.write.bucketBy(buckets, "u").sortBy("u").saveAsTable(name)
-    return graph.sparkSession.table(name), name
+    path = f"{shared_dir(spark)}/{name}"
+    try:
+        rows.write.option("path", path).bucketBy(buckets, "u").sortBy("u").saveAsTable(name)
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # its files stay, as the path was given
+        delete_path(spark, path)
 
 
-def nearest(table: DataFrame, query_ids: DataFrame, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding", trees: int = 8, rounds: tuple[int, ...] = (1, 64, 128, 160), width: int = 400, seed: int = 11) -> DataFrame:
+def search_width(count: int) -> int:
+    """Candidates of a search: more in larger tables, where true neighbours lie among more that are as near."""
+    return max(400, round(11 * count ** (1 / 3)))
+
+
+def one_of_each_id(vectors: DataFrame) -> DataFrame:
+    """``vectors`` (staged) with one row for each id; only where ids repeat does anything move but ids and hashes."""
+    several = vectors.groupBy("id").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("h1", "h2")).alias("_h")).where("_n > 1")
+    if several.isEmpty():
+        return vectors
+    marked = vectors.join(several, "id", "left")
+    chosen = marked.where(F.col("_n").isNull() | (F.struct("h1", "h2") == F.col("_h")))
+    return stage_table(chosen.drop("_n", "_h").dropDuplicates(["id"]), "vectors")
+
+
+def nearest(table: DataFrame, query_ids: DataFrame, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding", trees: int = 8, rounds: tuple[int, ...] = (1, 64, 128, 160), width: int | None = None, seed: int = 11) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of each query among all rows but its own.
 
-    ``query_ids`` has one column with ids of rows of ``table``.
+    ``query_ids`` has one column with ids of rows of ``table``. A search keeps ``width`` candidates, by default
+    ``search_width`` of the number of vectors.
     """
     spark = table.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     with arrow_rows(spark, 4000):
         vectors, dim = usable_vectors(table, id_column, vector_column)
         vectors = stage_table(vectors.withColumn("h1", F.xxhash64("v")).withColumn("h2", F.xxhash64(F.lit(1), "v")), "vectors")
+        vectors = one_of_each_id(vectors)
         # of equal vectors the k + 1 smallest ids can be answers; window group limits cut them before the shuffle
         equal = Window.partitionBy("h1", "h2").orderBy("id")
         small = vectors.select("id", "h1", "h2").withColumn("_r", F.row_number().over(equal)).where(F.col("_r") <= k + 1)
         classes = stage_table(small.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.sort_array(F.collect_list("id")).alias("members")), "vector-classes")
-        nodes = stage_table(vectors.join(classes.select(F.col("rep").alias("id"), "h1", "h2"), ["id", "h1", "h2"]).select("id", "v").dropDuplicates(["id"]), "nodes")
+        nodes = stage_table(vectors.join(classes.select(F.col("rep").alias("id"), "h1", "h2"), ["id", "h1", "h2"]).select("id", "v"), "nodes")
         count = nodes.count()
 
         def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -410,7 +436,6 @@ def nearest(table: DataFrame, query_ids: DataFrame, k: int = 20, id_column: str
         codes = stage_table(nodes.mapInArrow(encode, "x long, code binary, scale float"), "codes")
         graph = stage_table(merged(leaf_graph(nodes, dim, trees, count, seed), NEIGHBOURS), "graph")
         graph = descend(graph, codes, seed, NEIGHBOURS, count)
-        adjacency, adjacency_name = adjacency_table(graph, codes, seed, buckets)
         # a query's class is where its search starts
         wanted = vectors.join(query_ids.toDF("id").distinct(), "id").join(classes.select("h1", "h2", "rep"), ["h1", "h2"]).select("id", "rep")
         wanted = stage_table(wanted, "queries")
@@ -421,7 +446,8 @@ def nearest(table: DataFrame, query_ids: DataFrame, k: int = 20, id_column: str
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_pack(x, "<f4"), pa.binary())], ["q", "v"])
 
         starts = nodes.join(wanted.select(F.col("rep").alias("id")).distinct(), "id").select("id", "v").mapInArrow(floats, "q long, v binary")
-        found = graph_search(starts, adjacency, rounds, width)
+        with adjacency_table(graph, codes, seed, buckets) as adjacency:
+            found = graph_search(starts, adjacency, rounds, width or search_width(count))
 
         def finalists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -440,7 +466,6 @@ def nearest(table: DataFrame, query_ids: DataFrame, k: int = 20, id_column: str
         pairs = found.select("q", "ids").mapInArrow(finalists, "q long, y long")
         full = pairs.join(nodes.toDF("q", "_a"), "q").join(nodes.toDF("y", "_b"), "y").select("q", "y", "_a", "_b")
         scored = stage_table(full.mapInArrow(score, "q long, y long, score double"), "scored")
-    spark.sql(f"DROP TABLE IF EXISTS {adjacency_name}")
     members = classes.select(F.col("rep").alias("y"), "members")
     answers = wanted.join(scored, wanted["rep"] == scored["q"]).join(members, "y").select(F.col("id").alias("query_id"), "score", F.explode("members").alias("vec_id")).where("vec_id <> query_id")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

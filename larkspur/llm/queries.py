@@ -61,7 +61,8 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunks.edited_pairs(table(spark, sf_dir, "documents"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    docs = table(spark, sf_dir, "documents")
+    return chunks.edited_pairs(docs, chunks.parts_for(docs))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

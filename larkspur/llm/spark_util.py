@@ -40,7 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     hadoop = jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
@@ -51,7 +51,7 @@ def _drop_all() -> None:
     while _written:
         spark, path = _written.pop()
         try:
-            _delete(spark, path)
+            delete_path(spark, path)
         except Exception:  # the session has ended: the cluster clears its checkpoint folder itself
             return
 
@@ -74,7 +74,7 @@ def drop_table(df: DataFrame) -> None:
     """Remove a staged table that no later plan reads."""
     path = getattr(df, "_staged_at", None)
     if path:
-        _delete(df.sparkSession, path)
+        delete_path(df.sparkSession, path)
         _written[:] = [x for x in _written if x[1] != path]
 
 

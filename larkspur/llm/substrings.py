@@ -7,8 +7,10 @@ One aggregation finds nodes that occur in two documents and whether all their oc
 enter by one edge and leave by one edge. Joined back to their source coordinates, nodes
 compact into nonbranching paths: text that every occurrence of a node has in common. A
 window that lies inside the common text of its node occurs in exactly the node's documents,
-so nothing about it has to be counted; only windows across a branch are hashed whole,
-grouped, and verified by their own coordinates.
+so nothing about it has to be counted; only windows across a branch are hashed whole and
+grouped. A 64-bit hash is trusted only among the occurrences of one node, whose edges hold
+the node's own words, so nodes that collide branch; windows across branches, which are
+compared over the whole corpus, have 128 bits.
 
 * words are ``[^\\x20\\x09-\\x0D]+``, unchanged; null or empty text has none;
 * windows that repeat only inside one document, or among rows that share a ``doc_id``, stay;
@@ -29,10 +31,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur.llm.spark_util import arrow_rows, drop_table, fresh_names, stage_table
-from larkspur.llm.text_arrays import as_long, find_words, sequence_hashes, sliding_argmin, text_slices, word_hashes
+from larkspur.llm.text_arrays import as_long, find_words, mix, sequence_hashes, sliding_argmin, span_hashes, text_slices, word_hashes
 
 KMER = 10
 _START, _END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
+_BASE2 = 0x9FB21C651E98DF25
 
 
 def picked_kmers(words: np.ndarray, first: np.ndarray, window: int, kmer: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -100,13 +103,13 @@ def as_runs(marks: np.ndarray) -> list[int]:
 
 
 def judge_windows(docs: DataFrame, found: DataFrame, window: int, kmer: int) -> DataFrame:
-    """(doc_id, tag, gone, pos, hash): runs of windows that are known to repeat earlier, and the windows across branches."""
+    """(doc_id, tag, gone, pos, hash, hash2): runs of windows that are known to repeat earlier, and the windows across branches."""
     nodes = found.toDF("_d", "_t", "nodes")
     joined = docs.join(nodes, (F.col("doc_id") == F.col("_d")) & (F.col("tag") == F.col("_t"))).select("doc_id", "tag", "text", F.col("nodes.pos").alias("at"), F.col("nodes.least_doc").alias("least"), F.col("nodes.one_in").alias("one_in"), F.col("nodes.one_out").alias("one_out"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "tag", "gone", "pos", "hash"]
-        types = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+        names = ["doc_id", "tag", "gone", "pos", "hash", "hash2"]
+        types = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
         for batch in batches:
             ids, tags = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for low, high, data, offsets in text_slices(batch.column(2)):
@@ -130,10 +133,12 @@ def judge_windows(docs: DataFrame, found: DataFrame, window: int, kmer: int) ->
                     out[1].append(tags[row])
                     out[2].append(as_runs(inside & (doc[k] < ids[row])))
                     out[3].append(open_)
-                    out[4].append(as_long(sequence_hashes(words[f : f + n], open_, open_ + window)) if len(open_) else open_)
+                    own = words[f : f + n]
+                    out[4].append(as_long(sequence_hashes(own, open_, open_ + window)) if len(open_) else open_)
+                    out[5].append(as_long(span_hashes(mix(own ^ _START), open_, open_ + window, _BASE2)) if len(open_) else open_)
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types, strict=True)], names)
 
-    return joined.mapInArrow(run, "doc_id long, tag long, gone array<int>, pos array<int>, hash array<long>")
+    return joined.mapInArrow(run, "doc_id long, tag long, gone array<int>, pos array<int>, hash array<long>, hash2 array<long>")
 
 
 def remove_repeats(docs: DataFrame, window: int = 50, kmer: int = KMER, names: tuple[str, str, str] = ("n_words", "n_removed", "kept_sha256")) -> DataFrame:
@@ -151,9 +156,9 @@ def remove_repeats(docs: DataFrame, window: int = 50, kmer: int = KMER, names: t
         found = placed.groupBy("doc_id", "tag").agg(F.sort_array(F.collect_list(F.struct("pos", "least_doc", "one_in", "one_out"))).alias("nodes"))
         judged = stage_table(judge_windows(keyed, found, window, kmer), "repeat-judged")
     drop_table(nodes)
-    across = judged.select("doc_id", "tag", F.explode(F.arrays_zip("pos", "hash")).alias("w")).select("doc_id", "tag", F.col("w.pos").alias("pos"), F.col("w.hash").alias("hash"))
-    least = across.groupBy("hash").agg(F.min("doc_id").alias("_least"), F.max("doc_id").alias("_last")).where("_least < _last").drop("_last")
-    later = across.join(stage_table(least, "repeat-across"), "hash").where("doc_id > _least").groupBy("doc_id", "tag").agg(F.collect_set("pos").alias("across"))
+    across = judged.select("doc_id", "tag", F.explode(F.arrays_zip("pos", "hash", "hash2")).alias("w")).select("doc_id", "tag", "w.pos", "w.hash", "w.hash2")
+    least = across.groupBy("hash", "hash2").agg(F.min("doc_id").alias("_least"), F.max("doc_id").alias("_last")).where("_least < _last").drop("_last")
+    later = across.join(stage_table(least, "repeat-across"), ["hash", "hash2"]).where("doc_id > _least").groupBy("doc_id", "tag").agg(F.collect_set("pos").alias("across"))
     runs = judged.where(F.size("gone") > 0).select("doc_id", "tag", "gone").distinct()
     cuts = stage_table(runs.join(later, ["doc_id", "tag"], "full").toDF(d, t, g, a), "repeat-cuts")
     drop_table(judged)

@@ -52,7 +52,7 @@ def powers(n: int, base: int = int(_P)) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(size, U(base)), np.full(size, U(pow(base, -1, 1 << 64)))
     up[0] = down[0] = U(1)
     made = np.cumprod(up, dtype=U), np.cumprod(down, dtype=U)
-    if size <= SLICE_BYTES * 2:
+    if size <= SLICE_BYTES * 2:  # a few bases only are in use
         _powers[base] = made
     return made[0][:n], made[1][:n]
 

@@ -118,3 +118,59 @@ def test_fingerprints_equal_a_rolling_loop():
         parts = {raw[a:b] for a, b in zip([0, *ends], ends)}
         assert len(own) == len(parts) and sorted(int(x & 255) + 1 for x in own.tolist()) == sorted(len(p) for p in parts)
         assert chunks.weight(own) == sum(len(p) for p in parts)
+
+
+def formatted(spark, records):
+    df = spark.createDataFrame([(i, 0, json.dumps(x) if not isinstance(x, str) else x) for i, x in enumerate(records)], "conv_id long, n long, record string")
+    rows = chat.format_records(df, "conv_id", "n", F.col("record"))
+    out = {}
+    for r in rows.orderBy("conv_id", "turn").collect():
+        own = out.setdefault(r["conv_id"], [r["layout"]])
+        own += [tuple(chat.unescape(x) for x in t) for t in chat._SEGMENT.findall(r["segment"] or "")]
+    return [out[i] for i in range(len(records))], {r["conv_id"]: r for r in chat.read_back(rows).collect()}
+
+
+def test_odd_layouts_have_defined_results(spark):
+    deep = "[" * 100_000
+    got, back = formatted(spark, [
+        {"messages": ["hi", None, {"role": "user", "content": "x"}]},
+        {"messages": []},
+        {"messages": None},
+        {"prompt": "p", "completion": "c", "response": "r"},
+        {"messages": [{"role": "user", "content": "m"}], "prompt": "p"},
+        {"messages": [{"role": "user", "content": [{"type": "text", "text": "a"}, {"type": "image", "url": "u"}, {"type": "text", "text": "b"}], "name": "n"}]},
+        '{"prompt": "\\ud800x", "completion": "y"}',
+        '{"messages": ' + deep,
+        {"messages": [{"role": "user"}]},
+        {"conversations": [{"from": "human", "value": 5}, {"from": "gpt", "value": {"k": [1]}}]},
+    ])
+    assert got[0] == ["messages", ("", "hi"), ("", ""), ("user", "x")]
+    assert got[1] == ["messages"] and got[2][0] is None
+    assert got[3] == ["prompt_completion", ("user", "p"), ("assistant", "c")]
+    assert got[4] == ["messages", ("user", "m")]
+    assert got[5] == ["messages", ("user", "ab")]
+    assert got[6] == ["prompt_completion", ("user", "�x"), ("assistant", "y")]
+    assert got[7] == [None] and got[8] == [None]
+    assert got[9] == ["conversations", ("user", "5"), ("assistant", '{"k": [1]}')]
+    assert len(back) == 10 and [back[i]["n_turns"] for i in (1, 7, 0)] == [0, 0, 3]
+
+
+JSON = st.recursive(st.none() | st.booleans() | st.integers(-9, 9) | st.text(max_size=4), lambda x: st.lists(x, max_size=3) | st.dictionaries(st.sampled_from(["messages", "role", "content", "prompt", "completion", "conversations", "from", "value", "text", "x"]), x, max_size=3), max_leaves=9)
+
+
+@settings(max_examples=300, deadline=None)
+@given(JSON)
+def test_any_record_has_turns_or_no_layout(value):
+    known, table = chat.layout_table(chat.MAPPINGS)
+    found = chat.layout_of(value, known, table, chat.MAPPINGS)
+    if found:
+        for role, text in chat.turns_of(value, found):
+            segment, a, b = chat.render(role, text)
+            segment.encode()
+            assert chat._SEGMENT.fullmatch(segment) and chat.unescape(segment[a:b]) == text
+
+
+def test_very_long_conversation_and_extra_columns(spark):
+    rows = spark.range(3000).selectExpr("7L conv_id", "id n", "if(id % 2 = 0, 'user', 'assistant') role", "repeat('long ', 200) text", "'x' layout", "'y' segment")
+    got = chat.read_back(chat.format_records(rows, "conv_id", "n", F.to_json(F.struct("role", "text")))).collect()
+    assert [(r["conv_id"], r["n_turns"], r["loss_chars"]) for r in got] == [(7, 3000, 1500 * 1000)]

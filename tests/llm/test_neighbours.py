@@ -57,3 +57,21 @@ def test_rounds_go_on_until_settled(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "stage_table", lambda df, name: df)
     last = neighbours.descend(spark.createDataFrame([(0, 1000)], "u long, changed int"), None, 1, 10, 400)
     assert last.first()["changed"] == 3 and changes == [2]
+
+
+def test_repeated_ids(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(50, 6))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    plain = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    again = spark.createDataFrame([*rows, *rows[:20], (7, [9.0] * 6)], "vec_id long, embedding array<double>")
+    ask = plain.where("vec_id % 20 = 0").select("vec_id")
+    want = {(r["query_id"], r["vec_id"]): r["score"] for r in neighbours.nearest(plain, ask, 49).collect()}
+    got = {(r["query_id"], r["vec_id"]): r["score"] for r in neighbours.nearest(again, ask, 49).collect()}
+    assert len(got) == len(want) == 3 * 49
+    assert all(got[k] == pytest.approx(want[k]) or k[1] == 7 and got[k] == pytest.approx(9 * x[k[0]].sum()) for k in want)
+
+
+def test_width_grows_with_the_table():
+    widths = [neighbours.search_width(n) for n in (0, 1_000, 51_282, 200_000, 1_000_000, 10**9)]
+    assert widths == sorted(widths) and widths[0] == 400 and widths[4] == 1_100
