@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import html
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -108,6 +111,24 @@ def normalise_spaces(text: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(text, r"\s+", " ")))
 
 
+def unescaped(text: Column) -> Column:
+    """HTML entities, twice over, as characters."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda x: None if x is None else html.unescape(html.unescape(x)))
+
+    return run(text)
+
+
+def judge_request(kind: Column, question: Column, truth: Column, answer: Column) -> Column:
+    """T6, without the model: what a judge of answers is asked. Tags of image and kind leave the question, and start and
+    end marks the answer. The judge's own instructions are the caller's."""
+    asked = remove(question, "<image>\n", "<report_generation>", "<short_answer>", "<long_answer>", "<multiple_choice>")
+    parts = [("Question type: ", question_bucket(kind)), ("Question: ", asked), ("Ground truth answer: ", truth), ("Generated answer: ", remove(answer, "<s>", "</s>"))]
+    return F.concat_ws("\n\n", *[F.concat(F.lit(head), F.coalesce(value, F.lit(""))) for head, value in parts])
+
+
 def image_token_first(text: Column, start_end: bool = False) -> Column:
     """An image token moves to its own first line."""
     rest = F.trim(F.replace(text, F.lit("<image>"), F.lit("")))

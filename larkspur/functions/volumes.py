@@ -144,15 +144,59 @@ def centre_crop2d(x: np.ndarray, size: int) -> np.ndarray:
     return x[..., a : a + size, b : b + size]
 
 
-def image_errors(a: np.ndarray, b: np.ndarray, peak: float = 1.0) -> tuple[float, float | None, float]:
-    """Mse, psnr (null where equal) and global ssim of two volumes."""
+def mosaic(x: np.ndarray, columns: int) -> np.ndarray:
+    """Slices side by side, row after row; places left over are zero."""
+    rows = -(-len(x) // columns)
+    full = end_fit(x, (rows * columns, *x.shape[1:]))
+    return full.reshape(rows, columns, *x.shape[1:]).swapaxes(1, 2).reshape(rows * x.shape[1], columns * x.shape[2])
+
+
+def blurred(x: np.ndarray, sigma: float = 1.5, width: int = 11) -> np.ndarray:
+    """Each slice under a Gaussian window, edges mirrored as far as the slice goes."""
+    at = np.arange(width) - width // 2
+    kernel = np.exp(-(at**2) / (2 * sigma**2))
+    kernel /= kernel.sum()
+    for axis in (1, 2):
+        pads = [(width // 2,) * 2 if i == axis else (0, 0) for i in range(3)]
+        mode = "reflect" if x.shape[axis] > 1 else "edge"
+        x = np.lib.stride_tricks.sliding_window_view(np.pad(x, pads, mode=mode), width, axis) @ kernel
+    return x
+
+
+def structural_similarity(a: np.ndarray, b: np.ndarray, width: int = 11) -> float:
+    """Mean of the slices' similarity maps, without the edge of half a window where a slice is larger than a window; 1 for
+    two volumes of one value each that are equal."""
     a, b = a.astype(float), b.astype(float)
-    mse = float(((a - b) ** 2).mean())
-    c1, c2 = (0.01 * peak) ** 2, (0.03 * peak) ** 2
-    ma, mb = a.mean(), b.mean()
-    cov = ((a - ma) * (b - mb)).mean()
-    ssim = (2 * ma * mb + c1) * (2 * cov + c2) / ((ma**2 + mb**2 + c1) * (a.var() + b.var() + c2))
-    return mse, None if mse == 0 else float(10 * np.log10(peak**2 / mse)), float(ssim)
+    span = max(np.ptp(a), np.ptp(b)) or 1.0
+    c1, c2 = (0.01 * span) ** 2, (0.03 * span) ** 2
+    ma, mb = blurred(a), blurred(b)
+    va, vb, cov = blurred(a * a) - ma * ma, blurred(b * b) - mb * mb, blurred(a * b) - ma * mb
+    whole = (2 * ma * mb + c1) * (2 * cov + c2) / ((ma * ma + mb * mb + c1) * (va + vb + c2))
+    edge = width // 2
+    inner = whole[:, edge:-edge, edge:-edge] if min(a.shape[1:]) >= width else whole
+    return float(inner.reshape(len(a), -1).mean(axis=1).mean())
+
+
+def image_errors(made: np.ndarray, true: np.ndarray, peak: float | None = None) -> tuple[float, float | None, float]:
+    """Mse, psnr (null where equal) and ssim by slices of a pair. The peak is the true volume's range, 0 included."""
+    made, true = made.astype(float), true.astype(float)
+    mse = float(((made - true) ** 2).mean())
+    peak = max(true.max(), 0) - min(true.min(), 0) if peak is None else peak
+    psnr = None if mse == 0 else float(10 * np.log10(peak**2 / mse)) if peak else -float("inf")
+    return mse, psnr, structural_similarity(made, true)
+
+
+def plane_slices(df: DataFrame, feature: Callable[[np.ndarray], list[float]], ratio: float = 1.0, step: int = 1) -> DataFrame:
+    """(path, plane, index, feature): every plane slice of each volume through a feature hook, slice by slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, shape, voxels in zip(*(batch.column(i) for i in range(3)), strict=True):
+                x = np.frombuffer(voxels.as_py(), "<f4").reshape(shape.as_py())
+                rows = [(name, i, feature(y)) for name, i, y in planes(x, ratio, step)]
+                yield pa.RecordBatch.from_arrays([pa.array([path.as_py()] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.list_(pa.float64()))], ["path", "plane", "index", "feature"])
+
+    return df.select("path", "shape", "voxels").mapInArrow(run, "path string, plane string, index int, feature array<double>")
 
 
 def map_volumes(df: DataFrame, step: Callable[[np.ndarray, tuple[float, ...]], np.ndarray]) -> DataFrame:

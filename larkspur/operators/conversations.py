@@ -112,11 +112,12 @@ def padded(ids: Column, length: int, pad: int) -> Column:
 def shuffled_sentences(text: Column, key: Column, probability: float, seed: int) -> Column:
     """With ``probability`` the sentences in a seeded order, else the text; sentences end at a stop and a blank."""
     sentences = F.split(text, r"(?<=[.!?])\s+")
-    order = F.transform(F.array_sort(F.transform(sentences, lambda s, i: F.struct(F.xxhash64(F.lit(seed), key, i).alias("h"), s.alias("s")))), lambda x: x["s"])
-    chosen = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1000)) < int(probability * 1000)
+    h = lambda *parts: F.md5(F.concat_ws("_", F.lit(seed).cast("string"), key.cast("string"), *parts).cast("binary"))
+    order = F.transform(F.array_sort(F.transform(sentences, lambda s, i: F.struct(h(i.cast("string")).alias("h"), s.alias("s")))), lambda x: x["s"])
+    chosen = F.conv(F.substring(h(), 1, 8), 16, 10).cast("long") % 1000 < int(probability * 1000)
     return F.when(chosen, F.array_join(order, " ")).otherwise(text)
 
 
 def pick(bank: list[str], key: Column) -> Column:
     """A prompt of the bank by hash of the key."""
-    return F.element_at(F.array(*[F.lit(x) for x in bank]), (F.pmod(F.xxhash64(key), F.lit(len(bank))) + 1).cast("int"))
+    return F.element_at(F.array(*[F.lit(x) for x in bank]), (F.conv(F.substring(F.md5(key.cast("string").cast("binary")), 1, 8), 16, 10).cast("long") % len(bank) + 1).cast("int"))

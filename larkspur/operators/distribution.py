@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larkspur.operators.ranks import global_rank
+
 
 def moments(df: DataFrame, by: str, side: str, vector: str) -> DataFrame:
     """(by, side, n, s, ss): partial sums of each Arrow batch; at most one row per batch and group."""
@@ -49,8 +51,9 @@ def frechet_from(n1: int, s1: np.ndarray, q1: np.ndarray, n2: int, s2: np.ndarra
     return float(((m1 - m2) ** 2).sum() + np.trace(c1) + np.trace(c2) - 2 * np.sqrt(np.clip(w, 0, None)).sum())
 
 
-def frechet(df: DataFrame, by: str, side: str, vector: str) -> DataFrame:
-    """(g, frechet) between the two sides of each group."""
+def frechet(df: DataFrame, by: str, side: str, vector: str, thin: bool = False) -> DataFrame:
+    """(g, frechet) between the two sides of each group. With ``thin``, a group with fewer than two rows on a
+    side, which has no covariance, gets null; else it is an error."""
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         total = {}
@@ -60,11 +63,21 @@ def frechet(df: DataFrame, by: str, side: str, vector: str) -> DataFrame:
         if len(total) != 2:
             raise ValueError(f"group {pdf['g'].iloc[0]} has {len(total)} sides, not 2")
         a, b = (total[k] for k in sorted(total))
+        if thin and min(a[0], b[0]) < 2:
+            return pd.DataFrame({"g": [pdf["g"].iloc[0]], "frechet": [None]}).astype({"frechet": float})
         return pd.DataFrame({"g": [pdf["g"].iloc[0]], "frechet": [frechet_from(*a, *b)]})
 
     return moments(df, by, side, vector).groupBy("g").applyInPandas(merge, "g string, frechet double")
 
 
+def frechet_by_chunk(pairs: DataFrame, name: str, real: str, made: str, size: int = 4) -> DataFrame:
+    """(g, frechet) of each chunk of ``size`` consecutive pairs by name; a last chunk of one pair has null, which
+    means leave out."""
+    ranked = global_rank(pairs, F.col(name), "_pos").withColumn("chunk", F.floor(F.col("_pos") / size))
+    sides = F.explode(F.array(F.struct(F.lit("real").alias("side"), F.col(real).alias("v")), F.struct(F.lit("made").alias("side"), F.col(made).alias("v"))))
+    return frechet(ranked.select("chunk", sides.alias("x")).select("chunk", "x.side", "x.v"), "chunk", "side", "v", thin=True)
+
+
 def column_moments(df: DataFrame, vector: str) -> DataFrame:
     """A22 in plain operations, for vectors of few components: (i, j, mean_i, cov)."""
     rows = df.select(F.monotonically_increasing_id().alias("r"), F.col(vector).cast("array<double>").alias("v"))

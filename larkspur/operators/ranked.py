@@ -55,6 +55,12 @@ def youden(df: DataFrame) -> DataFrame:
     return best.select("label", F.when(on, F.col("b.tpr")).otherwise(0.0).alias("sensitivity"), F.when(on, 1 - F.col("b.fpr")).otherwise(0.0).alias("specificity"), F.when(on, F.col("b.threshold")).alias("threshold"))
 
 
+def youden_threshold(df: DataFrame) -> DataFrame:
+    """(label, threshold): the operating point of the largest tpr - fpr, whatever its sign; the highest wins ties."""
+    best = roc_points(df).groupBy("label").agg(F.max_by("threshold", F.struct(F.col("tpr") - F.col("fpr"), F.col("threshold"))).alias("threshold"))
+    return best
+
+
 def grid_threshold(df: DataFrame, steps: int = 100) -> DataFrame:
     """Of ``steps`` thresholds from 0 to 1 the one nearest to the corner, strict ``>``; the last wins ties.
 
@@ -76,6 +82,13 @@ def top_k_label_accuracy(df: DataFrame) -> DataFrame:
     return ranked.groupBy("k").agg(F.avg(value).alias("accuracy"))
 
 
+def top_k_accuracy(df: DataFrame, k: int) -> DataFrame:
+    """A19 for single labels: share of keys whose positive label is among the ``k`` best-scored; ties to the smaller name."""
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.col("score").desc(), "label"))
+    hit = df.select("key", (F.col("y") * (place <= k).cast("int")).alias("h")).groupBy("key").agg(F.max("h").alias("h"))
+    return hit.agg(F.avg(F.col("h").cast("double")).alias("accuracy"))
+
+
 def top_1_accuracy(df: DataFrame) -> DataFrame:
     """Share of keys whose best-scored label is positive."""
     best = df.groupBy("key").agg(F.max_by("y", F.struct("score", "label")).alias("y"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from larkspur.operators.ranks import global_rank
+
 
 def draw(*parts: Column | str) -> Column:
     """An integer below 2**32 from the md5 of the parts."""
@@ -13,7 +15,7 @@ def draw(*parts: Column | str) -> Column:
 
 def numbered(df: DataFrame, order: str, out: str = "pos") -> DataFrame:
     """0-based positions by ``order``."""
-    return df.withColumn(out, (F.row_number().over(Window.orderBy(order)) - 1).cast("long"))
+    return global_rank(df, F.col(order), out)
 
 
 def bootstrap_rows(spark: SparkSession, rows: DataFrame, n: int, rounds: int) -> DataFrame:
@@ -23,6 +25,30 @@ def bootstrap_rows(spark: SparkSession, rows: DataFrame, n: int, rounds: int) ->
     return draws.join(rows, "pos")
 
 
+def bootstrap_metrics(spark: SparkSession, rows: DataFrame, n: int, rounds: int) -> DataFrame:
+    """W3 with the metrics of each label and round: (label, round, auroc, f1, accuracy, precision). ``rows``: (pos, label, y,
+    score, yhat) with the same positions 0 to ``n - 1`` for each label. Draws are counted before they meet the rows, and
+    what is ordered are the distinct scores of a round; a round without both classes has no AUROC."""
+    draws = spark.range(rounds).select(F.col("id").alias("round")).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    drawn = draws.groupBy("round", F.pmod(draw(F.col("round").cast("string"), F.col("i").cast("string")), F.lit(n)).alias("pos")).agg(F.count(F.lit(1)).alias("w"))
+    cells = drawn.join(rows, "pos").groupBy("label", "round", "score", "yhat").agg(F.sum(F.col("w") * F.col("y")).alias("p"), F.sum(F.col("w") * (1 - F.col("y"))).alias("q"))
+    below = Window.partitionBy("label", "round").orderBy("score").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = cells.withColumn("lower", F.sum("q").over(below))
+    same = Window.partitionBy("label", "round", "score")
+    won = F.col("p") * (F.col("lower") - F.sum("q").over(same) / 2)  # pairs won, ties by half
+    sums = cells.withColumn("won", won).groupBy("label", "round").agg(
+        F.sum("p").alias("P"), F.sum("q").alias("N"), F.sum("won").alias("won"),
+        F.sum(F.when(F.col("yhat") == 1, F.col("p")).otherwise(0)).alias("tp"), F.sum(F.when(F.col("yhat") == 1, F.col("q")).otherwise(0)).alias("fp"),
+    )
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("P") - F.col("tp")
+    zero = F.lit(0.0)
+    return sums.select(
+        "label", "round", (F.col("won") / F.nullif(F.col("P") * F.col("N"), F.lit(0))).alias("auroc"),
+        F.coalesce(2 * tp / F.nullif(2 * tp + fp + fn, F.lit(0)), zero).alias("f1"),
+        ((tp + F.col("N") - fp) / (F.col("P") + F.col("N"))).alias("accuracy"), F.coalesce(tp / F.nullif(tp + fp, F.lit(0)), zero).alias("precision"),
+    )
+
+
 def poisson_weights(df: DataFrame, key: str, rounds: int) -> DataFrame:
     """W3 for tables of any size: each row's number of draws in each round is a Poisson(1) value of its key, so rows
     need no positions and nothing is joined."""
@@ -42,26 +68,27 @@ def interval(df: DataFrame, value: str, by: str, level: float = 0.05) -> DataFra
 
 def hash_split(df: DataFrame, key: str, share: float) -> DataFrame:
     """An exact share of the rows by md5 order."""
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    rn = F.row_number().over(Window.orderBy(F.md5(F.col(key).cast("string").cast("binary")), key))
-    return df.withColumn("split", F.when(rn <= F.floor(n * share), "train").otherwise("valid"))
+    ranked = global_rank(df, F.md5(F.col(key).cast("string").cast("binary")), "_r", (F.col(key),))
+    return ranked.withColumn("split", F.when(F.col("_r") < int(df.count() * share), "train").otherwise("valid")).drop("_r")
 
 
 def first_share(df: DataFrame, order: str, share: float) -> DataFrame:
     """The first share of the rows."""
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    return df.withColumn("_n", n).withColumn("_r", F.row_number().over(Window.orderBy(order))).where(F.col("_r") <= F.floor(F.col("_n") * share)).drop("_n", "_r")
+    return global_rank(df, F.col(order), "_r").where(F.col("_r") < int(df.count() * share)).drop("_r")
 
 
 def worker_chunks(df: DataFrame, order: str, workers: int) -> DataFrame:
     """Contiguous chunks, sizes at most one apart."""
-    return df.withColumn("worker", (F.ntile(workers).over(Window.orderBy(order)) - 1).cast("long"))
+    size, larger = divmod(df.count(), workers)
+    edge = larger * (size + 1)  # the first chunks have one row more
+    worker = F.when(F.col("_r") < edge, F.floor(F.col("_r") / (size + 1))).otherwise(larger + F.floor((F.col("_r") - edge) / max(size, 1)))
+    return global_rank(df, F.col(order), "_r").withColumn("worker", worker.cast("long")).drop("_r")
 
 
 def size_batches(df: DataFrame, group: str, order: str, batch: int) -> DataFrame:
     """Batches of rows of equal ``group``; the last batch of a group repeats its first rows up to ``batch``."""
-    rn = F.row_number().over(Window.partitionBy(group).orderBy(order)) - 1
-    rows = df.withColumn("batch", F.floor(rn / batch).cast("long")).withColumn("slot", (rn % batch).cast("long"))
+    ranked = global_rank(df, F.col(order), "_r", by=(group,))
+    rows = ranked.withColumn("batch", F.floor(F.col("_r") / batch).cast("long")).withColumn("slot", (F.col("_r") % batch).cast("long")).drop("_r")
     size = F.count(F.lit(1)).over(Window.partitionBy(group, "batch"))
     copies = F.floor((F.lit(batch) - 1 - F.col("slot")) / F.col("_n")).cast("int")
     return rows.withColumn("_n", size).withColumn("_c", F.explode(F.sequence(F.lit(0), copies))).withColumn("slot", F.col("slot") + F.col("_c") * F.col("_n")).drop("_n", "_c")
@@ -71,7 +98,7 @@ def length_groups(df: DataFrame, key: str, length: str, mega: int, workers: int)
     """Seeded megabatches, sorted by length inside, dealt over workers so that each gets the same number and
     lengths balance; positive and negative lengths (modalities) never mix."""
     kind = F.when(F.col(length) > 0, 1).otherwise(-1)
-    rows = df.withColumn("modality", kind).withColumn("_r", F.row_number().over(Window.partitionBy("modality").orderBy(F.md5(F.col(key).cast("string").cast("binary")), key)) - 1)
+    rows = global_rank(df.withColumn("modality", kind), F.md5(F.col(key).cast("string").cast("binary")), "_r", (F.col(key),), by=("modality",))
     rows = rows.withColumn("megabatch", F.floor(F.col("_r") / mega).cast("long"))
 
     def deal(pdf):

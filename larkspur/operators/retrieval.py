@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Queries that one pass over the candidates takes; more queries run in more passes.
 QUERY_BLOCK = 20_000
+#: Queries that one matrix product takes.
+TILE = 500
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -38,16 +40,19 @@ def normalised(a: Column) -> Column:
     return F.transform(a.cast("array<double>"), lambda x: x / n)
 
 
-def top_k(queries: DataFrame, candidates: DataFrame, k: int, use_cosine: bool = False) -> DataFrame:
+def top_k(queries: DataFrame, candidates: DataFrame, k: int, use_cosine: bool = False, whole: bool = False) -> DataFrame:
     """(q, c, sim, rank) of the ``k`` most similar candidates; ties to the smaller id. Frames are (id, vector).
 
-    Queries go to the candidates in blocks of ``QUERY_BLOCK`` rows, so what is broadcast is bounded; each
-    Arrow batch of candidates is one matrix product and keeps ``k`` rows per query.
+    Queries go to the candidates in blocks of ``QUERY_BLOCK`` rows, so what is broadcast is bounded; a batch of candidates
+    meets them ``TILE`` at a time, so a matrix product is bounded too, and keeps ``k`` rows per query. With ``whole``, fewer
+    than ``k`` candidates are an error.
     """
     spark = queries.sparkSession
     q = queries.select(F.col(queries.columns[0]).alias("q"), F.col(queries.columns[1]).cast("array<double>").alias("v")).where("v IS NOT NULL")
     c = candidates.select(F.col(candidates.columns[0]).alias("c"), F.col(candidates.columns[1]).cast("array<double>").alias("v")).where("v IS NOT NULL")
     n = q.count()
+    if whole and c.limit(k).count() < k:
+        raise ValueError(f"fewer than {k} candidates")
     parts = []
     for block in range(max(1, -(-n // QUERY_BLOCK))):
         own = q if n <= QUERY_BLOCK else q.where(F.pmod(F.xxhash64("q"), F.lit(-(-n // QUERY_BLOCK))) == block)
@@ -69,12 +74,15 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, use_cosine: bool =
                     length = np.linalg.norm(y, axis=1, keepdims=True)
                     y = np.divide(y, length, out=np.full_like(y, np.nan), where=length > 0)
                 c_ids = np.array(batch.column(0).to_pylist())
-                sims = x @ y.T
-                # rounded for ties: equal to 12 digits is equal
-                order = np.lexsort((np.broadcast_to(c_ids, sims.shape), -np.round(sims, 12)), axis=1)[:, :k]
-                found = np.take_along_axis(sims, order, 1)
-                keep = ~np.isnan(found)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(own_ids), order.shape[1])[keep.ravel()]), pa.array(c_ids[order][keep]), pa.array(found[keep])], ["q", "c", "sim"])
+                by_id = np.argsort(c_ids, kind="stable")
+                c_ids, y = c_ids[by_id], y[by_id]
+                for low in range(0, len(own_ids), TILE):
+                    sims = x[low : low + TILE] @ y.T
+                    # rounded for ties: equal to 12 digits is equal; candidates are in the order of their ids
+                    order = np.argsort(-np.round(sims, 12), axis=1, kind="stable")[:, :k]
+                    found = np.take_along_axis(sims, order, 1)
+                    keep = ~np.isnan(found)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(own_ids[low : low + TILE]), order.shape[1])[keep.ravel()]), pa.array(c_ids[order][keep]), pa.array(found[keep])], ["q", "c", "sim"])
 
         parts.append(c.mapInArrow(score, f"q {q.schema['q'].dataType.simpleString()}, c {c.schema['c'].dataType.simpleString()}, sim double"))
     found = parts[0]

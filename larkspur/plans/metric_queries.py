@@ -184,6 +184,34 @@ def _bootstrap(spark, d):
     return B.interval(acc, "a", "label")
 
 
+LABEL_METRICS = ("auroc", "f1", "accuracy", "precision")
+
+
+@add("bootstrap_metrics", f"""WITH {LONG}, {LEVELS}, {ROC}, best AS (SELECT label, threshold FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY tpr - fpr DESC, threshold DESC) AS n FROM roc) WHERE n = 1),
+rows AS (SELECT label, y, score, (score >= threshold)::INT AS yhat, dense_rank() OVER (ORDER BY key) - 1 AS pos FROM long JOIN best USING (label)),
+draws AS (SELECT b AS round, {DRAW.format("b || '_' || i")} % (SELECT count(*) FROM labels) AS pos FROM range(1000) x(b), range((SELECT count(*) FROM labels)) z(i)),
+w AS (SELECT round, pos, count(*) AS w FROM draws GROUP BY ALL),
+cells AS (SELECT label, round, score, yhat, sum(w * y) AS p, sum(w * (1 - y)) AS q FROM w JOIN rows USING (pos) GROUP BY ALL),
+won AS (SELECT *, sum(q) OVER (PARTITION BY label, round ORDER BY score) AS lower, sum(q) OVER (PARTITION BY label, round, score) AS here FROM cells),
+sums AS (SELECT label, round, sum(p) AS P, sum(q) AS N, sum(p * (lower - here / 2)) AS won, sum(CASE WHEN yhat = 1 THEN p ELSE 0 END) AS tp, sum(CASE WHEN yhat = 1 THEN q ELSE 0 END) AS fp FROM won GROUP BY ALL),
+m AS (SELECT label, unnest(['auroc', 'f1', 'accuracy', 'precision']) AS metric, unnest([won / nullif(P * N, 0), coalesce(2 * tp / nullif(tp + fp + P, 0), 0), (tp + N - fp) / (P + N), coalesce(tp / nullif(tp + fp, 0), 0)]) AS v FROM sums),
+l AS (SELECT label, metric, list_sort(list(v)) AS l, avg(v) AS m FROM m WHERE v IS NOT NULL GROUP BY ALL)
+SELECT label, metric, round(m, 4) AS mean, round(l[greatest(floor(0.025 * len(l))::INT - 1, 0) + 1], 4) AS lower, round(l[greatest(floor(0.975 * len(l))::INT - 1, 0) + 1], 4) AS upper FROM l""")
+def _bootstrap_metrics(spark, d):
+    rows = scored(spark, d)
+    keys = B.numbered(rows.select("key").distinct(), "key")
+    at = rows.join(R.youden_threshold(rows), "label").withColumn("yhat", (F.col("score") >= F.col("threshold")).cast("int"))
+    rounds = B.bootstrap_metrics(spark, at.join(keys, "key").select("pos", "label", "y", "score", "yhat"), keys.count(), 1000)
+    long = rounds.unpivot(["label", "round"], list(LABEL_METRICS), "metric", "v").where("v IS NOT NULL")
+    found = B.interval(long.withColumn("g", F.concat_ws("/", "label", "metric")), "v", "g")
+    return found.select(F.split("g", "/")[0].alias("label"), F.split("g", "/")[1].alias("metric"), "mean", "lower", "upper")
+
+
+@add("top_2_accuracy", f"WITH {LONG}, r AS (SELECT key, y, row_number() OVER (PARTITION BY key ORDER BY score DESC, label) AS n FROM long) SELECT round(avg(h), 9) AS accuracy FROM (SELECT key, max(CASE WHEN n <= 2 THEN y ELSE 0 END)::DOUBLE AS h FROM r GROUP BY key)")
+def _top_2(spark, d):
+    return rounded(R.top_k_accuracy(scored(spark, d), 2))
+
+
 @add("poisson_bootstrap", f"""WITH {LONG}, w AS (SELECT b AS round, y, yhat, {DRAW.format("b || '_' || key")} / 4294967296 AS u FROM long, range(20) x(b) WHERE label = 'toxic'),
 k AS (SELECT round, (y = yhat)::INT AS ok, (u >= 0.36787944117144233)::INT + (u >= 0.7357588823428847)::INT + (u >= 0.9196986029286058)::INT + (u >= 0.9810118431238462)::INT + (u >= 0.9963401531726563)::INT + (u >= 0.9994058151824183)::INT + (u >= 0.9999167588507119)::INT + (u >= 0.9999897508033253)::INT AS weight FROM w)
 SELECT round, round(sum(ok * weight) / sum(weight), 9) AS accuracy FROM k GROUP BY round""")

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from larkspur.functions import keys as K
+from larkspur.functions import values as W
 from larkspur.functions import volumes as N
 from larkspur.operators import align as J
 from larkspur.operators import distribution as D
@@ -142,26 +141,27 @@ def _dimension(spark, d):
 def _semi(spark, d):
     docs = table(spark, d, "documents").select("doc_id")
     vec = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"))
-    return docs.join(vec, "doc_id", "left_semi").join(table(spark, d, "labels"), "doc_id").select("doc_id", "toxic")
+    return J.having_then_first(docs, vec, table(spark, d, "labels"), "doc_id", "toxic", "quality").select("doc_id", "toxic")
 
 
 @add("zero_vector_default", "SELECT doc_id, coalesce(quality, 0) AS quality, coalesce(toxic, 0) AS toxic FROM documents LEFT JOIN labels USING (doc_id)")
 def _zero(spark, d):
-    both = table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels"), "doc_id", "left")
-    return both.select("doc_id", F.coalesce("quality", F.lit(0)).alias("quality"), F.coalesce("toxic", F.lit(0)).alias("toxic"))
+    docs, labels = table(spark, d, "documents").select("doc_id"), table(spark, d, "labels").select("doc_id", F.array("quality", "toxic").alias("y"))
+    found = J.lookup(docs, labels, "doc_id", "y", [0, 0])
+    return found.select("doc_id", F.col("y")[0].alias("quality"), F.col("y")[1].alias("toxic"))
 
 
 @add("full_outer_merge", "SELECT doc_id, quality, toxic FROM (SELECT * FROM labels WHERE toxic = 0) FULL JOIN (SELECT * FROM labels WHERE quality = 1) USING (doc_id, quality, toxic)")
 def _full(spark, d):
     labels = table(spark, d, "labels").select("doc_id", "quality", "toxic")
-    return labels.where("toxic = 0").join(labels.where("quality = 1"), ["doc_id", "quality", "toxic"], "full_outer")
+    return J.outer_on_shared(labels.where("toxic = 0"), labels.where("quality = 1"))
 
 
 @add("subset_log_chain", "SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F' AND c_mktsegment IN ('BUILDING', 'MACHINERY')")
 def _chain(spark, d):
-    ok = table(spark, d, "orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey")
-    sub = table(spark, d, "customer").where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select("c_custkey", "c_name")
-    return ok.join(sub, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name")
+    log = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("id"), "o_orderstatus")
+    ids = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), "c_name", "c_mktsegment")
+    return J.chained(ids, log, "id", "o_orderstatus", ("F",), "c_mktsegment", ("BUILDING", "MACHINERY")).select("o_orderkey", "c_name")
 
 
 @add("nonzero_label_rows", f"WITH {LONG} SELECT key FROM long GROUP BY key HAVING sum(y) <> 0")
@@ -172,7 +172,14 @@ def _nonzero(spark, d):
 @add("greatest_of_two_labels", f"WITH {LONG} SELECT key, round(max(score), 9) AS score, max(y)::INT AS y FROM long GROUP BY key")
 def _greatest(spark, d):
     wide = sinks.wide(scored(spark, d), "score", ["quality", "toxic"]).join(sinks.wide(scored(spark, d), "y", ["quality", "toxic"]).toDF("AccessionNo", "q", "t"), "AccessionNo")
-    return rounded(wide.select(F.col("AccessionNo").alias("key"), F.greatest("quality", "toxic").alias("score"), F.greatest("q", "t").alias("y")))
+    named = W.external_labels(wide, "AccessionNo", {"score": ("quality", "toxic"), "y": ("q", "t")})
+    return rounded(named.withColumnRenamed("AccessionNo", "key"))
+
+
+@add("without_findings_columns", "SELECT doc_id, quality, toxic FROM labels")
+def _without_findings(spark, d):
+    labels = table(spark, d, "labels").select("doc_id", F.lit("x").alias("Findings_EN"), "quality", F.lit(1).alias("findings"), "toxic")
+    return W.without_prefix(labels)
 
 
 @add("report_wrapper", "SELECT md5(string_agg('doc_' || doc_id || '=' || text, '|' ORDER BY 'doc_' || doc_id)) AS digest, count(*) AS n FROM documents")
@@ -207,12 +214,15 @@ def _recall(spark, d):
     return rounded(V.recall_at(V.top_k(v, v, 100), v.count()))
 
 
-@add("label_similarity_retrieval", f"""WITH {SIM}, y AS (SELECT vec_id, list_transform(range(4), lambda i: ((label >> i) % 2)) AS ys FROM embeddings),
+@add("label_similarity_retrieval", """WITH y AS (SELECT vec_id, list_transform(range(4), lambda i: ((label >> i) % 2)) AS ys FROM embeddings),
+cs AS (SELECT a.vec_id AS q, b.vec_id AS c, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS sim FROM embeddings a, embeddings b WHERE b.label % 16 <> 0),
+rk AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY round(sim, 12) DESC, c) AS rank FROM cs),
 s AS (SELECT q, rank, list_sum(list_transform(range(1, 5), lambda i: a.ys[i] * b.ys[i])) / nullif(list_sum(list_transform(range(1, 5), lambda i: greatest(a.ys[i], b.ys[i]))), 0) AS s FROM rk JOIN y a ON a.vec_id = q JOIN y b ON b.vec_id = c WHERE rank <= 50),
 p AS (SELECT q, k, avg(s) FILTER (rank <= k) AS m FROM s, (SELECT unnest([1, 5, 10, 50])::BIGINT AS k) GROUP BY ALL) SELECT k, round(avg(m), 9) AS similarity FROM p GROUP BY k""")
 def _similar(spark, d):
     ys = table(spark, d, "embeddings").select("vec_id", F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.call_function("shiftright", F.col("label"), i) % 2).alias("ys"))
-    return rounded(V.mean_label_similarity(V.top_k(vectors(spark, d), vectors(spark, d), 50), ys))
+    positive = vectors(spark, d).join(ys.where(F.exists("ys", lambda y: y > 0)), "vec_id", "left_semi")  # candidates need a positive label; a query may find itself
+    return rounded(V.mean_label_similarity(V.top_k(vectors(spark, d), positive, 50, use_cosine=True, whole=True), ys))
 
 
 PAIR = "(SELECT a.vec_id, a.embedding::DOUBLE[] AS x, b.embedding::DOUBLE[] AS y FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1)"
@@ -230,9 +240,10 @@ def _similarity(spark, d):
     return p.select("vec_id", F.round(V.dot(x, y), 9).alias("dot"), F.round(V.cosine(x, y), 9).alias("cosine"), F.round(V.similarity_score(x, y), 7).alias("score"))
 
 
-@add("l2_normalised", "SELECT vec_id, round(sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) * 0 + 1, 6) AS norm FROM embeddings")
+@add("l2_normalised", "SELECT vec_id, round(embedding[1]::DOUBLE / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS first, round(embedding[64]::DOUBLE / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS last FROM embeddings")
 def _l2(spark, d):
-    return vectors(spark, d).select("vec_id", F.round(V.norm(V.normalised(F.transform("embedding", lambda e: e * 3))), 6).alias("norm"))
+    unit = vectors(spark, d).select("vec_id", V.normalised(F.transform("embedding", lambda e: e * 3)).alias("v"))
+    return unit.select("vec_id", F.round(F.col("v")[0], 6).alias("first"), F.round(F.col("v")[63], 6).alias("last"))
 
 
 @add("mean_similarity", f"SELECT round(avg(greatest(100 * list_cosine_similarity(x, y), 0)), 7) AS score, round((avg(greatest(100 * list_cosine_similarity(x, y), 0)) + avg(list_dot_product(x, y))) / 2, 7) AS mean FROM {PAIR}")
@@ -270,19 +281,27 @@ def _planes(spark, d):
 
 @add("frechet_by_chunk")
 def _chunked(spark, d):
-    rows = _sided(spark, d).withColumn("chunk", F.floor(F.col("vec_id") / 50))
-    per = D.frechet(rows, "chunk", "side", "v")
-    return rounded(per.agg(F.avg("frechet").alias("mean_frechet"), F.count(F.lit(1)).alias("chunks")), 6)
+    v = vectors(spark, d)
+    name = F.floor(F.col("vec_id") / 2)
+    made, real = v.where("vec_id % 2 = 1").select(name.alias("name"), "embedding"), v.where("vec_id % 2 = 0").select(name.alias("name"), "embedding")
+    pairs = made.join(real.withColumnRenamed("embedding", "real"), "name")
+    per = D.frechet_by_chunk(pairs, "name", "real", "embedding")
+    return rounded(per.agg(F.avg("frechet").alias("mean_frechet"), F.count("frechet").alias("chunks")), 6)
+
+
+#: Height and width of the stand-in volumes' slices.
+SIDE = 16
 
 
-def _volumes(spark, d):
-    """Small volumes whose voxels are a document's first characters' codes."""
+def _volumes(spark, d, factor=1):
+    """Volumes whose voxels are all bytes of a document, times ``factor`` modulo 256, as many slices as they fill; null counts as empty."""
     def make(batches):
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            arrays = [np.resize(np.frombuffer((t or " ").encode(), np.uint8), 4 * 6 * 8).astype("<f4") for t in texts]
-            n = len(ids)
-            yield pa.RecordBatch.from_arrays([pa.array([f"v{i}" for i in ids]), pa.array([[4, 6, 8]] * n, pa.list_(pa.int32())), pa.array([[2.0, 1.0, 1.0]] * n, pa.list_(pa.float64())), pa.array([a.tobytes() for a in arrays], pa.binary())], ["path", "shape", "spacing", "voxels"])
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                raw = np.frombuffer((text.as_py() or "").encode(), np.uint8).astype(np.int64) * factor % 256
+                depth = max(1, -(-len(raw) // (SIDE * SIDE)))
+                voxels = np.pad(raw, (0, depth * SIDE * SIDE - len(raw))).astype("<f4")
+                yield pa.RecordBatch.from_arrays([pa.array([f"v{i}.mha"]), pa.array([[depth, SIDE, SIDE]], pa.list_(pa.int32())), pa.array([[2.0, 1.0, 1.0]], pa.list_(pa.float64())), pa.array([voxels.tobytes()], pa.binary())], ["path", "shape", "spacing", "voxels"])
 
     return table(spark, d, "documents").select("doc_id", "text").mapInArrow(make, "path string, shape array<int>, spacing array<double>, voxels binary")
 
@@ -296,10 +315,49 @@ def _preprocess(spark, d):
     return out.select("path", F.array_join(F.col("shape").cast("array<string>"), "x").alias("shape"), F.md5("voxels").alias("voxels"))
 
 
-@add("volume_errors")
+def _pairs(spark, d):
+    """Generated volumes and the true ones of the same names, with the shape."""
+    pack = F.struct("shape", "voxels")
+    made, true = (_volumes(spark, d, factor).select("path", pack.alias("v")) for factor in (3, 1))
+    return J.file_pairs(made, true, "path", "v")
+
+
+def _errors_of(spark, d):
+    """(path, mse, psnr, ssim) of each pair."""
+    def run(batches):
+        for batch in batches:
+            out = []
+            for made, true in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                a, b = (np.frombuffer(x["voxels"], "<f4").reshape(x["shape"]) for x in (made, true))
+                out.append(N.image_errors(a, b))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.float64()) for c in (zip(*out, strict=True) if out else [[]] * 3)]], ["path", "mse", "psnr", "ssim"])
+
+    return _pairs(spark, d).mapInArrow(run, "path string, mse double, psnr double, ssim double")
+
+
+ERRORS_SQL = """b AS (SELECT doc_id, unnest(range(strlen(coalesce(text, '')))) AS i, hex(encode(coalesce(text, ''))) AS h FROM documents),
+v AS (SELECT doc_id, ('0x' || substr(h, 2 * i + 1, 2))::INT AS t FROM b),
+e AS (SELECT doc_id, sum((t * 3 % 256 - t) * (t * 3 % 256 - t)) AS s, max(t) AS top, count(*) AS n FROM v GROUP BY doc_id),
+m AS (SELECT doc_id, coalesce(s, 0) / (greatest(1, ceil(coalesce(n, 0) / 256)) * 256) AS mse, top FROM documents LEFT JOIN e USING (doc_id)),
+errors AS (SELECT 'v' || doc_id || '.mha' AS path, mse, CASE WHEN mse > 0 THEN 10 * log10(top * top / mse) END AS psnr FROM m)"""
+
+
+@add("volume_errors", f"WITH {ERRORS_SQL} SELECT path, round(mse, 6) AS mse, round(psnr, 6) AS psnr FROM errors")
 def _errors(spark, d):
-    @F.pandas_udf(DoubleType())
-    def mse(v: pd.Series) -> pd.Series:
-        return pd.Series([N.image_errors(np.frombuffer(x, "<f4"), N.median3(np.frombuffer(x, "<f4").reshape(4, 6, 8)).ravel(), 255.0)[0] for x in v])
+    return rounded(_errors_of(spark, d).select("path", "mse", "psnr"), 6)
+
+
+@add("mean_volume_errors", f"WITH {ERRORS_SQL} SELECT round(avg(mse), 6) AS mse, round(avg(psnr), 6) AS psnr, count(*) AS pairs FROM errors")
+def _mean_errors(spark, d):
+    return rounded(_errors_of(spark, d).agg(F.avg("mse").alias("mse"), F.avg("psnr").alias("psnr"), F.count(F.lit(1)).alias("pairs")), 6)
+
+
+@add("volume_similarity")
+def _volume_similarity(spark, d):
+    return rounded(_errors_of(spark, d).select("path", "ssim"), 6)
+
 
-    return _volumes(spark, d).select("path", F.round(mse("voxels"), 6).alias("mse"))
+@add("plane_features", """WITH b AS (SELECT doc_id, strlen(coalesce(text, '')) AS n FROM documents), p AS (SELECT unnest(['xy', 'xz', 'yz']) AS plane)
+SELECT plane, sum(CASE plane WHEN 'xy' THEN greatest(1, ceil(n / 256)) ELSE 16 END)::BIGINT AS slices FROM b, p GROUP BY plane""")
+def _plane_features(spark, d):
+    return N.plane_slices(_volumes(spark, d), lambda x: [float(x.mean())]).groupBy("plane").agg(F.count(F.lit(1)).alias("slices"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from larkspur.functions import text as X
+from larkspur.functions import values as W
 from larkspur.operators import conversations as V
 from larkspur.operators import text_metrics as M
 from larkspur.plans.metric_queries import rounded
@@ -52,19 +53,19 @@ doc_text("demographic_prompt", lambda: X.demographic_prompt(F.concat(F.lpad((F.c
 doc_text("image_token_first", lambda: X.image_token_first(F.when(F.col("lang") == "en", F.concat(F.col("source"), F.lit(" <image> "), F.col("lang"))).otherwise(F.col("source")), True), "CASE WHEN lang = 'en' THEN '<im_start><image><im_end>' || chr(10) || source || '  en' ELSE source END")
 doc_text("model_name_from_path", lambda: X.model_name(F.concat(F.lit("/m/"), F.col("source"), F.when(F.col("lang") == "en", "/checkpoint-7/").otherwise("/"))), "CASE WHEN lang = 'en' THEN source || '_checkpoint-7' ELSE source END")
 doc_text("stop_keywords", lambda: X.stops(T(), ["###", "</s>"]), "contains(text, '###') OR contains(text, '</s>')")
-doc_text("label_count_bucket", lambda: F.expr("CASE WHEN n_chars % 15 = 0 THEN 0 WHEN n_chars % 15 <= 3 THEN 1 WHEN n_chars % 15 <= 6 THEN 2 WHEN n_chars % 15 <= 9 THEN 3 WHEN n_chars % 15 <= 12 THEN 4 ELSE 5 END"), "CASE WHEN n_chars % 15 = 0 THEN 0 WHEN n_chars % 15 <= 3 THEN 1 WHEN n_chars % 15 <= 6 THEN 2 WHEN n_chars % 15 <= 9 THEN 3 WHEN n_chars % 15 <= 12 THEN 4 ELSE 5 END")
-doc_text("round_half_even", lambda: F.bround(F.col("n_chars") / 2, 0), "round_even(n_chars / 2, 0)")
-doc_text("sigmoid_log", lambda: F.round(F.log(1 / (1 + F.exp(-((F.col("n_chars") % 17) / 4.0 - 2))) + 1e-20), 9), "round(ln(1 / (1 + exp(-((n_chars % 17) / 4.0::DOUBLE - 2))) + 1e-20), 9)")
-doc_text("slice_count_filter", lambda: F.col("n_chars").between(100, 600), "n_chars >= 100 AND n_chars <= 600")
-doc_text("conditional_reversal", lambda: F.when(F.col("lang") == "de", F.reverse("source")).otherwise(F.col("source")), "CASE WHEN lang = 'de' THEN reverse(source) ELSE source END")
+doc_text("label_count_bucket", lambda: W.count_bucket(F.col("n_chars") % 15), "CASE WHEN n_chars % 15 = 0 THEN 0 WHEN n_chars % 15 <= 3 THEN 1 WHEN n_chars % 15 <= 6 THEN 2 WHEN n_chars % 15 <= 9 THEN 3 WHEN n_chars % 15 <= 12 THEN 4 ELSE 5 END")
+doc_text("round_half_even", lambda: W.round_half_even(F.col("n_chars") / 2), "round_even(n_chars / 2, 0)")
+doc_text("sigmoid_log", lambda: F.round(W.log_eps(W.sigmoid((F.col("n_chars") % 17) / 4.0 - 2)), 9), "round(ln(1 / (1 + exp(-((n_chars % 17) / 4.0::DOUBLE - 2))) + 1e-20), 9)")
+doc_text("slice_count_filter", lambda: W.within(F.col("n_chars"), 100, 600), "n_chars >= 100 AND n_chars <= 600")
+doc_text("slice_count_filter_strict", lambda: W.within(F.col("n_chars"), 100, 600, strict=True), "n_chars > 100 AND n_chars < 600")
+doc_text("conditional_reversal", lambda: W.reversed_if(F.col("lang") == "de", F.col("source")), "CASE WHEN lang = 'de' THEN reverse(source) ELSE source END")
 doc_text("zero_shot_prompts", lambda: F.concat_ws("|", *X.prompt_pair(F.col("source"))), "source || ' is present.|' || source || ' is not present.'")
 
 
 @add("softmax_pair", "SELECT doc_id, round(exp(a - greatest(a, b)) / (exp(a - greatest(a, b)) + exp(b - greatest(a, b))), 9) AS present FROM (SELECT doc_id, (n_chars % 17) / 5.0::DOUBLE AS a, (n_chars % 13) / 5.0::DOUBLE AS b FROM documents)")
 def _softmax(spark, d):
     a, b = (F.col("n_chars") % 17) / 5.0, (F.col("n_chars") % 13) / 5.0
-    top = F.greatest(a, b)
-    return table(spark, d, "documents").select("doc_id", F.round(F.exp(a - top) / (F.exp(a - top) + F.exp(b - top)), 9).alias("present"))
+    return table(spark, d, "documents").select("doc_id", F.round(W.softmax(a, b)[0], 9).alias("present"))
 
 
 @add("text_length_stats", "SELECT lang, round(avg(n), 9) AS mean, round(stddev_samp(n), 9) AS sd FROM (SELECT lang, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) AS n FROM documents) GROUP BY lang")
@@ -205,12 +206,15 @@ def _padded(spark, d):
     return table(spark, d, "documents").select("doc_id", F.aggregate(out, F.lit(0).cast("long"), lambda a, b: a + b).alias("total"), F.size(out).alias("size"))
 
 
-@add("shuffled_sentences")
+@add("shuffled_sentences", r"""WITH s AS (SELECT doc_id, text, string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)) AS l FROM documents),
+p AS (SELECT doc_id, text, l, unnest(range(len(l))) AS i FROM s),
+o AS (SELECT doc_id, string_agg(l[i + 1], ' ' ORDER BY md5('3_' || doc_id || '_' || i), l[i + 1]) AS shuffled FROM p GROUP BY doc_id)
+SELECT s.doc_id, md5(CASE WHEN ('0x' || substr(md5('3_' || s.doc_id), 1, 8))::BIGINT % 1000 < 500 THEN shuffled ELSE text END) AS text FROM s JOIN o USING (doc_id)""")
 def _shuffled(spark, d):
     return table(spark, d, "documents").select("doc_id", F.md5(V.shuffled_sentences(F.col("text"), F.col("doc_id"), 0.5, 3).cast("binary")).alias("text"))
 
 
-@add("prompt_bank_choice")
+@add("prompt_bank_choice", "SELECT doc_id, (['Describe the scan.', 'Write a report.', 'What is seen?'])[('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 3 + 1] AS prompt FROM documents")
 def _bank(spark, d):
     return table(spark, d, "documents").select("doc_id", V.pick(["Describe the scan.", "Write a report.", "What is seen?"], F.col("doc_id")).alias("prompt"))
 
@@ -218,3 +222,35 @@ def _bank(spark, d):
 @add("single_line_answers", f"WITH {PAIRS} SELECT key FROM pairs WHERE NOT contains(hyp, chr(10))")
 def _single_line(spark, d):
     return report_pairs(spark, d).where(~F.col("hyp").contains("\n")).select("key")
+
+
+@add("judge_requests", f"""WITH {PAIRS} SELECT key, md5('Question type: Short answer' || chr(10) || chr(10) || 'Question: ' || ref || chr(10) || chr(10) || 'Ground truth answer: ' || hyp || chr(10) || chr(10) || 'Generated answer: ' || hyp) AS request FROM pairs""")
+def _judge(spark, d):
+    p = report_pairs(spark, d)
+    ask = X.judge_request(F.lit("short_answer"), F.concat(F.lit("<image>\n"), "ref"), F.col("hyp"), F.concat(F.lit("<s>"), "hyp", F.lit("</s>")))
+    return p.select("key", F.md5(ask.cast("binary")).alias("request"))
+
+
+@add("masked_tokens", "SELECT conv_id, sum(length(coalesce(text, '')))::BIGINT AS ids, coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS labels FROM conversations GROUP BY conv_id")
+def _masked(spark, d):
+    from larkspur.operators import tokens
+
+    rows = turns(spark, d).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+    both = rows.select("conv_id", tokens.masked_ids("t", lambda text: [ord(c) for c in text]).alias("m"))
+    kept = F.size(F.filter("m.labels", lambda x: x != tokens.IGNORED))
+    return both.select("conv_id", F.size("m.ids").cast("long").alias("ids"), kept.cast("long").alias("labels"))
+
+
+@add("unescaped_pages", "SELECT page_id, md5(replace(replace(replace(replace(replace(html, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'), '&nbsp;', chr(160))) AS html FROM pages WHERE NOT regexp_matches(html, '&(#|amp;)') AND NOT regexp_matches(replace(replace(replace(replace(html, '&lt;', ''), '&gt;', ''), '&quot;', ''), '&nbsp;', ''), '&')")
+def _unescaped(spark, d):
+    plain = "regexp_replace(html, '&(lt|gt|quot|nbsp);', '') NOT LIKE '%&%'"  # pages with other entities are tested by hand
+    return table(spark, d, "pages").where(plain).select("page_id", F.md5(X.unescaped(F.col("html")).cast("binary")).alias("html"))
+
+
+@add("article_texts", "SELECT page_id, source AS title, lang || chr(10) || source AS full_text FROM (SELECT doc_id AS page_id, source, lang FROM documents)")
+def _articles(spark, d):
+    from larkspur.sources import files
+
+    xml = F.concat(F.lit("<article><front><article-title>"), "source", F.lit("</article-title></front><body><sec><title>"), "lang", F.lit("</title><p> "), "source", F.lit(" </p></sec></body></article>"))
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("page_id"), files.parse_articles(xml).alias("a"))
+    return rows.select("page_id", "a.title", "a.full_text")
