@@ -8,7 +8,9 @@ it loses those lines. What is left is put together again by position.
 * a null ``doc_id``: the row keeps all its lines and is not counted as a document;
 * rows that share a ``doc_id`` count as one document;
 * other columns pass through untouched, whatever their names; a column of a name that is
-  added (``names``) is replaced.
+  added (``names``) is replaced;
+* a very common line is one hash: its documents are reduced by partial aggregation, and the join
+  that finds its places is a sort-merge join whose large partitions the engine's skew rule splits.
 """
 
 from __future__ import annotations

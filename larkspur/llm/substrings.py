@@ -15,6 +15,7 @@ compared over the whole corpus, have 128 bits.
 * words are ``[^\\x20\\x09-\\x0D]+``, unchanged; null or empty text has none;
 * windows that repeat only inside one document, or among rows that share a ``doc_id``, stay;
 * a null ``doc_id``: the row keeps all its words and is not counted;
+* a very common passage is one node: partial aggregation and the engine's skew rule take care of it;
 * texts shorter than a window are never cut; other columns pass through, whatever their
   names; a column of a name that is added (``names``) is replaced.
 """

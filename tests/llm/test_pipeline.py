@@ -48,3 +48,37 @@ def test_equal_rows_have_their_own_copies(spark, monkeypatch):
     monkeypatch.setattr(corpus_pipeline.mixing, "mix_sources", lambda docs: copies)
     got = [tuple(r) for r in corpus_pipeline.mix(spark, docs, "").collect()]
     assert [r for r in got if r[0] == 1] == [(1, "a b", "x")] and len({r[1] for r in got}) == len(got) == 3
+
+
+def odd_folder(spark, rows, path):
+    """Repeated rows, rows without id, and extra columns with names that stages use."""
+    from pyspark.sql import functions as F
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    odd = spark.createDataFrame([*rows, *rows[:6], (None, "no id here at all", "en", "a", 17), (None, "no id here at all", "en", "a", 17), (None, "nor here is one", "en", "a", 15)][:] if rows else [], schema)
+    for c in ("n_lines", "tox_score", "_size", "_tox_score", "copies", "rank", "_own_tag", "component_id"):
+        odd = odd.withColumn(c, F.lit("x"))
+    odd.write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(r[0], 1, r[0] % 2) for r in rows[:0]], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return spark.read.parquet(f"{path}/documents.parquet")
+
+
+def test_odd_rows_pass_all_stages(spark, rows, tmp_path):
+    docs = odd_folder(spark, rows, str(tmp_path))
+    before = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = corpus_pipeline.stage_table(stage(spark, before, str(tmp_path)), f"odd-{name}")
+        assert after.columns == docs.columns and after.schema.simpleString() == docs.schema.simpleString(), name
+        ids = {r["doc_id"] for r in after.collect()}
+        assert None in ids, name  # rows without id stay
+        assert {r["tox_score"] for r in after.collect()} == {"x"}
+        if name in ("toxicity", "line_dedup"):
+            assert after.count() == docs.count()
+        before = after
+    packed = corpus_pipeline.pack(spark, before, str(tmp_path))
+    assert packed.where("piece = 0").count() == before.count()
+
+
+def test_an_empty_table_passes_all_stages(spark, tmp_path):
+    odd_folder(spark, [], str(tmp_path))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
