@@ -31,7 +31,9 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def line_key(line: Column) -> Column:
     """The line without surrounding white space, A-Z in lower case."""
-    return F.translate(F.btrim(line, F.lit(SPACES)), _UPPER, _LOWER)
+    bare = F.btrim(line, F.lit(SPACES))
+    ascii_only = F.octet_length(bare) == F.char_length(bare)  # then the faster function does the same
+    return F.when(ascii_only, F.lower(bare)).otherwise(F.translate(bare, _UPPER, _LOWER))
 
 
 def dropped_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> DataFrame:
@@ -39,7 +41,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> Da
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64(text).alias("_tag"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
     keyed = lines.withColumn("_key", line_key(F.col("line"))).where(F.char_length("_key") >= min_chars)
-    keyed = keyed.select("doc_id", "_tag", "pos", F.xxhash64("_key").alias("k1"), F.xxhash64(F.lit(1), "_key").alias("k2"))
+    keyed = stage_table(keyed.select("doc_id", "_tag", "pos", F.xxhash64("_key").alias("k1"), F.xxhash64(F.lit(1), "_key").alias("k2")), "line-keys")
     if min_docs == 2:  # two documents at least: the least and the greatest id differ, so no set of ids is held
         counted = keyed.groupBy("k1", "k2").agg(F.min("doc_id").alias("keep_in"), F.max("doc_id").alias("_last")).where("keep_in < _last")
     else:
