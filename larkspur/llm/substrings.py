@@ -8,9 +8,13 @@ enter by one edge and leave by one edge. Joined back to their source coordinates
 compact into nonbranching paths: text that every occurrence of a node has in common. A
 window that lies inside the common text of its node occurs in exactly the node's documents,
 so nothing about it has to be counted; only windows across a branch are hashed whole and
-grouped. A 64-bit hash is trusted only among the occurrences of one node, whose edges hold
-the node's own words, so nodes that collide branch; windows across branches, which are
-compared over the whole corpus, have 128 bits.
+grouped.
+
+No hash of hashes decides alone. Each document digests the words of each of its paths at
+their source coordinates, and a path's digest must be the same in all its documents, the one
+that keeps the passage among them; if any differs, the graph is built again with words coded by a
+cryptographic digest. Windows across branches are compared by 64 bits of the graph's hash and 64
+of a digest of their words.
 
 * words are ``[^\\x20\\x09-\\x0D]+``, unchanged; null or empty text has none;
 * windows that repeat only inside one document, or among rows that share a ``doc_id``, stay;
@@ -23,6 +27,7 @@ compared over the whole corpus, have 128 bits.
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,11 +37,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur.llm.spark_util import arrow_rows, drop_table, fresh_names, stage_table
-from larkspur.llm.text_arrays import as_long, find_words, mix, sequence_hashes, sliding_argmin, span_hashes, text_slices, word_hashes
+from larkspur.llm.text_arrays import as_long, find_words, sequence_hashes, sliding_argmin, text_slices, word_hashes
 
 KMER = 10
 _START, _END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
-_BASE2 = 0x9FB21C651E98DF25
+
+
+def word_codes(data: np.ndarray, offsets: np.ndarray, strong: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A 64-bit code of each word, its start and end, and each text's first word; ``strong`` codes are cryptographic digests."""
+    if not strong:
+        return word_hashes(data, offsets)
+    starts, ends, first = find_words(data, offsets)
+    raw = data.tobytes()
+    digests = b"".join(hashlib.blake2b(raw[s:e], digest_size=8).digest() for s, e in zip(starts.tolist(), ends.tolist(), strict=True))
+    return np.frombuffer(digests, np.uint64), starts, ends, first
+
+
+def digest(words: bytes) -> tuple[int, int]:
+    """128 bits of words that are joined by one space, as two longs."""
+    return struct.unpack("<2q", hashlib.blake2b(words, digest_size=16).digest())
 
 
 def picked_kmers(words: np.ndarray, first: np.ndarray, window: int, kmer: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -52,13 +71,13 @@ def picked_kmers(words: np.ndarray, first: np.ndarray, window: int, kmer: int) -
     return whole, least[whole], kmers
 
 
-def graph_nodes(docs: DataFrame, window: int, kmer: int) -> DataFrame:
+def graph_nodes(docs: DataFrame, window: int, kmer: int, strong: bool = False) -> DataFrame:
     """(doc_id, tag, pos, node, into, out): each picked k-mer with the hashes of its edges."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, _, data, offsets in text_slices(batch.column(2)):
-                words, _, _, first = word_hashes(data, offsets)
+                words, _, _, first = word_codes(data, offsets, strong)
                 _, least, kmers = picked_kmers(words, first, window, kmer)
                 if not len(least):
                     continue
@@ -103,63 +122,102 @@ def as_runs(marks: np.ndarray) -> list[int]:
     return edges.tolist()
 
 
-def judge_windows(docs: DataFrame, found: DataFrame, window: int, kmer: int) -> DataFrame:
-    """(doc_id, tag, gone, pos, hash, hash2): runs of windows that are known to repeat earlier, and the windows across branches."""
+def path_heads(one_in: np.ndarray, one_out: np.ndarray) -> np.ndarray:
+    """First nodes of the nonbranching paths: runs of nodes of which each leads to the next only, and the next comes from it only."""
+    return np.flatnonzero(np.append(True, ~(one_out[:-1] & one_in[1:])))
+
+
+JUDGED = "doc_id long, tag long, gone array<int>, pos array<int>, hash array<long>, words_hash array<long>, paths array<struct<path: long, least: long, d1: long, d2: long>>"
+
+
+def judge_windows(docs: DataFrame, found: DataFrame, window: int, kmer: int, strong: bool = False) -> DataFrame:
+    """(doc_id, tag, gone, pos, hash, words_hash, paths): runs of windows that are known to repeat earlier, the windows across
+    branches, and each path with its least document and the digest of the words that its windows cover."""
     nodes = found.toDF("_d", "_t", "nodes")
     joined = docs.join(nodes, (F.col("doc_id") == F.col("_d")) & (F.col("tag") == F.col("_t"))).select("doc_id", "tag", "text", F.col("nodes.pos").alias("at"), F.col("nodes.least_doc").alias("least"), F.col("nodes.one_in").alias("one_in"), F.col("nodes.one_out").alias("one_out"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "tag", "gone", "pos", "hash", "hash2"]
-        types = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        names = ["doc_id", "tag", "gone", "pos", "hash", "words_hash", "paths"]
+        path = pa.struct([("path", pa.int64()), ("least", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64())])
+        types = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(path)]
         for batch in batches:
             ids, tags = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for low, high, data, offsets in text_slices(batch.column(2)):
-                words, _, _, first = word_hashes(data, offsets)
-                starts, least, _ = picked_kmers(words, first, window, kmer)
+                words, begins, ends, first = word_codes(data, offsets, strong)
+                starts, least, kmers = picked_kmers(words, first, window, kmer)
                 edge = np.searchsorted(starts, first)
+                raw = data.tobytes()
                 out: list[list] = [[] for _ in names]
                 for i in range(high - low):
                     row, a, b = low + i, edge[i], edge[i + 1]
                     f, n = int(first[i]), int(first[i + 1] - first[i])
-                    pos = np.array(batch.column(3)[row].as_py(), np.int64)
-                    doc = np.array(batch.column(4)[row].as_py(), np.int64)
-                    left, right = common_reach(pos, batch.column(5)[row].as_py(), batch.column(6)[row].as_py(), kmer, n)
+                    pos, doc, one_in, one_out = (np.array(batch.column(c)[row].as_py()) for c in range(3, 7))
+                    left, right = common_reach(pos, one_in, one_out, kmer, n)
                     s, node = starts[a:b] - f, least[a:b] - f
                     k = np.minimum(np.searchsorted(pos, node), len(pos) - 1)
                     repeated = pos[k] == node
                     inside = repeated & (left[k] <= s) & (s + window <= right[k])
                     # a node's least document bounds that of its windows from below
                     open_ = s[repeated & ~inside]
+                    joined_words = b" ".join([raw[x:y] for x, y in zip(begins[f : f + n].tolist(), ends[f : f + n].tolist(), strict=True)])
+                    at = np.append(0, np.cumsum(ends[f : f + n] - begins[f : f + n] + 1)).tolist()
                     out[0].append(ids[row])
                     out[1].append(tags[row])
                     out[2].append(as_runs(inside & (doc[k] < ids[row])))
                     out[3].append(open_)
                     own = words[f : f + n]
                     out[4].append(as_long(sequence_hashes(own, open_, open_ + window)) if len(open_) else open_)
-                    out[5].append(as_long(span_hashes(mix(own ^ _START), open_, open_ + window, _BASE2)) if len(open_) else open_)
+                    out[5].append([digest(joined_words[at[x] : at[x + window] - 1])[0] for x in open_.tolist()])
+                    heads = path_heads(one_in, one_out)
+                    lows = np.maximum(left[heads], pos[heads] - (window - kmer))
+                    highs = np.minimum(right[heads], pos[np.append(heads[1:], len(pos)) - 1] + window)
+                    long_ = highs - lows >= window
+                    out[6].append(
+                        [
+                            dict(zip(("path", "least", "d1", "d2"), (x, y, *digest(joined_words[at[lo] : at[hi] - 1])), strict=True))
+                            for x, y, lo, hi in zip(as_long(kmers[f + pos[heads[long_]]]).tolist(), doc[heads[long_]].tolist(), lows[long_].tolist(), highs[long_].tolist(), strict=True)
+                        ]
+                    )
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types, strict=True)], names)
 
-    return joined.mapInArrow(run, "doc_id long, tag long, gone array<int>, pos array<int>, hash array<long>, hash2 array<long>")
+    return joined.mapInArrow(run, JUDGED)
+
+
+def differing_paths(judged: DataFrame) -> DataFrame:
+    """Paths whose words are not the same in all their documents, or whose least document does not hold them."""
+    paths = judged.select("doc_id", F.explode("paths").alias("p")).select("doc_id", "p.*")
+    one = paths.groupBy("path").agg(F.min("doc_id").alias("first"), *[f(c).alias(f"{f.__name__}_{c}") for c in ("least", "d1", "d2") for f in (F.min, F.max)])
+    return one.where("first <> min_least OR min_least <> max_least OR min_d1 <> max_d1 OR min_d2 <> max_d2")
+
+
+def judge(keyed: DataFrame, window: int, kmer: int, strong: bool = False) -> DataFrame:
+    """``judge_windows`` of (doc_id, tag, text), from the graph of all texts, as a staged table."""
+    with arrow_rows(keyed.sparkSession, 2000):
+        nodes = stage_table(graph_nodes(keyed, window, kmer, strong), "repeat-nodes")
+        degrees = nodes.groupBy("node").agg(F.min("doc_id").alias("least_doc"), F.max("doc_id").alias("_last"), (F.min("into") == F.max("into")).alias("one_in"), (F.min("out") == F.max("out")).alias("one_out"))
+        repeated = stage_table(degrees.where("least_doc < _last").drop("_last"), "repeat-paths")
+        placed = nodes.select("doc_id", "tag", "pos", "node").join(repeated, "node").dropDuplicates(["doc_id", "tag", "pos"])
+        found = placed.groupBy("doc_id", "tag").agg(F.sort_array(F.collect_list(F.struct("pos", "least_doc", "one_in", "one_out"))).alias("nodes"))
+        judged = stage_table(judge_windows(keyed, found, window, kmer, strong), "repeat-judged")
+    drop_table(nodes)
+    return judged
 
 
 def remove_repeats(docs: DataFrame, window: int = 50, kmer: int = KMER, names: tuple[str, str, str] = ("n_words", "n_removed", "kept_sha256")) -> DataFrame:
     """``docs`` with the kept words, joined by one space, as ``text``, and three more columns called ``names``."""
-    spark = docs.sparkSession
     docs = docs.drop(*names)
     own, d, t, g, a = fresh_names(docs.columns, "_own_tag", "_doc", "_tag", "_gone", "_across")
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), text.alias("text"))
-    with arrow_rows(spark, 2000):
-        nodes = stage_table(graph_nodes(keyed, window, kmer), "repeat-nodes")
-        degrees = nodes.groupBy("node").agg(F.min("doc_id").alias("least_doc"), F.max("doc_id").alias("_last"), (F.min("into") == F.max("into")).alias("one_in"), (F.min("out") == F.max("out")).alias("one_out"))
-        repeated = stage_table(degrees.where("least_doc < _last").drop("_last"), "repeat-paths")
-        placed = nodes.select("doc_id", "tag", "pos", "node").join(repeated, "node").dropDuplicates(["doc_id", "tag", "pos"])
-        found = placed.groupBy("doc_id", "tag").agg(F.sort_array(F.collect_list(F.struct("pos", "least_doc", "one_in", "one_out"))).alias("nodes"))
-        judged = stage_table(judge_windows(keyed, found, window, kmer), "repeat-judged")
-    drop_table(nodes)
-    across = judged.select("doc_id", "tag", F.explode(F.arrays_zip("pos", "hash", "hash2")).alias("w")).select("doc_id", "tag", "w.pos", "w.hash", "w.hash2")
-    least = across.groupBy("hash", "hash2").agg(F.min("doc_id").alias("_least"), F.max("doc_id").alias("_last")).where("_least < _last").drop("_last")
-    later = across.join(stage_table(least, "repeat-across"), ["hash", "hash2"]).where("doc_id > _least").groupBy("doc_id", "tag").agg(F.collect_set("pos").alias("across"))
+    judged = judge(keyed, window, kmer)
+    if not differing_paths(judged).isEmpty():
+        drop_table(judged)
+        judged = judge(keyed, window, kmer, strong=True)
+        if not differing_paths(judged).isEmpty():
+            raise RuntimeError("different passages share their hashes and those of digests: use a shorter window")
+    across = judged.select("doc_id", "tag", F.explode(F.arrays_zip("pos", "hash", "words_hash")).alias("w")).select("doc_id", "tag", "w.pos", "w.hash", "w.words_hash")
+    least = across.groupBy("hash", "words_hash").agg(F.min("doc_id").alias("_least"), F.max("doc_id").alias("_last")).where("_least < _last").drop("_last")
+    later = across.join(stage_table(least, "repeat-across"), ["hash", "words_hash"]).where("doc_id > _least").groupBy("doc_id", "tag").agg(F.collect_set("pos").alias("across"))
     runs = judged.where(F.size("gone") > 0).select("doc_id", "tag", "gone").distinct()
     cuts = stage_table(runs.join(later, ["doc_id", "tag"], "full").toDF(d, t, g, a), "repeat-cuts")
     drop_table(judged)

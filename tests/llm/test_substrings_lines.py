@@ -39,6 +39,19 @@ def test_repeats_inside_one_document_stay(spark):
     assert got[1][1] == 0 and got[2][1] == 120 and got[4][1] == 70
 
 
+def test_words_that_share_a_hash_are_told_apart(spark):
+    """Two words of 2,048 letters whose 64-bit prefix-sum hashes are equal: the graph takes the texts for copies, the words at the coordinates do not."""
+    a, b = ("".join("xy"[(i.bit_count() + flip) % 2] for i in range(2048)) for flip in (0, 1))
+    before, after, more = ([f"{x}{i}" for i in range(60)] for x in "pqr")
+    rows = [(1, " ".join([*before, a, *after])), (2, " ".join([*before, b, *after])), (3, " ".join([*more, *before[:20], b, *after[:30]])), (4, " ".join([*before[5:], a, *after, "end"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = df.selectExpr("doc_id", "xxhash64(text) tag", "text")
+    assert substrings.differing_paths(substrings.judge(keyed, 50, 10)).count() > 0
+    assert substrings.differing_paths(substrings.judge(keyed, 50, 10, strong=True)).count() == 0
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substrings.remove_repeats(df).collect()}
+    assert got == brute_repeats(rows, 50)
+
+
 def brute_lines(rows):
     spaces = "\t\n\x0b\x0c\r "
     key = lambda x: "".join(c.lower() if "A" <= c <= "Z" else c for c in x.strip(spaces))
