@@ -1,6 +1,7 @@
 """Comparison of a frame with DuckDB's answer on the same tables."""
 
 import duckdb
+import pandas as pd
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -13,7 +14,7 @@ def duck(sf_dir):
 
 
 def rows(pdf, columns):
-    return sorted(tuple(None if v is None or v != v else v for v in r) for r in pdf[columns].astype(object).itertuples(index=False)) if len(pdf) else []
+    return sorted(tuple(None if v is None or v is pd.NA or v != v else v for v in r) for r in pdf[columns].astype(object).itertuples(index=False)) if len(pdf) else []
 
 
 def same(con, df, sql):
@@ -21,6 +22,6 @@ def same(con, df, sql):
     columns = sorted(want.columns)
     assert sorted(got.columns) == columns
     key = lambda r: tuple((v is None, str(v)) for v in r)
-    a = sorted((tuple(None if v is None or v != v else v for v in r) for r in got[columns].astype(object).itertuples(index=False)), key=key)
-    b = sorted((tuple(None if v is None or v != v else v for v in r) for r in want[columns].astype(object).itertuples(index=False)), key=key)
+    a = sorted((tuple(None if v is None or v is pd.NA or v != v else v for v in r) for r in got[columns].astype(object).itertuples(index=False)), key=key)
+    b = sorted((tuple(None if v is None or v is pd.NA or v != v else v for v in r) for r in want[columns].astype(object).itertuples(index=False)), key=key)
     assert a == b
