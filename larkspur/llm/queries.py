@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,6 +111,26 @@ SELECT d.doc_id, len(d.l)::BIGINT AS n_words, coalesce(r.gone, 0)::BIGINT AS n_r
 FROM docs d LEFT JOIN (SELECT doc_id, sum(c) AS gone, string_agg(word, ' ' ORDER BY i) FILTER (c = 0) AS kept FROM covered GROUP BY doc_id) r USING (doc_id)
 """
 
+#: The reflected CRC-32 of each byte, from its polynomial; the checksum itself folds the bytes of the UTF-8 text.
+_CRC = [reduce(lambda c, _: c >> 1 ^ (0xEDB88320 if c & 1 else 0), range(8), byte) for byte in range(256)]
+_CRC32 = f"xor(list_reduce(list_prepend(4294967295, [('0x' || h)::BIGINT for h in regexp_extract_all(hex(encode(text)), '..')]), lambda c, b: xor(c >> 8, {_CRC}[1 + (xor(c, b) & 255)])), 4294967295)"
+_HASH60 = "('0x' || substr(md5({}), 1, 15))::BIGINT"
+
+OP4_SQL = f"""
+WITH rows AS (
+  SELECT doc_id, source, octet_length(encode(text)) + 16 AS size, {_CRC32} AS crc FROM (SELECT doc_id, source, coalesce(text, '') AS text FROM documents)
+), seeded AS (
+  SELECT *, {_HASH60.format("concat('17:', doc_id, ':', crc, ':', size)")} AS h FROM rows
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY h, doc_id NULLS FIRST, crc, size) - 1 AS r, count(*) OVER (PARTITION BY source) AS n FROM seeded
+), placed AS (
+  SELECT *, row_number() OVER (ORDER BY (r + 0.5::DOUBLE) / n, {_HASH60.format("concat('17:', source, ':', r)")}, h, doc_id NULLS FIRST, crc, size) - 1 AS g, count(*) OVER () AS total FROM ranked
+)
+SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'rows' AS law, (g * 40 // total)::INTEGER AS shard,
+       (g - ((g * 40 // total) * total + 39) // 40)::BIGINT AS slot, NULL::INTEGER AS grown_shard, source
+FROM placed
+"""
+
 OP6_SQL = f"""
 WITH lines AS (
   SELECT doc_id, i, line, {_LOWER_AZ.format("trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')")} AS key
@@ -156,6 +177,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_ngram_jaccard": OP1_SQL,
     "op3_substring_dedup": OP3_SQL,
+    "op4_interleave": OP4_SQL,
     "op6_line_dedup": OP6_SQL,
     "op7_chat_format": OP7_SQL,
 }
