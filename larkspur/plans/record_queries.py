@@ -14,7 +14,7 @@ from larkspur.operators import distribution as D
 from larkspur.operators import retrieval as V
 from larkspur.plans.metric_queries import rounded
 from larkspur.plans.stand_in import LONG, scored, submission, table, truth, turns
-from larkspur.sources import sinks
+from larkspur.sources import sheets, sinks
 from larkspur.sources import submissions as S
 
 QUERIES = {}
@@ -100,6 +100,13 @@ def _keys(spark, d):
     return rows.select("doc_id", *[rule(F.col("k")).alias(name) for name, rule in K.RULES.items()])
 
 
+@add("sheet_records", "SELECT n_nationkey, n_name, n_regionkey, n_regionkey / 4 AS share FROM nation")
+def _(spark, sf):
+    rows = table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey", (F.col("n_regionkey") / 4).alias("share"))
+    books = sheets.sheet_files(rows, "n_nationkey", "n_regionkey").withColumnRenamed("name", "path")
+    return sheets.parse_sheets(books, ", ".join(f"{c} {kind}" for c, kind in rows.dtypes))
+
+
 @add("name_collisions", "SELECT doc_id, CASE WHEN n = 1 THEN name ELSE lang || '_' || (n - 1) || '.mha' END AS staged FROM (SELECT doc_id, lang, lang || '.mha' AS name, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS n FROM documents)")
 def _collisions(spark, d):
     rows = table(spark, d, "documents").select("doc_id", F.concat("lang", F.lit(".mha")).alias("name"))
