@@ -244,7 +244,17 @@ def _batches(spark, d):
     return B.size_batches(docs, "label", "doc_id", 8)
 
 
-@add("length_grouped_sampler")
+@add("length_grouped_sampler", """WITH RECURSIVE d AS (SELECT doc_id, CASE WHEN source LIKE '%1' THEN -n_chars ELSE n_chars END AS length FROM documents),
+r AS (SELECT doc_id, abs(length) AS l, CASE WHEN length > 0 THEN 1 ELSE -1 END AS modality, row_number() OVER (PARTITION BY length > 0 ORDER BY md5(doc_id::VARCHAR), doc_id) - 1 AS r FROM d),
+m AS (SELECT doc_id, l, modality, r // 64 AS megabatch, row_number() OVER w AS i, ceil(count(*) OVER (PARTITION BY modality, r // 64) / 4) AS per FROM r WINDOW w AS (PARTITION BY modality, r // 64 ORDER BY l DESC, doc_id)),
+dealt(modality, megabatch, i, doc_id, worker, load, n) AS (
+  SELECT DISTINCT modality, megabatch, 0::BIGINT, NULL::BIGINT, NULL::BIGINT, [0, 0, 0, 0]::BIGINT[], [0, 0, 0, 0]::BIGINT[] FROM m
+  UNION ALL
+  SELECT modality, megabatch, i, doc_id, w - 1, list_transform(range(1, 5), lambda k: load[k] + CASE WHEN k = w THEN l ELSE 0 END), list_transform(range(1, 5), lambda k: n[k] + (k = w)::BIGINT)
+  FROM (SELECT m.*, load, n, list_min(list_transform(list_filter(range(1, 5), lambda k: n[k] < per), lambda k: load[k] * 8 + k)) % 8 AS w
+        FROM dealt JOIN m ON m.modality = dealt.modality AND m.megabatch = dealt.megabatch AND m.i = dealt.i + 1)
+)
+SELECT doc_id, modality, megabatch, worker FROM dealt WHERE i > 0""")
 def _lengths(spark, d):
     docs = table(spark, d, "documents").select("doc_id", F.when(F.col("source").endswith("1"), -F.col("n_chars")).otherwise(F.col("n_chars")).alias("length"))
     return B.length_groups(docs, "doc_id", "length", 64, 4)

@@ -170,7 +170,7 @@ def _signed(spark, d):
 TAGGED = lambda: F.concat(F.lit("<1><q> "), F.col("ref"), F.lit(" <a>"), F.col("hyp"), F.lit("<q>again<a> ok <2><1>"))
 
 
-@add("tagged_sections")
+@add("tagged_sections", f"WITH {PAIRS} SELECT key, '1' AS number, md5('<q> ' || ref || ' <a>' || hyp || '<q>again<a> ok <2>') AS body FROM pairs")
 def _sections(spark, d):
     x = report_pairs(spark, d).select("key", F.explode(V.numbered_sections(TAGGED())).alias("s"))
     return x.select("key", "s.number", F.md5(F.col("s.body").cast("binary")).alias("body"))
