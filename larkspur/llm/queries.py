@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import chat, chunks, jaccard, lines, mixing, neighbours, packing, shards, substrings, toxicity
+from larkspur.llm import chat, chunks, jaccard, lines, mixing, neighbours, packing, rolling, shards, substrings, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -74,6 +74,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op12_rolling_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rolling.rolling_medians(table(spark, sf_dir, "clicks").select("click_id", "ts", "kind", "value"))
+
+
 _LOWER_AZ = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
@@ -161,6 +165,23 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM rows GROUP BY conv_id
 """
 
+#: Of each click the cents of its window, in order; the distances from the doubled median, in order.
+OP12_SQL = """
+WITH once AS (
+  SELECT DISTINCT ON (click_id) click_id, ts, kind, cents FROM (
+    SELECT click_id, ts, kind, CASE WHEN isfinite(value) AND abs(value * 100) < 288230376151711744 THEN CAST(floor(100 * value + 0.5) AS BIGINT) END AS cents FROM clicks WHERE ts IS NOT NULL)
+  ORDER BY click_id, ts, kind NULLS FIRST, cents NULLS FIRST
+), windows AS (
+  SELECT click_id, kind, cents, list_sort(coalesce(list(cents) FILTER (cents IS NOT NULL) OVER (
+    PARTITION BY kind ORDER BY ts RANGE BETWEEN INTERVAL '59 minutes 59.999999 seconds' PRECEDING AND CURRENT ROW), [])) AS w FROM once
+), medians AS (SELECT *, len(w) AS n, w[(len(w) + 1) // 2] + w[len(w) // 2 + 1] AS m FROM windows),
+distances AS (SELECT *, list_sort(list_transform(w, lambda x: abs(2 * x - m))) AS d FROM medians),
+measured AS (SELECT *, d[(n + 1) // 2] + d[n // 2 + 1] AS mad FROM distances)
+SELECT click_id, kind, n::BIGINT AS n, CASE WHEN n >= 2 THEN m::BIGINT END AS median2, CASE WHEN n >= 2 THEN mad::BIGINT END AS mad4,
+       CASE WHEN n >= 2 THEN 2 * abs(2 * cents - m) > 3 * mad END AS far
+FROM measured
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_nn_descent": op2_nn_descent,
@@ -172,6 +193,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_mixing": op9_mixing,
     "op10_packing": op10_packing,
+    "op12_rolling_median": op12_rolling_median,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -180,4 +202,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_interleave": OP4_SQL,
     "op6_line_dedup": OP6_SQL,
     "op7_chat_format": OP7_SQL,
+    "op12_rolling_median": OP12_SQL,
 }
