@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import chat, chunks, jaccard, lines, mixing, neighbours, packing, rolling, shards, substrings, toxicity
+from larkspur.llm import chat, chunks, divergence, jaccard, lines, minhash, mixing, neighbours, packing, rolling, shards, substrings, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -74,20 +74,28 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence_audit(table(spark, sf_dir, "documents"), least_docs=30, top=50)
+
+
 def op12_rolling_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolling.rolling_medians(table(spark, sf_dir, "clicks").select("click_id", "ts", "kind", "value"))
 
 
+def op13_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), n=2, percent=80)
+
+
 _LOWER_AZ = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
-OP1_SQL = f"""
+NEAR_SQL = f"""
 WITH RECURSIVE words AS (
   SELECT doc_id, {_WORDS.format(_LOWER_AZ.format("coalesce(text, '')"))} AS l FROM documents
 ), shingles AS (
   SELECT DISTINCT doc_id, array_to_string(g, ' ') AS s FROM (
-    SELECT doc_id, unnest(CASE WHEN len(l) = 0 THEN [] WHEN len(l) < 5 THEN [l]
-                               ELSE list_transform(range(1, len(l) - 3), lambda i: l[i:i + 4]) END) AS g FROM words)
+    SELECT doc_id, unnest(CASE WHEN len(l) = 0 THEN [] WHEN len(l) < :n THEN [l]
+                               ELSE list_transform(range(1, len(l) - :n + 2), lambda i: l[i:i + :n - 1]) END) AS g FROM words)
 ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 shared AS (
   SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
@@ -101,6 +109,9 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id
 FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(c) AS c FROM reach GROUP BY doc_id) USING (doc_id)
 """
 
+OP1_SQL = NEAR_SQL.replace(":n", "5")
+OP13_SQL = f"SELECT *, doc_id = component_id AS kept FROM ({NEAR_SQL.replace(':n', '2')})"
+
 OP3_SQL = f"""
 WITH docs AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS l FROM documents),
 words AS (
@@ -165,6 +176,30 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM rows GROUP BY conv_id
 """
 
+#: All kept terms of all groups, one by one.
+OP11_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_LOWER_AZ.format("coalesce(text, '')")}, '{divergence.TERM}') AS l FROM documents
+), occurrences AS (SELECT r, lang, source, unnest(l) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS total FROM occurrences GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+langs AS (SELECT lang, count(*) AS v, sum(total) AS lang_n FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS c FROM occurrences JOIN kept USING (lang, term) GROUP BY ALL),
+sizes AS (SELECT lang, source, sum(c) AS n FROM counts GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+dense AS (
+  SELECT lang, source, term, coalesce(c, 0) AS c, 1 + 1000000000::HUGEINT * (coalesce(c, 0) + 5) // (coalesce(n, 0) + 5 * v) AS p, 1 + 1000000000::HUGEINT * (total + 5) // (lang_n + 5 * v) AS q
+  FROM groups JOIN kept USING (lang) JOIN langs USING (lang) LEFT JOIN sizes USING (lang, source) LEFT JOIN counts USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN dense x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN dense y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL
+), parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', term, p - q FROM dense WHERE c > 0 AND p > q
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
 #: Of each click the cents of its window, in order; the distances from the doubled median, in order.
 OP12_SQL = """
 WITH once AS (
@@ -193,7 +228,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_mixing": op9_mixing,
     "op10_packing": op10_packing,
+    "op11_source_divergence": op11_source_divergence,
     "op12_rolling_median": op12_rolling_median,
+    "op13_bbit_minhash": op13_bbit_minhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -202,5 +239,7 @@ ORACLE_SQL: dict[str, str] = {
     "op4_interleave": OP4_SQL,
     "op6_line_dedup": OP6_SQL,
     "op7_chat_format": OP7_SQL,
+    "op11_source_divergence": OP11_SQL,
     "op12_rolling_median": OP12_SQL,
+    "op13_bbit_minhash": OP13_SQL,
 }
