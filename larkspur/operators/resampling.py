@@ -18,19 +18,22 @@ def numbered(df: DataFrame, order: str, out: str = "pos") -> DataFrame:
     return global_rank(df, F.col(order), out)
 
 
+def drawn_positions(spark: SparkSession, n: int, rounds: int) -> DataFrame:
+    """(round, i, pos): ``n`` positions below ``n`` for each round, made where they are used."""
+    draws = spark.range(rounds * n).select(F.expr(f"id div {max(n, 1)}").alias("round"), (F.col("id") % max(n, 1)).alias("i"))
+    return draws.withColumn("pos", F.pmod(draw(F.col("round").cast("string"), F.col("i").cast("string")), F.lit(n)))
+
+
 def bootstrap_rows(spark: SparkSession, rows: DataFrame, n: int, rounds: int) -> DataFrame:
     """``rows`` (with ``pos``) drawn ``n`` times with replacement in each of ``rounds`` rounds; the seed is the round."""
-    draws = spark.range(rounds).select(F.col("id").alias("round")).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    draws = draws.withColumn("pos", F.pmod(draw(F.col("round").cast("string"), F.col("i").cast("string")), F.lit(n)))
-    return draws.join(rows, "pos")
+    return drawn_positions(spark, n, rounds).join(rows, "pos")
 
 
 def bootstrap_metrics(spark: SparkSession, rows: DataFrame, n: int, rounds: int) -> DataFrame:
     """W3 with the metrics of each label and round: (label, round, auroc, f1, accuracy, precision). ``rows``: (pos, label, y,
     score, yhat) with the same positions 0 to ``n - 1`` for each label. Draws are counted before they meet the rows, and
     what is ordered are the distinct scores of a round; a round without both classes has no AUROC."""
-    draws = spark.range(rounds).select(F.col("id").alias("round")).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    drawn = draws.groupBy("round", F.pmod(draw(F.col("round").cast("string"), F.col("i").cast("string")), F.lit(n)).alias("pos")).agg(F.count(F.lit(1)).alias("w"))
+    drawn = drawn_positions(spark, n, rounds).groupBy("round", "pos").agg(F.count(F.lit(1)).alias("w"))
     cells = drawn.join(rows, "pos").groupBy("label", "round", "score", "yhat").agg(F.sum(F.col("w") * F.col("y")).alias("p"), F.sum(F.col("w") * (1 - F.col("y"))).alias("q"))
     below = Window.partitionBy("label", "round").orderBy("score").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     cells = cells.withColumn("lower", F.sum("q").over(below))

@@ -6,10 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Queries that one pass over the candidates takes; more queries run in more passes.
+#: Most queries that are sent to the candidates; rows of a block beyond that, about.
 QUERY_BLOCK = 20_000
 #: Queries that one matrix product takes.
 TILE = 500
@@ -40,58 +41,97 @@ def normalised(a: Column) -> Column:
     return F.transform(a.cast("array<double>"), lambda x: x / n)
 
 
+def unit_rows(x: np.ndarray) -> np.ndarray:
+    """Rows by their length; not a number for a zero row."""
+    length = np.linalg.norm(x, axis=1, keepdims=True)
+    return np.divide(x, length, out=np.full_like(x, np.nan), where=length > 0)
+
+
+def best_of(x: np.ndarray, y: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of ``x``, row of ``y``, similarity) of the ``k`` best of each row of ``x``; equal to 12 digits is equal, then the earlier
+    row of ``y``. Nothing is sorted but what is not below the k-th best."""
+    sims = x @ y.T
+    value = np.where(np.isnan(sims), -np.inf, np.round(sims, 12))
+    if value.shape[1] > k:
+        last = np.partition(value, value.shape[1] - k, axis=1)[:, -k][:, None]
+        row, col = np.nonzero((value >= last) & (value > -np.inf))
+    else:
+        row, col = np.nonzero(value > -np.inf)
+    order = np.lexsort((col, -value[row, col], row))
+    row, col = row[order], col[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    keep = place < k
+    return row[keep], col[keep], sims[row[keep], col[keep]]
+
+
+def _vectors(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
 def top_k(queries: DataFrame, candidates: DataFrame, k: int, use_cosine: bool = False, whole: bool = False) -> DataFrame:
     """(q, c, sim, rank) of the ``k`` most similar candidates; ties to the smaller id. Frames are (id, vector).
 
-    Queries go to the candidates in blocks of ``QUERY_BLOCK`` rows, so what is broadcast is bounded; a batch of candidates
-    meets them ``TILE`` at a time, so a matrix product is bounded too, and keeps ``k`` rows per query. With ``whole``, fewer
-    than ``k`` candidates are an error.
+    Up to ``QUERY_BLOCK`` queries go to the candidates, which then stay where they are. More of them are dealt to blocks, as
+    the candidates are, and each two blocks meet in one task, so nothing of either side passes the driver. A product has at most
+    ``TILE`` queries. What moves on are ``k`` rows for each query and batch or block. With ``whole``, fewer than ``k`` candidates are an error.
     """
-    spark = queries.sparkSession
     q = queries.select(F.col(queries.columns[0]).alias("q"), F.col(queries.columns[1]).cast("array<double>").alias("v")).where("v IS NOT NULL")
     c = candidates.select(F.col(candidates.columns[0]).alias("c"), F.col(candidates.columns[1]).cast("array<double>").alias("v")).where("v IS NOT NULL")
-    n = q.count()
     if whole and c.limit(k).count() < k:
         raise ValueError(f"fewer than {k} candidates")
-    parts = []
-    for block in range(max(1, -(-n // QUERY_BLOCK))):
-        own = q if n <= QUERY_BLOCK else q.where(F.pmod(F.xxhash64("q"), F.lit(-(-n // QUERY_BLOCK))) == block)
-        rows = own.toArrow()
-        ids = rows.column("q").to_pylist()
-        matrix = np.array(rows.column("v").to_pylist(), float).reshape(len(ids), -1)
-        if use_cosine:
-            length = np.linalg.norm(matrix, axis=1, keepdims=True)
-            matrix = np.divide(matrix, length, out=np.full_like(matrix, np.nan), where=length > 0)
-        sent = spark.sparkContext.broadcast((ids, matrix))
-
-        def score(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            own_ids, x = sent.value
-            for batch in batches:
-                if not len(own_ids) or not batch.num_rows:
-                    continue
-                y = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-                if use_cosine:
-                    length = np.linalg.norm(y, axis=1, keepdims=True)
-                    y = np.divide(y, length, out=np.full_like(y, np.nan), where=length > 0)
-                c_ids = np.array(batch.column(0).to_pylist())
-                by_id = np.argsort(c_ids, kind="stable")
-                c_ids, y = c_ids[by_id], y[by_id]
-                for low in range(0, len(own_ids), TILE):
-                    sims = x[low : low + TILE] @ y.T
-                    # rounded for ties: equal to 12 digits is equal; candidates are in the order of their ids
-                    order = np.argsort(-np.round(sims, 12), axis=1, kind="stable")[:, :k]
-                    found = np.take_along_axis(sims, order, 1)
-                    keep = ~np.isnan(found)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(own_ids[low : low + TILE]), order.shape[1])[keep.ravel()]), pa.array(c_ids[order][keep]), pa.array(found[keep])], ["q", "c", "sim"])
-
-        parts.append(c.mapInArrow(score, f"q {q.schema['q'].dataType.simpleString()}, c {c.schema['c'].dataType.simpleString()}, sim double"))
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
+    found = _met_by_broadcast(q, c, k, use_cosine) if q.limit(QUERY_BLOCK + 1).count() <= QUERY_BLOCK else _met_in_tiles(q, c, k, use_cosine)
     best = Window.partitionBy("q").orderBy(F.round("sim", 12).desc(), "c")
     return found.withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= k)
 
 
+def _schema(q: DataFrame, c: DataFrame) -> str:
+    return f"q {q.schema['q'].dataType.simpleString()}, c {c.schema['c'].dataType.simpleString()}, sim double"
+
+
+def _met(q_ids: pa.Array, x: np.ndarray, c_ids: pa.Array, y: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
+    """Candidates in the order of their ids against ``TILE`` queries at a time."""
+    by_id = pc.sort_indices(c_ids).to_numpy()
+    y = y[by_id]
+    for low in range(0, len(q_ids), TILE):
+        row, col, sim = best_of(x[low : low + TILE], y, k)
+        yield pa.RecordBatch.from_arrays([q_ids.take(pa.array(row + low)), c_ids.take(pa.array(by_id[col])), pa.array(sim)], ["q", "c", "sim"])
+
+
+def _met_by_broadcast(q: DataFrame, c: DataFrame, k: int, use_cosine: bool) -> DataFrame:
+    rows = q.toArrow().combine_chunks()
+    ids = pa.array(rows.column("q").to_pylist(), rows.schema.field("q").type)
+    matrix = np.array(rows.column("v").to_pylist(), float).reshape(len(ids), -1)
+    sent = q.sparkSession.sparkContext.broadcast((ids, unit_rows(matrix) if use_cosine else matrix))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_ids, x = sent.value
+        for batch in batches:
+            if len(own_ids) and batch.num_rows:
+                y = _vectors(batch.column(1))
+                yield from _met(own_ids, x, batch.column(0), unit_rows(y) if use_cosine else y, k)
+
+    return c.mapInArrow(score, _schema(q, c))
+
+
+def _met_in_tiles(q: DataFrame, c: DataFrame, k: int, use_cosine: bool) -> DataFrame:
+    blocks = lambda df: max(1, -(-df.count() // QUERY_BLOCK))
+    rows, columns = blocks(q), blocks(c)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    deal = lambda id_, n: F.pmod(F.xxhash64(id_), F.lit(n)).cast("int")
+    left = q.select("q", "v", deal("q", rows).alias("i"), every(columns).alias("j")).groupBy("i", "j")
+    right = c.select("c", "v", deal("c", columns).alias("j"), every(rows).alias("i")).groupBy("i", "j")
+
+    def tile(a: pa.Table, b: pa.Table) -> pa.Table:
+        if not a.num_rows or not b.num_rows:
+            return pa.table({"q": a.column("q").slice(0, 0), "c": b.column("c").slice(0, 0), "sim": pa.array([], pa.float64())})
+        x, y = _vectors(a.column("v").combine_chunks()), _vectors(b.column("v").combine_chunks())
+        if use_cosine:
+            x, y = unit_rows(x), unit_rows(y)
+        return pa.Table.from_batches(_met(a.column("q").combine_chunks(), x, b.column("c").combine_chunks(), y, k))
+
+    return left.cogroup(right).applyInArrow(tile, _schema(q, c))
+
+
 def recall_at(ranked: DataFrame, n_queries: int, ks: tuple[int, ...] = (5, 10, 50, 100)) -> DataFrame:
     """V5: share of queries whose own item is among the first K, from one ranking to the largest K."""
     own = ranked.where("q = c")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import functions as F
 
 from larkspur.functions import text as X
@@ -241,10 +243,23 @@ def _masked(spark, d):
     return both.select("conv_id", F.size("m.ids").cast("long").alias("ids"), kept.cast("long").alias("labels"))
 
 
-@add("unescaped_pages", "SELECT page_id, md5(replace(replace(replace(replace(replace(html, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'), '&nbsp;', chr(160))) AS html FROM pages WHERE NOT regexp_matches(html, '&(#|amp;)') AND NOT regexp_matches(replace(replace(replace(replace(html, '&lt;', ''), '&gt;', ''), '&quot;', ''), '&nbsp;', ''), '&')")
+#: Named references of HTML, longest match first where several fit, and numbered ones.
+_NAMES = ", ".join(f"('{n}', '{c.replace(chr(39), chr(39) * 2)}')" for n, c in html5.items() if chr(0) not in c)
+
+
+def _unescape_sql(source):
+    """Each reference of ``source`` (page_id, html) as its characters: the text is cut at references, which are looked up and put back."""
+    return rf"""(SELECT page_id, coalesce(string_agg(coalesce(CASE WHEN p LIKE '&%' THEN r END, p), '' ORDER BY i), '') AS html
+FROM {source} LEFT JOIN (SELECT page_id, unnest(l) AS p, unnest(range(len(l))) AS i FROM (
+  SELECT page_id, regexp_extract_all(html, '&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{{1,32}};?)|[^&]+|&') AS l FROM {source})) USING (page_id)
+LEFT JOIN (SELECT p, coalesce(any_value(number), arg_max(c || substr(p, 2 + length(n)), length(n))) AS r FROM (
+  SELECT p, CASE WHEN p ~ '^&#[0-9]+;?$' THEN chr(regexp_extract(p, '[0-9]+')::INT) WHEN p ~ '^&#[xX]' THEN chr(('0x' || regexp_extract(p, '[0-9a-fA-F]+'))::INT) END AS number
+  FROM (SELECT DISTINCT unnest(regexp_extract_all(html, '&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{{1,32}};?)')) AS p FROM {source})) LEFT JOIN names ON starts_with(substr(p, 2), n) GROUP BY p) USING (p) GROUP BY page_id)"""
+
+
+@add("unescaped_pages", f"WITH names(n, c) AS (VALUES {_NAMES}), once AS MATERIALIZED {_unescape_sql('pages')}, twice AS {_unescape_sql('once')} SELECT page_id, md5(html) AS html FROM twice")
 def _unescaped(spark, d):
-    plain = "regexp_replace(html, '&(lt|gt|quot|nbsp);', '') NOT LIKE '%&%'"  # pages with other entities are tested by hand
-    return table(spark, d, "pages").where(plain).select("page_id", F.md5(X.unescaped(F.col("html")).cast("binary")).alias("html"))
+    return table(spark, d, "pages").select("page_id", F.md5(X.unescaped(F.col("html")).cast("binary")).alias("html"))
 
 
 @add("article_texts", "SELECT page_id, source AS title, lang || chr(10) || source AS full_text FROM (SELECT doc_id AS page_id, source, lang FROM documents)")

@@ -83,6 +83,21 @@ def test_top_k_of_too_few_and_large_blocks(spark, monkeypatch):
     assert {tuple(r) for r in retrieval.top_k(df, df, 3).collect()} == want
 
 
+@pytest.mark.parametrize("use_cosine", [False, True])
+def test_top_k_in_tiles_equals_numpy(spark, monkeypatch, use_cosine):
+    """Both sides dealt to blocks; many ties, a zero vector and a null one."""
+    g = np.random.default_rng(6)
+    v = g.integers(-2, 3, size=(70, 3)).astype(float)
+    v[9] = 0
+    df = spark.createDataFrame([*((i, x.tolist()) for i, x in enumerate(v)), (99, None)], "id long, v array<double>")
+    unit = np.divide(v, np.linalg.norm(v, axis=1, keepdims=True), out=np.full_like(v, np.nan), where=np.linalg.norm(v, axis=1, keepdims=True) > 0) if use_cosine else v
+    sims = np.round(unit @ unit.T, 12)
+    want = {(i, int(c), r + 1) for i in range(70) for r, c in enumerate([c for c in np.lexsort((np.arange(70), -sims[i])) if sims[i, c] == sims[i, c]][:4])}
+    for block in (1_000, 16):
+        monkeypatch.setattr(retrieval, "QUERY_BLOCK", block)
+        assert {(r.q, r.c, r["rank"]) for r in retrieval.top_k(df, df, 4, use_cosine).collect()} == want
+
+
 def test_top_k_accuracy(spark):
     df = spark.createDataFrame([("1", "a", 0, 0.9), ("1", "b", 1, 0.5), ("1", "c", 0, 0.1), ("2", "a", 0, 0.9), ("2", "b", 0, 0.5), ("2", "c", 1, 0.1)], "key string, label string, y int, score double")
     assert [ranked.top_k_accuracy(df, k).first()[0] for k in (1, 2, 3)] == [0.0, 0.5, 1.0]
