@@ -7,11 +7,18 @@ written to the shared folder, so lineage stays short and lost executors cost one
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.llm.spark_util import drop_table, stage_table
 
+#: Links that a task contracts together.
+TOGETHER = 1 << 20
+
 
 def connected_components(links: DataFrame) -> DataFrame:
     """(node, component) of every node of ``links`` (a, b); the component is its least node. Rounds go on until nothing changes."""
@@ -34,3 +41,63 @@ def connected_components(links: DataFrame) -> DataFrame:
         before = now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+
+
+def least_labels(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, least node of its component) of the links a-b, for nodes that aren't the least themselves."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = ends[: len(a)], ends[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[a], label[b])
+        after = label.copy()
+        np.minimum.at(after, label[a], least)
+        np.minimum.at(after, label[b], least)
+        while (after != (further := after[after])).any():
+            after = further
+        if (after == label).all():
+            own = label != np.arange(len(nodes))
+            return nodes[own], nodes[label[own]]
+        label = after
+
+
+def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (u, v) to (node, least node of its component in this task)."""
+
+    def answer(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        u, v = (np.concatenate([x.column(i).to_numpy() for x in held]) for i in range(2))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in least_labels(u, v)], ["u", "v"])
+
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= TOGETHER:
+            yield answer(held)
+            held, rows = [], 0
+    if rows:
+        yield answer(held)
+
+
+def contracted_components(links: DataFrame) -> DataFrame:
+    """As ``connected_components``, for links that are already dealt so that most of a component's lie in few tasks.
+
+    A round contracts the links of each task to stars around its least nodes; so a node has one parent for each task at most.
+    Its parents are then hung on the least of them, and every node on its parent's parent. A round in which nothing moves is the last.
+    """
+    edges = stage_table(links.select(F.col("a").cast("long").alias("u"), F.col("b").cast("long").alias("v")).where("u <> v").mapInArrow(contract, "u long, v long"), "edges")
+    while True:
+        parents = edges.select("u", "v", F.min("v").over(Window.partitionBy("u")).alias("m"))
+        hung = parents.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"), F.lit(True).alias("moved"))
+        own = parents.where("v = m").select("u", "m").distinct()
+        above = own.select(F.col("u").alias("_u"), F.col("m").alias("_m"))
+        jumped = own.join(above, F.col("m") == F.col("_u"), "left").select("u", F.coalesce("_m", "m").alias("v"), F.col("_m").isNotNull().alias("moved"))
+        nxt = stage_table(jumped.unionByName(hung), "edges")
+        drop_table(edges)
+        edges = nxt
+        if not edges.agg(F.max("moved").alias("moved")).first()["moved"]:
+            break
+        before, edges = edges, stage_table(edges.select("u", "v").mapInArrow(contract, "u long, v long"), "edges")
+        drop_table(before)
+    leaves = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return leaves.union(edges.select("v", "v").distinct().toDF("node", "component"))

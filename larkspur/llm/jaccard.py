@@ -370,9 +370,11 @@ def tile_links(tiles: DataFrame, payload: DataFrame, kind: type[Points] | type[S
     return full.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(run, "a long, b long").distinct()
 
 
-def group_links(points: DataFrame, payload: DataFrame, kind: type[Points] | type[Sets], percent: int) -> DataFrame:
-    """(a, b): links that join all points of a group that ``kind`` finds near. ``points``: a staged table (key, rep, n)."""
-    sizes = points.groupBy("key").agg(F.count(F.lit(1)).alias("_m"), F.greatest(F.ceil(F.count(F.lit(1)) / TILE), F.ceil(F.sum("n") / TILE_SHINGLES)).cast("int").alias("_k"))
+def group_links(points: DataFrame, payload: DataFrame, kind: type, percent: int, tile: int | None = None, shingles: int | None = None) -> DataFrame:
+    """(a, b): links that join all points of a group that ``kind`` finds near. ``points``: a staged table (key, rep, n).
+    A strip has at most ``tile`` points and ``shingles`` members of their sets, about."""
+    tile, shingles = tile or TILE, shingles or TILE_SHINGLES
+    sizes = points.groupBy("key").agg(F.count(F.lit(1)).alias("_m"), F.greatest(F.ceil(F.count(F.lit(1)) / tile), F.ceil(F.sum("n") / shingles)).cast("int").alias("_k"))
     strips = stage_table(sizes.where("_k > 1"), "strips")
     own = F.col("rep").alias("component")
     if strips.isEmpty():

@@ -13,7 +13,7 @@ At ``percent`` = 80 a band agrees with probability 0.8**4, so a pair at the very
 buckets once in 1.4 * 10^9; a more similar pair less often. No bucket has a cap: equal sets are one
 class, a bucket joins the ends of its pairs (at most m - 1 links of m members) instead of listing
 them, buckets of the same members are compared once, and a bucket of more than ``TILE`` members is cut into
-strips, as the trees of ``jaccard`` are. Components are those of exact links.
+strips, as the trees of ``jaccard`` are; so is a cluster of more than ``SET_TILE``. Components are those of exact links.
 
 * null or empty text, or one without words: empty set, linked with nothing;
 * fewer words than ``n``: one shingle, the whole sequence;
@@ -32,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.graphs import connected_components
-from larkspur.llm.jaccard import TILE, Sets, group_links, sets_of, shared_routes, shingle_sets
+from larkspur.llm.graphs import contracted_components
+from larkspur.llm.jaccard import Sets, group_links, sets_of, shared_routes, shingle_sets
 from larkspur.llm.spark_util import arrow_rows, drop_table, give_back_memory, give_back_shuffles, stage_table
 from larkspur.llm.text_arrays import _CODES, U, as_long, mix, sequence_hashes
 
@@ -42,6 +42,8 @@ BANDS, ROWS, BITS = 40, 4, 4
 HASHES = BANDS * ROWS
 #: How often a pair exactly at the limit may be estimated too low.
 MISSED = 1e-9
+#: Signatures of a strip (0.7 MB), whatever the size of their sets, and sets of one.
+TILE, SET_TILE = 8_192, 4_096
 #: Shingles whose minima are taken together.
 TOGETHER = 1 << 16
 
@@ -165,8 +167,8 @@ def near_duplicates(docs: DataFrame, n: int = 2, percent: int = 80) -> DataFrame
     drop_table(signed)
     buckets = stage_table(bucket_members(points.select("rep", "n", "bands"), percent), "buckets")
     give_back_shuffles(spark)
-    near = group_links(buckets, points.select("rep", "own"), Signatures, percent)
-    clusters = connected_components(near).toDF("rep", "key")
+    near = group_links(buckets, points.select("rep", "own"), Signatures, percent, TILE, 1 << 62)
+    clusters = contracted_components(near).toDF("rep", "key")
     clusters = stage_table(clusters.join(points.select("rep", "n"), "rep").select("key", "rep", "n"), "clusters")
     for table in (points, buckets, near):
         drop_table(table)
@@ -174,9 +176,9 @@ def near_duplicates(docs: DataFrame, n: int = 2, percent: int = 80) -> DataFrame
     own_id = members.join(several, "doc_id").join(classes, ["d1", "d2", "n_shingles"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     with arrow_rows(spark, 500):
         sets = stage_table(sets_of(clusters.select("rep"), docs, n), "cluster-sets")
-        links = group_links(clusters, sets, Sets, percent)
+        links = group_links(clusters, sets, Sets, percent, SET_TILE)
     drop_table(sets)
-    final = stage_table(connected_components(links.union(own_id)).toDF("_rep", "_component"), "components")
+    final = stage_table(contracted_components(links.union(own_id)).toDF("_rep", "_component"), "components")
     named = classes.join(final, classes["rep"] == final["_rep"], "left").select("d1", "d2", "n_shingles", F.coalesce("_component", "rep").alias("component_id"))
     found = members.join(named, ["d1", "d2", "n_shingles"], "left")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.when(F.col("doc_id").isNotNull(), F.col("component_id")))

@@ -42,8 +42,8 @@ def test_equals_brute_force(docs, rows):
 
 def test_limits_chains_and_large_buckets(spark, monkeypatch):
     """Pairs exactly at 80 % and just below it, a chain, a group of near copies in buckets cut into strips, many short texts."""
-    for module in (jaccard, minhash):
-        monkeypatch.setattr(module, "TILE", 4)
+    monkeypatch.setattr(minhash, "TILE", 4)
+    monkeypatch.setattr(minhash, "SET_TILE", 3)
     monkeypatch.setattr(jaccard, "SAME", 3)
     rows = []
     for k in range(40):  # 36 shared shingles of 45, or of 46
@@ -99,3 +99,19 @@ def test_estimates(similarity):
         assert kept.all() and met.all()
     else:
         assert not kept.any() and abs(met.mean() - (1 - (1 - true**minhash.ROWS) ** minhash.BANDS)) < 0.05
+
+
+@pytest.mark.parametrize("together", [1 << 20, 50])
+def test_contracted_components(spark, monkeypatch, together):
+    """Chains, stars around large and small ids, random links and repeated ones, over several tasks."""
+    from larkspur.llm import graphs
+
+    monkeypatch.setattr(graphs, "TOGETHER", together)
+    g = np.random.default_rng(1)
+    links = [(i, i + 1) for i in range(100)] + [(500, i) for i in range(200, 260)] + [(150, i) for i in range(600, 640)] + [tuple(map(int, x)) for x in g.integers(700, 1_000, size=(200, 2))] + [(3, 4), (7, 7)]
+    g.shuffle(links)
+    df = spark.createDataFrame([(int(a), int(b)) for a, b in links], "a long, b long").repartition(7)
+    want = {r.node: r.component for r in jaccard.connected_components(df).collect()}
+    got = graphs.contracted_components(df).collect()
+    assert len(got) == len(want) and {r.node: r.component for r in got} == want
+    assert graphs.contracted_components(df.limit(0)).count() == 0
