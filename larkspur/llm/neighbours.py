@@ -8,7 +8,9 @@ better than a node's worst neighbour go back to be merged. Queries are answered
 graph search in rounds, until every candidate is expanded: the best unexpanded candidates of
 each query travel to their adjacency rows, which answer with the neighbours that beat the
 query's worst candidate. The best candidates are scored again in double
-precision on the original vectors.
+precision on the original vectors. Graph and search work on floats, so all vectors are first divided by
+one power of two, that of the largest component, and each query by its own: no magnitude is out of range,
+and the order of products stays.
 
 * vectors that are null, zero, hold null or non-finite components, or whose length is not
   the commonest one take no part; nor do rows without id; rows that repeat a vector under its id
@@ -59,6 +61,16 @@ def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.rint(x / scale[:, None]).astype(np.int8), scale.astype(np.float32)
 
 
+def exponent(largest: float) -> int:
+    """The power of two below which a magnitude lies."""
+    return int(np.frexp(largest)[1])
+
+
+def shrunk(x: np.ndarray, power: int | np.ndarray) -> np.ndarray:
+    """Doubles divided by a power of two, which keeps the order of products and brings any magnitude into the range of floats."""
+    return np.ldexp(x, -np.asarray(power))
+
+
 def restore(codes: np.ndarray, scale: np.ndarray) -> np.ndarray:
     return codes.astype(np.float32) * scale[:, None]
 
@@ -79,6 +91,13 @@ def usable_vectors(table: DataFrame, id_column: str, vector_column: str) -> tupl
     return fine.where(F.size("x") == dim).mapInArrow(pack, "id long, v binary"), dim
 
 
+def _largest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The largest magnitude of each batch's (id, v)."""
+    for batch in batches:
+        if batch.num_rows:
+            yield pa.RecordBatch.from_arrays([pa.array([float(np.abs(_matrix(batch.column(1), "<f8")).max())])], ["m"])
+
+
 class ProjectionTree:
     """Median splits along random directions, fitted on a sample; deeper levels split at zero."""
 
@@ -142,19 +161,20 @@ def _graph_batch(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBat
     )
 
 
-def leaf_graph(nodes: DataFrame, dim: int, trees: int, count: int, seed: int) -> DataFrame:
-    """(u, ids, sims): the best of each node's leaf, for every tree."""
+def leaf_graph(nodes: DataFrame, dim: int, trees: int, count: int, seed: int, power: int = 0) -> DataFrame:
+    """(u, ids, sims): the best of each node's leaf, for every tree. Vectors are divided by ``2**power``."""
     depth = max(0, int(np.ceil(np.log2(max(count, 1) / LEAF))))
     got = nodes.select("id", "v").orderBy(F.xxhash64(F.lit(seed), "id")).limit(SAMPLE).collect()  # bounded by SAMPLE
-    sample = np.array([np.frombuffer(r["v"], "<f8") for r in got], np.float32).reshape(len(got), dim)
+    sample = shrunk(np.array([np.frombuffer(r["v"], "<f8") for r in got]).reshape(len(got), dim), power).astype(np.float32)
     forest = [ProjectionTree(sample, depth, seed + t) for t in range(trees)]
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column(1), "<f8").astype(np.float32)
+            x = shrunk(_matrix(batch.column(1), "<f8"), power)
             if not len(x):
                 continue
             codes, scale = quantise(x)
+            x = x.astype(np.float32)
             packed = pa.array(_pack(codes, "i1"), pa.binary())
             for t, tree in enumerate(forest):
                 leaf = tree.route(x) * trees + t
@@ -427,14 +447,15 @@ def nearest(table: DataFrame, query_ids: DataFrame, k: int = 20, id_column: str
         classes = stage_table(small.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.sort_array(F.collect_list("id")).alias("members")), "vector-classes")
         nodes = stage_table(vectors.join(classes.select(F.col("rep").alias("id"), "h1", "h2"), ["id", "h1", "h2"]).select("id", "v"), "nodes")
         count = nodes.count()
+        power = exponent(nodes.mapInArrow(_largest, "m double").agg(F.max("m").alias("m")).first()["m"] or 1.0)
 
         def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                codes, scale = quantise(_matrix(batch.column(1), "<f8").astype(np.float32)) if len(batch.column(0)) else (np.zeros((0, 1), np.int8), np.zeros(0, np.float32))
+                codes, scale = quantise(shrunk(_matrix(batch.column(1), "<f8"), power)) if len(batch.column(0)) else (np.zeros((0, 1), np.int8), np.zeros(0, np.float32))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_pack(codes, "i1"), pa.binary()), pa.array(scale, pa.float32())], ["x", "code", "scale"])
 
         codes = stage_table(nodes.mapInArrow(encode, "x long, code binary, scale float"), "codes")
-        graph = stage_table(merged(leaf_graph(nodes, dim, trees, count, seed), NEIGHBOURS), "graph")
+        graph = stage_table(merged(leaf_graph(nodes, dim, trees, count, seed, power), NEIGHBOURS), "graph")
         graph = descend(graph, codes, seed, NEIGHBOURS, count)
         # a query's class is where its search starts
         wanted = vectors.join(query_ids.toDF("id").distinct(), "id").join(classes.select("h1", "h2", "rep"), ["h1", "h2"]).select("id", "rep")
@@ -443,7 +464,8 @@ def nearest(table: DataFrame, query_ids: DataFrame, k: int = 20, id_column: str
         def floats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 x = _matrix(batch.column(1), "<f8")
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_pack(x, "<f4"), pa.binary())], ["q", "v"])
+                own = np.frexp(np.abs(x).max(axis=1, initial=0))[1]  # a query's length changes nothing in its order
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_pack(shrunk(x, own[:, None]), "<f4"), pa.binary())], ["q", "v"])
 
         starts = nodes.join(wanted.select(F.col("rep").alias("id")).distinct(), "id").select("id", "v").mapInArrow(floats, "q long, v binary")
         with adjacency_table(graph, codes, seed, buckets) as adjacency:

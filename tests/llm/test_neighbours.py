@@ -44,6 +44,31 @@ def test_equal_and_unusable_vectors(spark):
     assert by[100] == [i for i, _ in exact(x, ids, 60, 20)]
 
 
+@pytest.mark.parametrize(("kind", "factor"), [("float", 1e20), ("double", 1e100), ("double", 1e-100), ("double", None)])
+def test_any_finite_magnitude(spark, kind, factor):
+    """Components whose products no float holds; without a factor, lengths from 1 to 10**12 and queries far below."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 8)) * (factor or 10.0 ** rng.integers(0, 13, size=(400, 1)))
+    if factor is None:
+        x[::20] *= 1e-120
+    x = x.astype(np.float32).astype(float) if kind == "float" else x
+    ids = np.arange(400)
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], f"vec_id long, embedding array<{kind}>")
+    rows = neighbours.nearest(df, df.where("vec_id % 20 = 0").select("vec_id"), 20).collect()
+    assert len(rows) == 400
+    hit = 0
+    for q in range(0, 400, 20):
+        own = {r["vec_id"] for r in rows if r["query_id"] == q}
+        hit += len(own & {i for i, _ in exact(x, ids, q, 20)})
+    assert hit >= 0.97 * 400
+
+
+def test_large_and_small_answers(spark):
+    df = spark.createDataFrame([(i, [1e30 * (i + 1), 1.0]) for i in range(30)], "vec_id long, embedding array<double>")
+    rows = neighbours.nearest(df, df.where("vec_id = 0").select("vec_id"), 3).orderBy("rank").collect()
+    assert [r["vec_id"] for r in rows] == [29, 28, 27]
+
+
 def test_few_or_no_vectors(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (20, [2.0, 1.0]), (3, [0.0, 1.0])], "vec_id long, embedding array<float>")
     assert neighbours.nearest(df, df.select("vec_id").where("vec_id % 20 = 0"), 20).count() == 4
