@@ -85,19 +85,18 @@ def contracted_components(links: DataFrame) -> DataFrame:
     A round contracts the links of each task to stars around its least nodes; so a node has one parent for each task at most.
     Its parents are then hung on the least of them, and every node on its parent's parent. A round in which nothing moves is the last.
     """
-    edges = stage_table(links.select(F.col("a").cast("long").alias("u"), F.col("b").cast("long").alias("v")).where("u <> v").mapInArrow(contract, "u long, v long"), "edges")
+    edges = stage_table(links.select(F.col("a").cast("long").alias("u"), F.col("b").cast("long").alias("v")).where("u <> v"), "edges")
+    by = Window.partitionBy("u").orderBy("v")
     while True:
-        parents = edges.select("u", "v", F.min("v").over(Window.partitionBy("u")).alias("m"))
-        hung = parents.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"), F.lit(True).alias("moved"))
-        own = parents.where("v = m").select("u", "m").distinct()
-        above = own.select(F.col("u").alias("_u"), F.col("m").alias("_m"))
-        jumped = own.join(above, F.col("m") == F.col("_u"), "left").select("u", F.coalesce("_m", "m").alias("v"), F.col("_m").isNotNull().alias("moved"))
-        nxt = stage_table(jumped.unionByName(hung), "edges")
+        stars = edges.select("u", "v").mapInArrow(contract, "u long, v long")
+        parents = stars.select("u", "v", F.first("v").over(by).alias("m"), F.row_number().over(by).alias("r"))
+        above = parents.where("r = 1").select(F.col("u").alias("_u"), F.col("m").alias("_m"))
+        hung = parents.where("r = 1 OR v <> m").select(F.when(F.col("r") == 1, F.col("u")).otherwise(F.col("v")).alias("u"), "m", (F.col("r") > 1).alias("more"))
+        jumped = hung.join(above, F.col("m") == F.col("_u"), "left")
+        after = stage_table(jumped.select("u", F.coalesce("_m", "m").alias("v"), (F.col("more") | F.col("_m").isNotNull()).alias("moved")), "edges")
         drop_table(edges)
-        edges = nxt
+        edges = after
         if not edges.agg(F.max("moved").alias("moved")).first()["moved"]:
             break
-        before, edges = edges, stage_table(edges.select("u", "v").mapInArrow(contract, "u long, v long"), "edges")
-        drop_table(before)
     leaves = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return leaves.union(edges.select("v", "v").distinct().toDF("node", "component"))

@@ -158,11 +158,10 @@ def near_duplicates(docs: DataFrame, n: int = 2, percent: int = 80) -> DataFrame
     with arrow_rows(spark, 2000):
         signed = stage_table(signatures(docs, n), "minhash")
     some = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = stage_table(some.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
-    firsts = classes.select("rep", F.col("d1").alias("_d1"), F.col("d2").alias("_d2"))
-    points = some.join(firsts, (F.col("doc_id") == F.col("rep")) & (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2")))
-    # a row for each id: of an id's several sets the first class goes on; the ids join the others below
-    points = stage_table(points.dropDuplicates(["rep", "_d1", "_d2"]).select("rep", F.col("n_shingles").alias("n"), "bands", "own"), "class-points")
+    # one row for each set, with the signature of the document that stands for it; an id's several sets have a row each
+    first = F.min_by(F.struct("bands", "own"), "doc_id").alias("p")
+    points = stage_table(some.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), first).select("d1", "d2", "n_shingles", "rep", F.col("n_shingles").alias("n"), "p.bands", "p.own"), "class-points")
+    classes = points.select("d1", "d2", "n_shingles", "rep")
     members = stage_table(signed.select("doc_id", "n_shingles", "d1", "d2"), "set-digests")
     drop_table(signed)
     buckets = stage_table(bucket_members(points.select("rep", "n", "bands"), percent), "buckets")
@@ -170,7 +169,7 @@ def near_duplicates(docs: DataFrame, n: int = 2, percent: int = 80) -> DataFrame
     near = group_links(buckets, points.select("rep", "own"), Signatures, percent, TILE, 1 << 62)
     clusters = contracted_components(near).toDF("rep", "key")
     clusters = stage_table(clusters.join(points.select("rep", "n"), "rep").select("key", "rep", "n"), "clusters")
-    for table in (points, buckets, near):
+    for table in (buckets, near):
         drop_table(table)
     several = members.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("d1").alias("_lo"), F.max("d1").alias("_hi")).where("_lo < _hi").select("doc_id")
     own_id = members.join(several, "doc_id").join(classes, ["d1", "d2", "n_shingles"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
