@@ -241,6 +241,7 @@ def window_statistics(once: DataFrame, minutes: int = 60, chunk: int = CHUNK) ->
     cells = once.groupBy("kind", "at", "cents").agg(F.count(F.lit(1)).alias("m"))
     cells = cells.withColumn("time", F.pmod(F.col("at"), F.lit(window))).withColumn("span", F.expr(f"(at - time) div {window}"))
     levels = stage_table(halvings(cells, window, chunk), "rolling-levels")
+    give_back_shuffles(once.sparkSession)
     halved = not levels.isEmpty()
     if halved:
         own = levels.toDF("_k0", "_s0", "level")
