@@ -269,7 +269,8 @@ def rolling_medians(clicks: DataFrame, minutes: int = 60, chunk: int = CHUNK) ->
     in the ``minutes`` up to its time, itself and all at its time included."""
     once = stage_table(clicks_once(clicks), "clicks-once")
     give_back_shuffles(clicks.sparkSession)
-    found = window_statistics(once, minutes, chunk).toDF("_kind", "_at", "n", "median2", "mad4")
+    found = stage_table(window_statistics(once, minutes, chunk).toDF("_kind", "_at", "n", "median2", "mad4"), "window-statistics")
+    give_back_shuffles(clicks.sparkSession)
     rows = once.join(found, once["kind"].eqNullSafe(found["_kind"]) & (once["at"] == found["_at"]))
     several = lambda x: F.when(F.col("n") >= 2, x)
     far = 2 * F.abs(2 * F.col("cents") - F.col("median2")) > 3 * F.col("mad4")
