@@ -101,8 +101,10 @@ def truth(text: Column) -> Column:
     return F.lower(text) == "true"
 
 
-def prompt_pair(label: Column) -> tuple[Column, Column]:
-    """The two sentences that a zero-shot score compares."""
+def prompt_pair(label: Column, training: bool = False) -> tuple[Column, Column]:
+    """The two sentences that a zero-shot score compares; those of the evaluation, or those used while training."""
+    if training:
+        return F.concat(F.lit("There is "), label, F.lit(".")), F.concat(F.lit("There is no "), label, F.lit("."))
     return F.concat(label, F.lit(" is present.")), F.concat(label, F.lit(" is not present."))
 
 

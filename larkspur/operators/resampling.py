@@ -88,9 +88,14 @@ def worker_chunks(df: DataFrame, order: str, workers: int) -> DataFrame:
     return global_rank(df, F.col(order), "_r").withColumn("worker", worker.cast("long")).drop("_r")
 
 
-def size_batches(df: DataFrame, group: str, order: str, batch: int) -> DataFrame:
-    """Batches of rows of equal ``group``; the last batch of a group repeats its first rows up to ``batch``."""
-    ranked = global_rank(df, F.col(order), "_r", by=(group,))
+def size_batches(df: DataFrame, group: str, order: str, batch: int, seed: int | None = None) -> DataFrame:
+    """Batches of rows of equal ``group``; the last batch of a group repeats its first rows up to ``batch``. With a ``seed``, rows
+    are shuffled first, by the md5 of the seed and ``order``."""
+    if seed is None:
+        ranked = global_rank(df, F.col(order), "_r", by=(group,))
+    else:
+        mixed = F.md5(F.concat(F.lit(f"{seed}_"), F.col(order).cast("string")).cast("binary"))
+        ranked = global_rank(df, mixed, "_r", (F.col(order),), by=(group,))
     rows = ranked.withColumn("batch", F.floor(F.col("_r") / batch).cast("long")).withColumn("slot", (F.col("_r") % batch).cast("long")).drop("_r")
     size = F.count(F.lit(1)).over(Window.partitionBy(group, "batch"))
     copies = F.floor((F.lit(batch) - 1 - F.col("slot")) / F.col("_n")).cast("int")

@@ -100,7 +100,7 @@ def _met(q_ids: pa.Array, x: np.ndarray, c_ids: pa.Array, y: np.ndarray, k: int)
 def _met_by_broadcast(q: DataFrame, c: DataFrame, k: int, use_cosine: bool) -> DataFrame:
     rows = q.toArrow().combine_chunks()
     ids = pa.array(rows.column("q").to_pylist(), rows.schema.field("q").type)
-    matrix = np.array(rows.column("v").to_pylist(), float).reshape(len(ids), -1)
+    matrix = np.array(rows.column("v").to_pylist(), float).reshape(len(ids), -1 if len(ids) else 0)
     sent = q.sparkSession.sparkContext.broadcast((ids, unit_rows(matrix) if use_cosine else matrix))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -244,6 +244,14 @@ def _batches(spark, d):
     return B.size_batches(docs, "label", "doc_id", 8)
 
 
+@add("shuffled_size_batches", """WITH r AS (SELECT doc_id, label, row_number() OVER (PARTITION BY label ORDER BY md5('5_' || doc_id), doc_id) - 1 AS rn FROM (SELECT doc_id, n_chars % 5 AS label FROM documents)),
+b AS (SELECT doc_id, label, rn // 8 AS batch, rn % 8 AS slot, count(*) OVER (PARTITION BY label, rn // 8) AS n FROM r)
+SELECT doc_id, label, batch, slot + c * n AS slot FROM b, range(8) x(c) WHERE slot + c * n < 8""")
+def _shuffled_batches(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", (F.col("n_chars") % 5).alias("label"))
+    return B.size_batches(docs, "label", "doc_id", 8, seed=5)
+
+
 @add("length_grouped_sampler", """WITH RECURSIVE d AS (SELECT doc_id, CASE WHEN source LIKE '%1' THEN -n_chars ELSE n_chars END AS length FROM documents),
 r AS (SELECT doc_id, abs(length) AS l, CASE WHEN length > 0 THEN 1 ELSE -1 END AS modality, row_number() OVER (PARTITION BY length > 0 ORDER BY md5(doc_id::VARCHAR), doc_id) - 1 AS r FROM d),
 m AS (SELECT doc_id, l, modality, r // 64 AS megabatch, row_number() OVER w AS i, ceil(count(*) OVER (PARTITION BY modality, r // 64) / 4) AS per FROM r WINDOW w AS (PARTITION BY modality, r // 64 ORDER BY l DESC, doc_id)),

@@ -41,7 +41,7 @@ doc_text("clean_reference", lambda: F.md5(X.clean_reference(NOISY()).cast("binar
 doc_text("clean_prediction", lambda: F.md5(X.clean_prediction(NOISY()).cast("binary")), f"md5(replace(replace(replace(replace(replace(replace({NOISY_SQL}, chr(10), ''), '<|eot_id|>', ''), '\"', ''), '_', ''), ' . ', '.'), ' .', '.'))")
 doc_text("clean_answer", lambda: F.md5(X.clean_answer(F.concat(F.lit("<s>"), T(), F.lit("</s><|eot_id|>"))).cast("binary")), "md5(replace(replace(replace(replace('<s>' || text || '</s><|eot_id|>', '<s>', ''), '</s>', ''), '<|eot_id|>', ''), chr(10), ''))")
 doc_text("clean_prompt", lambda: F.md5(X.clean_prompt(F.concat(F.lit("('"), T(), F.lit('")'))).cast("binary")), "md5(replace(replace(replace(replace('(''' || text || '\")', '\"', ''), '''', ''), '(', ''), ')', ''))")
-doc_text("findings_and_impression", lambda: F.length(X.findings_and_impression(F.when(F.col("lang") == "de", "Not given.").otherwise(T()), F.when(F.col("lang") == "fr", F.lit(None)).otherwise(F.col("source")))).cast("long"), "(CASE WHEN lang = 'de' THEN 0 ELSE length(text) END + CASE WHEN lang = 'fr' THEN 0 ELSE length(source) END)::BIGINT")
+doc_text("findings_and_impression", lambda: F.md5(X.findings_and_impression(F.when(F.col("lang") == "de", "Not given.").otherwise(T()), F.when(F.col("lang") == "fr", F.lit(None)).otherwise(F.col("source"))).cast("binary")), "md5(CASE WHEN lang = 'de' THEN '' ELSE text END || CASE WHEN lang = 'fr' THEN '' ELSE source END)")
 doc_text("report_template", lambda: F.md5(X.report_template(T(), F.col("source")).cast("binary")), "md5('Findings: ' || text || ' Impression: ' || source)")
 doc_text("or_blank", lambda: X.or_blank(F.when(F.col("lang") == "en", F.col("source"))), "CASE WHEN lang = 'en' THEN source ELSE ' ' END")
 doc_text("word_count", lambda: X.word_count(T()), "len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> ''))")
@@ -63,6 +63,8 @@ doc_text("slice_count_filter_strict", lambda: W.within(F.col("n_chars"), 100, 60
 doc_text("conditional_reversal", lambda: W.reversed_if(F.col("lang") == "de", F.col("source")), "CASE WHEN lang = 'de' THEN reverse(source) ELSE source END")
 doc_text("zero_shot_prompts", lambda: F.concat_ws("|", *X.prompt_pair(F.col("source"))), "source || ' is present.|' || source || ' is not present.'")
 
+doc_text("training_prompts", lambda: F.concat_ws("|", *X.prompt_pair(F.col("source"), training=True)), "'There is ' || source || '.|There is no ' || source || '.'")
+
 
 @add("softmax_pair", "SELECT doc_id, round(exp(a - greatest(a, b)) / (exp(a - greatest(a, b)) + exp(b - greatest(a, b))), 9) AS present FROM (SELECT doc_id, (n_chars % 17) / 5.0::DOUBLE AS a, (n_chars % 13) / 5.0::DOUBLE AS b FROM documents)")
 def _softmax(spark, d):
@@ -226,10 +228,11 @@ def _single_line(spark, d):
     return report_pairs(spark, d).where(~F.col("hyp").contains("\n")).select("key")
 
 
-@add("judge_requests", f"""WITH {PAIRS} SELECT key, md5('Question type: Short answer' || chr(10) || chr(10) || 'Question: ' || ref || chr(10) || chr(10) || 'Ground truth answer: ' || hyp || chr(10) || chr(10) || 'Generated answer: ' || hyp) AS request FROM pairs""")
+@add("judge_requests", f"""WITH {PAIRS} SELECT key, md5('Question type: Short answer' || chr(10) || chr(10) || 'Question: What does ' || key || ' show?' || chr(10) || chr(10) || 'Ground truth answer: ' || ref || chr(10) || chr(10) || 'Generated answer: ' || hyp) AS request FROM pairs""")
 def _judge(spark, d):
     p = report_pairs(spark, d)
-    ask = X.judge_request(F.lit("short_answer"), F.concat(F.lit("<image>\n"), "ref"), F.col("hyp"), F.concat(F.lit("<s>"), "hyp", F.lit("</s>")))
+    question = F.concat(F.lit("<image>\n<short_answer>What does "), "key", F.lit(" show?"))
+    ask = X.judge_request(F.lit("short_answer"), question, F.col("ref"), F.concat(F.lit("<s>"), "hyp", F.lit("</s>")))
     return p.select("key", F.md5(ask.cast("binary")).alias("request"))
 
 

@@ -7,7 +7,8 @@ import os
 from pyspark.sql import functions as F
 
 from larkspur.functions import text as X
-from larkspur.operators import contrastive, history, linear_head, merges
+from larkspur.operators import contrastive, conversations, history, linear_head, merges, retry, subsets, tsne
+from larkspur.operators.resampling import draw
 from larkspur.plans.metric_queries import rounded
 from larkspur.plans.stand_in import table
 
@@ -161,3 +162,54 @@ def _stops(spark, d):
 def _epochs(spark, d):
     rows = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("run"), F.col("l_quantity").cast("long").alias("epoch"), F.col("l_discount").cast("double").alias("loss"), (F.col("l_linenumber") % 3).alias("correct"), F.col("l_linenumber").alias("size"))
     return rounded(history.epoch_losses(rows))
+
+
+_DRAW = "('0x' || substr(md5({}), 1, 8))::BIGINT"
+
+
+@add("tsne_affinities", """WITH RECURSIVE v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings),
+s AS (SELECT a.id AS i, b.id AS j, 2 * list_dot_product(a.v, b.v) - list_dot_product(b.v, b.v) AS sim, list_dot_product(a.v, a.v) AS xx FROM v a, v b),
+r AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY round(sim, 12) DESC, j) AS rank FROM s),
+n AS (SELECT i, j, greatest(xx - sim, 0) AS d2 FROM r WHERE i <> j AND rank <= 91),
+l AS (SELECT i, list(j ORDER BY j) AS j, list(d2 - least ORDER BY j) AS d FROM (SELECT *, min(d2) OVER (PARTITION BY i) AS least FROM n) GROUP BY i),
+b(i, d, lo, hi, k) AS (
+  SELECT i, d, -30::DOUBLE, 30::DOUBLE, 0 FROM l
+  UNION ALL
+  SELECT i, d, CASE WHEN wide THEN m ELSE lo END, CASE WHEN wide THEN hi ELSE m END, k + 1 FROM (
+    SELECT i, d, lo, hi, k, m, ln(list_sum(w)) + exp(m) * list_dot_product(w, d) / list_sum(w) > ln(30) AS wide
+    FROM (SELECT *, list_transform(d, lambda x: exp(-exp(m) * x)) AS w FROM (SELECT *, (lo + hi) / 2 AS m FROM b WHERE k < 60)))),
+c AS (SELECT i, j, w / s AS p FROM (SELECT i, unnest(j) AS j, unnest(w) AS w, list_sum(w) AS s FROM (SELECT b.i, l.j, list_transform(b.d, lambda x: exp(-exp((lo + hi) / 2) * x)) AS w FROM b JOIN l ON l.i = b.i WHERE k = 60)))
+SELECT i, j, round(sum(p) / (2 * (SELECT sum(p) FROM c)) * 1e6, 6) AS ppm FROM (SELECT i, j, p FROM c UNION ALL SELECT j, i, p FROM c) GROUP BY i, j""")
+def _affinities(spark, d):
+    p = tsne.affinities(table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")))
+    return p.select("i", "j", F.round(F.col("p") * 1e6, 6).alias("ppm"))
+
+
+@add("tsne_layout")
+def _layout(spark, d):
+    """A few steps only; tests hold longer runs against an exact computation."""
+    p = tsne.affinities(table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")))
+    return rounded(tsne.layout(p, iterations=6))
+
+
+@add("random_token_subset", f"""WITH t AS (SELECT doc_id, unnest(l) AS word, unnest(range(len(l))) AS pos FROM (SELECT doc_id, list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '') AS l FROM documents)),
+a AS (SELECT *, length(word) > 2 AS ok FROM t),
+r AS (SELECT *, ok AND row_number() OVER (PARTITION BY doc_id, ok ORDER BY {_DRAW.format("concat_ws('_', '9', doc_id, pos)")}, pos) <= ceil(0.15::DOUBLE * count(*) FILTER (ok) OVER (PARTITION BY doc_id)) AS drawn FROM a)
+SELECT doc_id, count(*) AS n, count(*) FILTER (drawn) AS n_drawn, coalesce(sum(pos) FILTER (drawn), 0)::BIGINT AS positions FROM r GROUP BY doc_id""")
+def _subset(spark, d):
+    words = table(spark, d, "documents").select("doc_id", F.posexplode(X.words(F.col("text"))).alias("pos", "word"))
+    out = subsets.random_subset(words, "doc_id", "pos", 0.15, 9, F.length("word") > 2)
+    return out.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.count_if("drawn").alias("n_drawn"), F.coalesce(F.sum(F.when(F.col("drawn"), F.col("pos"))), F.lit(0)).alias("positions"))
+
+
+@add("answers_until_valid", f"""WITH t AS (SELECT doc_id, source, unnest([1, 2, 3]) AS attempt FROM documents), v AS (SELECT *, {_DRAW.format("concat_ws('_', doc_id, attempt)")} % 100 >= 60 AS ok FROM t),
+f AS (SELECT doc_id, any_value(source) AS source, min(attempt) FILTER (ok) AS first FROM v GROUP BY doc_id)
+SELECT doc_id, md5('<q>What is seen?<a>' || CASE WHEN first IS NULL THEN ' ' ELSE source END || '<') AS answer, coalesce(first, 3)::INT AS attempts, first IS NOT NULL AS valid FROM f""")
+def _retried(spark, d):
+    def generate(rows, attempt):
+        said = F.when(draw(F.col("doc_id").cast("string"), F.lit(str(attempt))) % 100 >= 60, F.col("source")).otherwise(" ")
+        return rows.select("doc_id", F.concat(F.lit("<q>What is seen?<a>"), said, F.lit("<")).alias("answer"))
+
+    valid = lambda answer: ~conversations.has_blank_turn(conversations.question_answers(answer))
+    out = retry.until_valid(table(spark, d, "documents").select("doc_id", "source"), "doc_id", generate, valid, 3)
+    return out.withColumn("answer", F.md5(F.col("answer").cast("binary")))

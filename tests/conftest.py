@@ -12,9 +12,9 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[4]").config("spark.driver.memory", "4g").config("spark.sql.shuffle.partitions", "4").config("spark.default.parallelism", "4")
+        SparkSession.builder.master("local[4]").config("spark.driver.memory", "4g").config("spark.sql.shuffle.partitions", "4").config("spark.default.parallelism", "4").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
