@@ -14,4 +14,4 @@ def test_equals_sql(spark, sf_dir, name):
 
 def test_registered():
     found = __spark_entry__.queries()
-    assert all(any(q.startswith(f"op{n}_") for q in found) for n in range(1, 11)) and "pipeline" in found
+    assert all(any(q.startswith(f"op{n}_") for q in found) for n in range(1, 14)) and "pipeline" in found
