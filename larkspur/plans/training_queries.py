@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from larkspur.functions import text as X
-from larkspur.operators import contrastive, conversations, history, linear_head, merges, retry, subsets, tsne
+from larkspur.operators import contrastive, conversations, history, linear_head, merges, retry, sentences, subsets, tsne
 from larkspur.operators.resampling import draw
 from larkspur.plans.metric_queries import rounded
 from larkspur.plans.stand_in import table
@@ -213,3 +213,28 @@ def _retried(spark, d):
     valid = lambda answer: ~conversations.has_blank_turn(conversations.question_answers(answer))
     out = retry.until_valid(table(spark, d, "documents").select("doc_id", "source"), "doc_id", generate, valid, 3)
     return out.withColumn("answer", F.md5(F.col("answer").cast("binary")))
+
+
+def _ll(k, n, p):
+    part = lambda m, q: f"CASE WHEN {m} <= 0 THEN 0 ELSE ({m}) * ln(greatest({q}, 1e-300)) END"
+    return f"({part(k, p)} + {part(f'({n} - {k})', f'1 - {p}')})"
+
+
+_PLACES = r"""w AS (SELECT doc_id, i, regexp_replace(regexp_replace(x, '["''»”’)\]]*$', ''), '^["''«“‘(\[]+', '') AS b FROM (SELECT doc_id, unnest(l) AS x, unnest(range(len(l))) AS i FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '\S+') AS l FROM documents))),
+places AS (SELECT doc_id, i, lower(regexp_replace(b, '[.!?,;:]+$', '')) AS word, CASE WHEN regexp_matches(b, '[!?]$') THEN '!' WHEN b LIKE '%.' THEN '.' ELSE '' END AS ends FROM w),
+c AS (SELECT word, count(*) FILTER (ends = '.') AS stopped, count(*) FILTER (ends <> '.') AS plain FROM places WHERE word <> '' GROUP BY word),
+t AS (SELECT sum(stopped + plain)::DOUBLE AS total, sum(stopped)::DOUBLE AS stops FROM c)"""
+
+
+@add("sentence_statistics", f"""WITH {_PLACES}, l AS (SELECT *, length(word) - length(replace(word, '.', '')) AS inside FROM c, t WHERE regexp_matches(word, '\\p{{L}}'))
+SELECT word, stopped, plain, round(-2 * ({_ll("stopped", "(stopped + plain)", "stops / total")} - {_ll("stopped", "(stopped + plain)", "0.99::DOUBLE")}) * exp(-(length(word) - inside)) * (inside + 1) * pow((length(word) - inside)::DOUBLE, -plain), 6) AS score FROM l""")
+def _statistics(spark, d):
+    places = sentences.word_places(table(spark, d, "documents"), "doc_id", "text")
+    return sentences.word_statistics(places).select("word", "stopped", "plain", F.round("score", 6).alias("score"))
+
+
+@add("learned_sentences")
+def _learned(spark, d):
+    """Tests hold the ends against a plain implementation of the same rules."""
+    out = sentences.sentences(table(spark, d, "documents"), "doc_id", "text")
+    return out.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"), F.md5(F.concat_ws("\n", "sentences").cast("binary")).alias("sentences"))
