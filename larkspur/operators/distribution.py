@@ -79,7 +79,29 @@ def frechet_by_chunk(pairs: DataFrame, name: str, real: str, made: str, size: in
 
 
 def column_moments(df: DataFrame, vector: str) -> DataFrame:
-    """A22 in plain operations, for vectors of few components: (i, j, mean_i, cov)."""
-    rows = df.select(F.monotonically_increasing_id().alias("r"), F.col(vector).cast("array<double>").alias("v"))
-    grid = rows.select(F.posexplode("v").alias("i", "x"), "v").select("i", "x", F.posexplode("v").alias("j", "y"))
-    return grid.groupBy("i", "j").agg(F.avg("x").alias("mean_i"), F.covar_samp("x", "y").alias("cov"))
+    """(i, j, mean_i, cov) of the vectors' components; cov is null for one vector. Tasks add up products of what is left of the means, a row for each
+    pair of components and task; no vector becomes rows of its own. Null vectors take no part."""
+    rows = df.select(F.col(vector).cast("array<double>").alias("v")).where("v IS NOT NULL")
+    sums = rows.mapInArrow(_component_sums, "i int, n long, s double").groupBy("i").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).orderBy("i").collect()  # a row for each component
+    means = np.array([r["s"] / r["n"] for r in sums])
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        d = len(means)
+        total = np.zeros((d, d))
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, d) - means
+                total += x.T @ x
+        i, j = np.divmod(np.arange(d * d, dtype=np.int32), max(d, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(means[i] if d else np.zeros(0)), pa.array(total.ravel())], ["i", "j", "mean_i", "q"])
+
+    count = sums[0]["n"] if sums else 0
+    cells = rows.mapInArrow(products, "i int, j int, mean_i double, q double").groupBy("i", "j").agg(F.first("mean_i").alias("mean_i"), F.sum("q").alias("q"))
+    return cells.select("i", "j", "mean_i", (F.col("q") / F.nullif(F.lit(count - 1), F.lit(0))).alias("cov"))
+
+
+def _component_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            s = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1).sum(axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(s), dtype=np.int32)), pa.array(np.full(len(s), batch.num_rows)), pa.array(s)], ["i", "n", "s"])

@@ -98,6 +98,17 @@ def test_top_k_in_tiles_equals_numpy(spark, monkeypatch, use_cosine):
         assert {(r.q, r.c, r["rank"]) for r in retrieval.top_k(df, df, 4, use_cosine).collect()} == want
 
 
+def test_column_moments_equal_numpy(spark):
+    g = np.random.default_rng(2)
+    x = g.normal(size=(200, 5)) @ g.normal(size=(5, 5)) + 1e6
+    df = spark.createDataFrame([*((v.tolist(),) for v in x), (None,)], "v array<double>").repartition(4)
+    got = {(r.i, r.j): (r.mean_i, r.cov) for r in distribution.column_moments(df, "v").collect()}
+    want = np.cov(x.T)
+    assert len(got) == 25 and all(np.isclose(got[i, j][1], want[i, j], rtol=1e-6, atol=1e-6) and np.isclose(got[i, j][0], x[:, i].mean()) for i, j in got)
+    assert distribution.column_moments(df.limit(0), "v").count() == 0
+    assert {r.cov for r in distribution.column_moments(df.where("v IS NOT NULL").limit(1), "v").collect()} == {None}
+
+
 def test_top_k_accuracy(spark):
     df = spark.createDataFrame([("1", "a", 0, 0.9), ("1", "b", 1, 0.5), ("1", "c", 0, 0.1), ("2", "a", 0, 0.9), ("2", "b", 0, 0.5), ("2", "c", 1, 0.1)], "key string, label string, y int, score double")
     assert [ranked.top_k_accuracy(df, k).first()[0] for k in (1, 2, 3)] == [0.0, 0.5, 1.0]
