@@ -99,7 +99,14 @@ def _cider(spark, d):
     return rounded(M.cider(report_pairs(spark, d)), 8)
 
 
-@add("rouge_l")
+@add("rouge_l", rf"""WITH RECURSIVE {PAIRS}, t AS (SELECT key, list_filter(regexp_split_to_array(ref, '\s+'), lambda w: w <> '') AS a, list_filter(regexp_split_to_array(hyp, '\s+'), lambda w: w <> '') AS b FROM pairs),
+lcs(key, i, v) AS (
+  SELECT key, 0, list_transform(b, lambda x: 0) FROM t
+  UNION ALL
+  SELECT key, i + 1, list_transform(range(1, len(c) + 1), lambda j: list_max(c[1:j])) FROM (
+    SELECT key, i, list_transform(range(1, len(b) + 1), lambda k: greatest(v[k], CASE WHEN a[i + 1] = b[k] THEN CASE WHEN k > 1 THEN v[k - 1] ELSE 0 END + 1 ELSE 0 END)) AS c FROM lcs JOIN t USING (key) WHERE i < len(a))),
+f AS (SELECT key, len(a) AS r, len(b) AS h, coalesce(max(v[len(b)]), 0) AS l FROM t JOIN lcs USING (key) WHERE i = len(a) GROUP BY ALL)
+SELECT key, round(CASE WHEN l = 0 THEN 0 ELSE 2.44::DOUBLE * (l / h) * (l / r) / (l / r + 1.44::DOUBLE * (l / h)) END, 9) AS rouge_l FROM f""")
 def _rouge(spark, d):
     return report_pairs(spark, d).select("key", F.round(M.rouge_l("ref", "hyp"), 9).alias("rouge_l"))
 
