@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from larkspur.functions import text as X
 from larkspur.functions import values as W
 from larkspur.operators import conversations as V
+from larkspur.operators import meteor
 from larkspur.operators import text_metrics as M
 from larkspur.plans.metric_queries import rounded
 from larkspur.plans.stand_in import GRAMS, PAIRS, report_pairs, table, turns
@@ -111,6 +112,12 @@ def _rouge(spark, d):
     return report_pairs(spark, d).select("key", F.round(M.rouge_l("ref", "hyp"), 9).alias("rouge_l"))
 
 
+@add("meteor_exact_stem")
+def _meteor(spark, d):
+    """Tests hold alignments against exhaustive search."""
+    return rounded(meteor.meteor_exact_stem(report_pairs(spark, d)))
+
+
 @add("report_generation_document")
 def _generation(spark, d):
     from larkspur.sources import sinks
