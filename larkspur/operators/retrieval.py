@@ -10,10 +10,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Most queries that are sent to the candidates; rows of a block beyond that, about.
+#: Most queries that are sent to the candidates; queries of a block beyond that, about.
 QUERY_BLOCK = 20_000
-#: Queries that one matrix product takes.
-TILE = 500
+#: Candidates of a block for one query of a block, about: wide blocks, as each leaves ``k`` rows for a query.
+WIDER = 4
+#: Most queries that one matrix product takes, and its most cells: they bound a task's memory, whatever the blocks.
+TILE, CELLS = 500, 1 << 20
+#: Neighbouring candidates that are weighed by their best first.
+GROUP = 16
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -49,15 +53,20 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
 
 def best_of(x: np.ndarray, y: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row of ``x``, row of ``y``, similarity) of the ``k`` best of each row of ``x``; equal to 12 digits is equal, then the earlier
-    row of ``y``. Nothing is sorted but what is not below the k-th best."""
+    row of ``y``. What is below the k-th best of the best of every ``GROUP`` rows of ``y`` is neither rounded nor sorted."""
     sims = x @ y.T
-    value = np.where(np.isnan(sims), -np.inf, np.round(sims, 12))
-    if value.shape[1] > k:
-        last = np.partition(value, value.shape[1] - k, axis=1)[:, -k][:, None]
-        row, col = np.nonzero((value >= last) & (value > -np.inf))
+    wide = sims.shape[1] // GROUP
+    most = sims[:, : wide * GROUP].reshape(len(sims), wide, GROUP).max(axis=2) if wide > k else None
+    if most is not None and np.isfinite(most).all() and not np.isnan(sims[:, wide * GROUP :]).any():
+        # the k-th best of the groups' best is at most the k-th best of all; rounding moves a value by less than the slack
+        last = np.partition(most, wide - k, axis=1)[:, wide - k][:, None]
+        row, col = np.nonzero(sims >= last - 2e-12 - 1e-15 * np.abs(last))
     else:
-        row, col = np.nonzero(value > -np.inf)
-    order = np.lexsort((col, -value[row, col], row))
+        row, col = np.nonzero(~np.isnan(sims))
+    near = np.round(sims[row, col], 12)
+    keep = near > -np.inf
+    row, col, near = row[keep], col[keep], near[keep]
+    order = np.lexsort((col, -near, row))
     row, col = row[order], col[order]
     place = np.arange(len(row)) - np.searchsorted(row, row)
     keep = place < k
@@ -65,7 +74,7 @@ def best_of(x: np.ndarray, y: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarra
 
 
 def _vectors(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float, copy=False).reshape(len(column), -1)
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int, use_cosine: bool = False, whole: bool = False) -> DataFrame:
@@ -73,10 +82,11 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, use_cosine: bool =
 
     Up to ``QUERY_BLOCK`` queries go to the candidates, which then stay where they are. More of them are dealt to blocks, as
     the candidates are, and each two blocks meet in one task, so nothing of either side passes the driver. A product has at most
-    ``TILE`` queries. What moves on are ``k`` rows for each query and batch or block. With ``whole``, fewer than ``k`` candidates are an error.
+    ``TILE`` queries and about ``CELLS`` cells. What moves on are ``k`` rows for each query and batch or block; vectors move in their own
+    type and are doubles in a task. With ``whole``, fewer than ``k`` candidates are an error.
     """
-    q = queries.select(F.col(queries.columns[0]).alias("q"), F.col(queries.columns[1]).cast("array<double>").alias("v")).where("v IS NOT NULL")
-    c = candidates.select(F.col(candidates.columns[0]).alias("c"), F.col(candidates.columns[1]).cast("array<double>").alias("v")).where("v IS NOT NULL")
+    q = queries.select(F.col(queries.columns[0]).alias("q"), F.col(queries.columns[1]).alias("v")).where("v IS NOT NULL")
+    c = candidates.select(F.col(candidates.columns[0]).alias("c"), F.col(candidates.columns[1]).alias("v")).where("v IS NOT NULL")
     if whole and c.limit(k).count() < k:
         raise ValueError(f"fewer than {k} candidates")
     found = _met_by_broadcast(q, c, k, use_cosine) if q.limit(QUERY_BLOCK + 1).count() <= QUERY_BLOCK else _met_in_tiles(q, c, k, use_cosine)
@@ -89,18 +99,19 @@ def _schema(q: DataFrame, c: DataFrame) -> str:
 
 
 def _met(q_ids: pa.Array, x: np.ndarray, c_ids: pa.Array, y: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
-    """Candidates in the order of their ids against ``TILE`` queries at a time."""
+    """Candidates in the order of their ids against so many queries at a time that the product is bounded."""
     by_id = pc.sort_indices(c_ids).to_numpy()
     y = y[by_id]
-    for low in range(0, len(q_ids), TILE):
-        row, col, sim = best_of(x[low : low + TILE], y, k)
+    step = max(1, min(TILE, CELLS // max(len(y), 1)))
+    for low in range(0, len(q_ids), step):
+        row, col, sim = best_of(x[low : low + step], y, k)
         yield pa.RecordBatch.from_arrays([q_ids.take(pa.array(row + low)), c_ids.take(pa.array(by_id[col])), pa.array(sim)], ["q", "c", "sim"])
 
 
 def _met_by_broadcast(q: DataFrame, c: DataFrame, k: int, use_cosine: bool) -> DataFrame:
     rows = q.toArrow().combine_chunks()
     ids = pa.array(rows.column("q").to_pylist(), rows.schema.field("q").type)
-    matrix = np.array(rows.column("v").to_pylist(), float).reshape(len(ids), -1 if len(ids) else 0)
+    matrix = _vectors(rows.column("v").combine_chunks()) if len(ids) else np.zeros((0, 0))
     sent = q.sparkSession.sparkContext.broadcast((ids, unit_rows(matrix) if use_cosine else matrix))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,8 +125,8 @@ def _met_by_broadcast(q: DataFrame, c: DataFrame, k: int, use_cosine: bool) -> D
 
 
 def _met_in_tiles(q: DataFrame, c: DataFrame, k: int, use_cosine: bool) -> DataFrame:
-    blocks = lambda df: max(1, -(-df.count() // QUERY_BLOCK))
-    rows, columns = blocks(q), blocks(c)
+    blocks = lambda df, size: max(1, -(-df.count() // size))
+    rows, columns = blocks(q, QUERY_BLOCK), blocks(c, WIDER * QUERY_BLOCK)
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     deal = lambda id_, n: F.pmod(F.xxhash64(id_), F.lit(n)).cast("int")
     left = q.select("q", "v", deal("q", rows).alias("i"), every(columns).alias("j")).groupBy("i", "j")

@@ -2,8 +2,12 @@
 
 import hashlib
 
+import numpy as np
+import pyarrow as pa
+
 from pyspark.sql import functions as F
 
+from larkspur.operators import contrastive, retrieval
 from larkspur.sources import sinks, submissions
 
 
@@ -18,3 +22,51 @@ def test_wrappers_are_bounded_and_whole(spark):
     assert (got.digest, got.n) == (hashlib.md5("|".join(t for _, t in rows if t is not None).encode()).hexdigest(), 700)
     none = sinks.ordered_digest(back.limit(0), "input_image_name", "report").first()
     assert (none.digest, none.n) == (None, 0)
+
+
+def test_products_of_a_search_are_bounded(monkeypatch):
+    g = np.random.default_rng(8)
+    x, y = g.normal(size=(90, 5)), g.normal(size=(400, 5))
+    seen, plain = [], retrieval.best_of
+    monkeypatch.setattr(retrieval, "best_of", lambda a, b, k: seen.append(len(a) * len(b)) or plain(a, b, k))
+    monkeypatch.setattr(retrieval, "CELLS", 4_000)
+    found = pa.Table.from_batches(retrieval._met(pa.array(range(90)), x, pa.array(range(400)), y, 7)).to_pydict()
+    assert max(seen) <= 4_000 and len(seen) == 9
+    order = np.argsort(-(x @ y.T), axis=1)[:, :7]
+    assert found["q"] == [i for i in range(90) for _ in range(7)] and found["c"] == order.ravel().tolist()
+
+
+def test_best_of_with_ties_and_gaps():
+    g = np.random.default_rng(9)
+    for x, y in ((g.integers(-2, 3, (40, 3)).astype(float), g.integers(-2, 3, (333, 3)).astype(float)), (g.normal(size=(40, 8)) * 1e6, g.normal(size=(500, 8)))):
+        for hole in (False, True):
+            y = y.copy()
+            if hole:
+                y[5] = np.nan
+            row, col, sim = retrieval.best_of(x, y, 9)
+            sims = np.round(x @ y.T, 12)
+            want = [(i, c) for i in range(40) for c in [c for c in np.lexsort((np.arange(len(y)), -sims[i])) if not np.isnan(sims[i, c])][:9]]
+            assert list(zip(row.tolist(), col.tolist(), strict=True)) == want and (sim == (x @ y.T)[row, col]).all()
+
+
+def test_a_row_of_a_loss_travels_a_few_times(spark, monkeypatch):
+    """Strips of a tile, far apart values, own pairs left out; 5,000 pairs are one tile."""
+    g = np.random.default_rng(10)
+    x, y = g.normal(size=(120, 3)), g.normal(size=(120, 3))
+    x[7] *= 400
+    df = spark.createDataFrame([(i, a.tolist(), b.tolist()) for i, (a, b) in enumerate(zip(x, y, strict=True))], "key long, x array<double>, y array<double>")
+    monkeypatch.setattr(contrastive, "CELLS", 900)
+    for decoupled in (False, True):
+        s = 2 * x @ y.T
+        if decoupled:
+            np.fill_diagonal(s, -np.inf)
+        lse = lambda m: m.max(axis=1) + np.log(np.exp(m - m.max(axis=1, keepdims=True)).sum(axis=1))
+        want = {"x": lse(s), "y": lse(s.T)}
+        got = contrastive.log_sums(df, 2.0, decoupled).collect()
+        assert len(got) == 240 and all(np.isclose(r.lse, want[r.side][r.key], rtol=1e-10) for r in got)
+    many = spark.range(5_000).select(F.col("id").alias("key"), F.array(F.lit(1.0)).alias("x"), F.array(F.lit(1.0)).alias("y"))
+    merged, parts = contrastive.merged_sums, []
+    monkeypatch.setattr(contrastive, "CELLS", 1 << 20)
+    monkeypatch.setattr(contrastive, "merged_sums", lambda p, keys: parts.append(p) or merged(p, keys))
+    contrastive.log_sums(many)
+    assert parts[0].count() == 10_000
