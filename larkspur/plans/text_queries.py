@@ -255,9 +255,9 @@ def _masked(spark, d):
     from larkspur.operators import tokens
 
     rows = turns(spark, d).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
-    both = rows.select("conv_id", tokens.masked_ids("t", lambda text: [ord(c) for c in text]).alias("m"))
-    kept = F.size(F.filter("m.labels", lambda x: x != tokens.IGNORED))
-    return both.select("conv_id", F.size("m.ids").cast("long").alias("ids"), kept.cast("long").alias("labels"))
+    both = tokens.masked_rows(rows, "conv_id", "t", lambda text: [ord(c) for c in text])
+    kept = F.size(F.filter("labels", lambda x: x != tokens.IGNORED))
+    return both.select("conv_id", F.size("ids").cast("long").alias("ids"), kept.cast("long").alias("labels"))
 
 
 #: Named references of HTML, longest match first where several fit, and numbered ones.

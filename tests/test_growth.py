@@ -7,7 +7,7 @@ import pyarrow as pa
 
 from pyspark.sql import functions as F
 
-from larkspur.operators import contrastive, retrieval
+from larkspur.operators import contrastive, retrieval, sentences, subsets, tokens
 from larkspur.sources import sinks, submissions
 
 
@@ -70,3 +70,33 @@ def test_a_row_of_a_loss_travels_a_few_times(spark, monkeypatch):
     monkeypatch.setattr(contrastive, "merged_sums", lambda p, keys: parts.append(p) or merged(p, keys))
     contrastive.log_sums(many)
     assert parts[0].count() == 10_000
+
+
+def test_ids_leave_a_task_in_small_batches(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "HELD", 50)
+    encode = lambda text: [1, *map(ord, text)]
+    talks = [(i, None if i % 9 == 4 else [("user", "q" * (i % 7)), ("assistant", None if i % 5 == 0 else "ab" * (i % 11))]) for i in range(60)]
+    df = spark.createDataFrame(talks, "id long, t array<struct<role:string,text:string>>").coalesce(1)
+    want = {r.id: (r.m.ids, r.m.labels) for r in df.select("id", tokens.masked_ids("t", encode, bos=1).alias("m")).collect()}
+    out = tokens.masked_rows(df, "id", "t", encode, bos=1)
+    assert {r.id: (r.ids, r.labels) for r in out.collect()} == want and out.columns == ["id", "ids", "labels"]
+
+
+def test_places_are_drawn_without_a_shuffle(spark):
+    texts = [(i, " ".join("abcdef"[: 1 + (i + j) % 6] for j in range(i * 3))) for i in range(25)]
+    df = spark.createDataFrame(texts, "id long, text string").select("id", F.expr("filter(split(text, ' '), x -> x <> '')").alias("w"))
+    rows = df.select("id", F.posexplode("w").alias("pos", "word"))
+    want = {(r.id, r.pos) for r in subsets.random_subset(rows, "id", "pos", 0.3, 5, F.length("word") > 2).where("drawn").collect()}
+    out = df.select("id", F.explode(subsets.drawn_places(F.col("w"), F.col("id"), 0.3, 5, lambda w: F.length(w) > 2)).alias("pos"))
+    assert {tuple(r) for r in out.collect()} == want and len(want) > 100
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_statistics_and_ends_from_pieces_as_they_stand(spark):
+    texts = [(1, "Dr. (Who) said: \"go.\"  Now! e.g. x,y; [a.]\n b?) c.d. end"), (2, None), (3, "..."), (4, "a.  a.\u00a0b. A\u3000c.' (d.)]"), (5, "")]
+    df = spark.createDataFrame(texts, "id long, text string")
+    places = sentences.word_places(df, "id", "text")
+    rows = lambda x: sorted(map(str, x.collect()))
+    assert rows(sentences.text_statistics(df, "text")) == rows(sentences.word_statistics(places))
+    found = sentences.ending_places(df, "id", "text")
+    assert rows(found) == rows(places.where("ends <> ''")) and found.schema["at"].dataType == places.schema["at"].dataType
