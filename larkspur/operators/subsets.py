@@ -2,11 +2,14 @@
 
 Of the ``n`` positions of a row that may be drawn, the ``ceil(share * n)`` with the least seeded draws are taken. Rows of a token
 table can be very long, so none is sorted whole: positions fall into slots by the high bits of their draw, slots are
-counted by partial aggregation, and only the slot in which a row's last place lies is ranked.
+counted by partial aggregation, and only the slot in which a row's last place lies is ranked. Words of a text are one value of a row
+already; their positions are drawn in place, and nothing moves.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,3 +37,12 @@ def random_subset(tokens: DataFrame, row: str, position: str, share: float, seed
     edge = met.where("_slot = _last").withColumn("_place", F.row_number().over(Window.partitionBy(row, "_slot").orderBy("_draw", position)))
     sure = met.where("_slot IS NULL OR _last IS NULL OR _slot <> _last").withColumn("drawn", F.coalesce(F.col("_slot") < F.col("_last"), F.lit(False)))
     return sure.select(*tokens.columns, "drawn").unionByName(edge.select(*tokens.columns, (F.col("_place") <= F.col("_left")).alias("drawn")))
+
+
+def drawn_places(words: Column, row: Column, share: float, seed: int, allowed: Callable[[Column], Column]) -> Column:
+    """The drawn positions of an array of words, least draw first: the same as ``random_subset`` draws from its (position, word) table.
+    Eight hexadecimal digits are in the order of their numbers."""
+    free = F.filter(F.transform(words, lambda w, i: F.when(allowed(w), i)), lambda i: i.isNotNull())
+    head = F.concat(F.lit(f"{seed}_"), row.cast("string"), F.lit("_"))
+    draws = F.transform(free, lambda i: F.struct(F.substring(F.md5(F.concat(head, i.cast("string")).cast("binary")), 1, 8).alias("draw"), i.alias("pos")))
+    return F.transform(F.slice(F.sort_array(draws), F.lit(1), F.ceil(F.size(draws) * F.lit(share)).cast("int")), lambda d: d["pos"])
