@@ -33,25 +33,45 @@ def stem(word: Column) -> Column:
 def alignment(hyp: list[str], ref: list[str], beam: int = BEAM) -> tuple[int, int]:
     """(matches, chunks) of the best alignment of equal items."""
     have, own = Counter(ref), Counter(hyp)
-    spare = {w: max(n - have[w], 0) for w, n in own.items()}  # how many of a word stay without a match
-    places: dict[str, list[int]] = {}
+    wide = (len(ref) + 1).bit_length()
+    shift = wide + len(ref)  # bits of a state
+    places: dict[str, list[tuple[int, int, int]]] = {}
     mask = dict.fromkeys(have, 0)
     for j, w in enumerate(ref):
-        places.setdefault(w, []).append(j)
+        places.setdefault(w, []).append((1 << j, j + 1, 1 << j << wide | j + 2))
         mask[w] |= 1 << j
-    states, seen = {(0, -2): 0}, Counter()  # (taken places, place of the word before) to chunks
+    low = (1 << wide) - 1
+    # a state has the taken places above ``wide`` bits, and below the place of the word before and 2, or 0; it has chunks
+    states, seen, apart = {0: 0}, Counter(), True
     for w in hyp:
-        after: dict[tuple[int, int], int] = {}
-        for (taken, last), chunks in states.items():
-            options = [((taken | 1 << j, j), chunks + (j != last + 1)) for j in places.get(w, ()) if not taken >> j & 1]
-            if seen[w] - (taken & mask.get(w, 0)).bit_count() < spare[w]:
-                options.append(((taken, -2), chunks))
-            for state, n in options:
-                if n < after.get(state, 1 << 30):
-                    after[state] = n
+        after: dict[int, int] = {}
+        if w not in places:
+            if not apart:  # else no word before has a place, and nothing changes
+                for state, chunks in states.items():
+                    state &= ~low
+                    if chunks < after.get(state, 1 << 30):
+                        after[state] = chunks
+                states, apart = after, True
+            continue
+        apart, mine, held = False, places[w], mask[w]
+        skips = seen[w] - max(own[w] - have[w], 0)  # so many of it must have a place for one more to stay without
+        for state, chunks in states.items():
+            taken, last = state >> wide, state & low
+            rest = state ^ last
+            for bit, before, to in mine:
+                if not taken & bit:
+                    n = chunks if last == before else chunks + 1
+                    to |= rest
+                    if n < after.get(to, 1 << 30):
+                        after[to] = n
+            if skips < (taken & held).bit_count() and chunks < after.get(rest, 1 << 30):
+                after[rest] = chunks
         seen[w] += 1
-        states = after if len(after) <= beam else dict(sorted(after.items(), key=lambda x: (x[1], x[0]))[:beam])
-    taken, chunks = min(((t.bit_count(), n) for (t, _), n in states.items()), key=lambda x: (-x[0], x[1]))
+        if len(after) > beam:
+            cut = sorted([n << shift | state for state, n in after.items()])[:beam]
+            after = {x & (1 << shift) - 1: x >> shift for x in cut}
+        states = after
+    taken, chunks = min((((s >> wide).bit_count(), n) for s, n in states.items()), key=lambda x: (-x[0], x[1]))
     return taken, chunks
 
 
@@ -63,7 +83,9 @@ def aligned(hyp: pd.Series, ref: pd.Series) -> pd.DataFrame:
 def meteor_exact_stem(pairs: DataFrame) -> DataFrame:
     """(key, matches, chunks, meteor) of (key, ref, hyp)."""
     stems = lambda c: F.transform(words(F.coalesce(F.col(c), F.lit(""))), stem)
-    rows = pairs.select("key", stems("hyp").alias("h"), stems("ref").alias("r"))
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = pairs.select("key", "hyp", "ref").repartition(parts, F.xxhash64("key", "hyp"))  # few bytes, but a search for each: a given number is not coalesced
+    rows = dealt.select("key", stems("hyp").alias("h"), stems("ref").alias("r"))
     met = rows.select("key", F.size("h").alias("h"), F.size("r").alias("r"), aligned("h", "r").alias("a")).select("key", "h", "r", "a.matches", "a.chunks")
     m = F.col("matches")
     p, r = m / F.col("h"), m / F.col("r")

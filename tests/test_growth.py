@@ -1,13 +1,14 @@
 """Steps that must not grow with the whole table, on small cases with small bounds."""
 
 import hashlib
+import time
 
 import numpy as np
 import pyarrow as pa
 
 from pyspark.sql import functions as F
 
-from larkspur.operators import contrastive, retrieval, sentences, subsets, tokens
+from larkspur.operators import contrastive, meteor, retrieval, sentences, subsets, tokens
 from larkspur.sources import sinks, submissions
 
 
@@ -100,3 +101,21 @@ def test_statistics_and_ends_from_pieces_as_they_stand(spark):
     assert rows(sentences.text_statistics(df, "text")) == rows(sentences.word_statistics(places))
     found = sentences.ending_places(df, "id", "text")
     assert rows(found) == rows(places.where("ends <> ''")) and found.schema["at"].dataType == places.schema["at"].dataType
+
+
+def test_alignments_are_dealt_over_all_partitions(spark):
+    rows = [(f"k{i}", "a b c", "b c a" if i % 3 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "key string, ref string, hyp string").groupBy("key").agg(F.first("ref").alias("ref"), F.first("hyp").alias("hyp"))
+    out = meteor.meteor_exact_stem(df).cache()  # tasks of the final plan
+    assert out.count() == 200 and out.agg(F.sum("matches")).first()[0] == 3 * len([r for r in rows if r[2]])
+    assert out.select(F.spark_partition_id().alias("p")).distinct().count() == 4
+
+
+def test_alignments_skip_words_without_a_place():
+    """A word that the reference lacks leaves all states as they are, and costs nothing."""
+    ref, many = [f"w{i}" for i in range(12)] * 2, ["none"] * 20_000
+
+    assert meteor.alignment([*ref[:9], *many, *ref[9:]], ref) == (24, 2)
+    began = time.process_time()
+    meteor.alignment([*ref[:9], *many, *ref[9:]], ref)
+    assert time.process_time() - began < 0.8
