@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.graphs import connected_components
+from larkspur.llm.graphs import connected_components, contracted_components  # noqa: F401  the first for callers from here
 from larkspur.llm.spark_util import arrow_rows, drop_table, give_back_memory, stage_table
 from larkspur.llm.text_arrays import _CODES, U, as_long, mix, sequence_hashes, text_slices, word_hashes
 
@@ -383,7 +383,7 @@ def group_links(points: DataFrame, payload: DataFrame, kind: type, percent: int,
     pivot = F.coalesce(F.pmod(F.xxhash64(F.lit(1), "rep"), F.col("_m")) < PIVOTS, F.lit(False))
     tiles = cut.withColumn("x", F.explode(F.when(pivot, F.sequence(F.lit(0), F.col("_k") - 1)).otherwise(F.array("_x"))))
     first = stage_table(tile_links(tiles.select("key", "x", F.lit(0).alias("y"), "rep", "n", own), payload, kind, percent), "strip-links")
-    joined = stage_table(connected_components(first).toDF("rep", "component"), "strip-components")
+    joined = stage_table(contracted_components(first).toDF("rep", "component"), "strip-components")
     placed = points.join(strips, "key").join(joined, "rep", "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
     placed = stage_table(placed, "strip-points")
     counts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("_c"))
@@ -449,7 +449,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     trees = stage_table(cold.union(hot).toDF("key", "rep", "n"), "shared-routes")
     # what the bounds join, over all trees
     near = group_links(trees, chosen.select("rep", F.col("counts").alias("own")), Points, percent)
-    clusters = connected_components(near).toDF("rep", "key")
+    clusters = contracted_components(near).toDF("rep", "key")
     clusters = stage_table(clusters.join(chosen.select("rep", "n"), "rep").select("key", "rep", "n"), "clusters")
     for table in (chosen, trees, near):
         drop_table(table)
@@ -460,7 +460,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
         sets = stage_table(sets_of(clusters.select("rep"), docs, n), "cluster-sets")
         links = group_links(clusters, sets, Sets, percent)
     drop_table(sets)
-    final = stage_table(connected_components(links.union(own_id)).toDF("_rep", "_component"), "components")
+    final = stage_table(contracted_components(links.union(own_id)).toDF("_rep", "_component"), "components")
     named = classes.join(final, classes["rep"] == final["_rep"], "left").select("d1", "d2", "n_shingles", F.coalesce("_component", "rep").alias("component_id"))
     member = members.join(named, ["d1", "d2", "n_shingles"], "left")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.when(F.col("doc_id").isNotNull(), F.col("component_id")))

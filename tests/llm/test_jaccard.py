@@ -185,3 +185,15 @@ def test_components_go_on_until_nothing_changes(spark, monkeypatch):
     monkeypatch.setattr(graphs, "drop_table", lambda df: None)
     graphs.connected_components(MagicMock())
     assert not tables
+
+
+def test_links_are_contracted_inside_tasks(spark, monkeypatch):
+    """Each round of components writes a table; links that tasks hold together need few."""
+    from larkspur.llm import graphs
+
+    staged, names = graphs.stage_table, []
+    monkeypatch.setattr(graphs, "stage_table", lambda df, name: names.append(name) or staged(df, name))
+    base = [f"w{i}" for i in range(100)]
+    rows = [(k, " ".join([*[f"x{i}" for i in range(3 * k)], *base[3 * k :]])) for k in range(16)]
+    assert got(jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    assert names.count("edges") <= 4
