@@ -18,18 +18,19 @@ def ngrams(tokens: Column, n: int) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(tokens) - n + 1), lambda i: F.array_join(F.slice(tokens, i, n), " "))
 
 
-def ngram_counts(df: DataFrame, text: str, top: int = 4) -> DataFrame:
-    """(key, n, gram, c)."""
-    t = df.select("key", words(F.col(text)).alias("t"))
-    each = F.array(*[F.struct(F.lit(n).alias("n"), F.when(F.size("t") >= n, ngrams(F.col("t"), n)).alias("g")) for n in range(1, top + 1)])
-    rows = t.select("key", F.explode(each).alias("x")).select("key", "x.n", F.explode("x.g").alias("gram"))
-    return rows.groupBy("key", "n", "gram").agg(F.count(F.lit(1)).alias("c"))
+def ngram_counts(df: DataFrame, top: int = 4) -> DataFrame:
+    """(key, n, gram, h, r): how often each n-gram of a key is in its hypotheses and references. Texts move to their key's task
+    once and grams are made and counted there; a given number of partitions is not coalesced to the few that short texts fill."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    t = df.select("key", "hyp", "ref").repartition(parts, "key").select("key", words(F.col("hyp")).alias("h"), words(F.col("ref")).alias("r"))
+    each = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(side == "h").cast("long").alias("h"), F.when(F.size(side) >= n, ngrams(F.col(side), n)).alias("g")) for n in range(1, top + 1) for side in "hr"])
+    rows = t.select("key", F.explode(each).alias("x")).select("key", "x.n", "x.h", F.explode("x.g").alias("gram"))
+    return rows.groupBy("key", "n", "gram").agg(F.sum("h").alias("h"), F.sum(1 - F.col("h")).alias("r"))
 
 
 def bleu(df: DataFrame) -> DataFrame:
     """Corpus BLEU-1 to 4 and their mean."""
-    hyp, ref = ngram_counts(df, "hyp"), ngram_counts(df, "ref").withColumnRenamed("c", "r")
-    clipped = hyp.join(ref, ["key", "n", "gram"], "left").groupBy("n").agg(F.sum(F.least("c", F.coalesce("r", F.lit(0)))).alias("hit"), F.sum("c").alias("all"))
+    clipped = ngram_counts(df).where("h > 0").groupBy("n").agg(F.sum(F.least("h", "r")).alias("hit"), F.sum("h").alias("all"))
     sums = clipped.agg(*[F.coalesce(F.max(F.when(F.col("n") == n, F.col("hit") / F.col("all"))), F.lit(0.0)).alias(f"p{n}") for n in range(1, 5)])
     size = df.agg(F.sum(F.size(words(F.col("hyp")))).alias("h"), F.sum(F.size(words(F.col("ref")))).alias("r"))
     one = sums.crossJoin(size)  # one row each
@@ -70,19 +71,16 @@ def rouge_l(ref: pd.Series, hyp: pd.Series) -> pd.Series:
 
 def cider(df: DataFrame, sigma: float = 6.0) -> DataFrame:
     """(key, cider). Document frequencies come from the references; the product of clipped weights is damped by
-    the difference in bigram counts."""
-    ref, hyp = ngram_counts(df, "ref"), ngram_counts(df, "hyp")
+    the difference in bigram counts. A gram of a key meets its frequency once, with both its counts, and only sums go back."""
+    grams = ngram_counts(df)
     docs = df.agg(F.log(F.count(F.lit(1)).cast("double")).alias("logn"))
-    freq = ref.groupBy("n", "gram").agg(F.count(F.lit(1)).alias("d"))
-    weigh = lambda t: t.join(freq, ["n", "gram"], "left").crossJoin(F.broadcast(docs)).withColumn("w", F.col("c") * (F.col("logn") - F.log(F.greatest(F.coalesce("d", F.lit(1)), F.lit(1)).cast("double"))))  # noqa: E731  docs is one row
-    h, r = weigh(hyp), weigh(ref)
-    length = lambda t, name: t.groupBy("key", "n").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias(f"{name}_norm"), F.sum("c").alias(f"{name}_len"))
-    both = h.select("key", "n", "gram", F.col("w").alias("wh")).join(r.select("key", "n", "gram", F.col("w").alias("wr")), ["key", "n", "gram"])
-    val = both.groupBy("key", "n").agg(F.sum(F.least("wh", "wr") * F.col("wr")).alias("v"))
-    norms = length(h, "h").join(length(r, "r"), ["key", "n"], "full").join(val, ["key", "n"], "left")
-    per = norms.groupBy("key").agg(
-        F.sum(F.coalesce(F.col("v") / F.nullif(F.col("h_norm") * F.col("r_norm"), F.lit(0.0)), F.lit(0.0))).alias("s"),
-        F.sum(F.when(F.col("n") == 2, F.coalesce("h_len", F.lit(0)) - F.coalesce("r_len", F.lit(0))).otherwise(0)).alias("delta"),
-    )
+    freq = grams.where("r > 0").groupBy("n", "gram").agg(F.count(F.lit(1)).alias("d")).where("d > 1")  # any other weighs as one of a single document
+    met = grams.join(freq, ["n", "gram"], "left").crossJoin(F.broadcast(docs))  # docs is one row
+    weight = F.col("logn") - F.log(F.coalesce("d", F.lit(1)).cast("double"))
+    met = met.select("key", "n", (F.col("h") * weight).alias("h"), (F.col("r") * weight).alias("r"))
+    per = met.groupBy("key", "n").agg(F.sum(F.least("h", "r") * F.col("r")).alias("v"), F.sqrt(F.sum(F.col("h") * F.col("h"))).alias("h"), F.sqrt(F.sum(F.col("r") * F.col("r"))).alias("r"))
+    per = per.groupBy("key").agg(F.sum(F.coalesce(F.col("v") / F.nullif(F.col("h") * F.col("r"), F.lit(0.0)), F.lit(0.0))).alias("s"))
+    bigrams = lambda text: F.greatest(F.size(words(F.col(text))) - 1, F.lit(0))
+    per = df.groupBy("key").agg(F.sum(bigrams("hyp") - bigrams("ref")).alias("delta")).join(per, "key", "left")
     damp = F.exp(-F.pow(F.col("delta").cast("double"), F.lit(2.0)) / (2 * sigma * sigma))
     return df.select("key").join(per, "key", "left").select("key", F.coalesce(F.col("s") / 4 * damp * 10, F.lit(0.0)).alias("cider"))

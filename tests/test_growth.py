@@ -1,14 +1,17 @@
 """Steps that must not grow with the whole table, on small cases with small bounds."""
 
 import hashlib
+import math
+import re
 import time
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 
 from pyspark.sql import functions as F
 
-from larkspur.operators import contrastive, meteor, retrieval, sentences, subsets, tokens
+from larkspur.operators import contrastive, meteor, retrieval, sentences, subsets, text_metrics, tokens
 from larkspur.sources import sinks, submissions
 
 
@@ -119,3 +122,28 @@ def test_alignments_skip_words_without_a_place():
     began = time.process_time()
     meteor.alignment([*ref[:9], *many, *ref[9:]], ref)
     assert time.process_time() - began < 0.8
+
+
+def test_grams_move_once_for_their_frequency(spark):
+    rows = [("a", "x y z x y", "x y q"), ("a", "x y", None), ("b", "x y z", "x y z"), ("c", None, "u v"), ("d", "", ""), (None, "x y", "x y"), ("e", "z x", "z x z x z")]
+    df = spark.createDataFrame(rows, "key string, ref string, hyp string")
+    grams = lambda text, n: [tuple(t[i : i + n]) for t in [(text or "").split()] for i in range(len(t) - n + 1)]
+    count = lambda side: {k: Counter((n, g) for r in rows if r[0] == k for n in range(1, 5) for g in grams(r[side], n)) for k, _, _ in rows}
+    ref, hyp = count(1), count(2)
+    held = Counter(g for c in ref.values() for g in c)
+    weigh = lambda c, n: {g: x * (math.log(len(rows)) - math.log(max(held[g], 1))) for g, x in c.items() if g[0] == n}
+
+    def one(k):
+        out = 0.0
+        for n in range(1, 5):
+            h, r = weigh(hyp[k], n), weigh(ref[k], n)
+            norm = math.sqrt(sum(x * x for x in h.values())) * math.sqrt(sum(x * x for x in r.values()))
+            out += sum(min(h[g], r[g]) * r[g] for g in h if g in r) / norm if norm else 0.0
+        delta = sum(x for g, x in hyp[k].items() if g[0] == 2) - sum(x for g, x in ref[k].items() if g[0] == 2)
+        return 0.0 if k is None else out / 4 * math.exp(-(delta**2) / 72) * 10
+
+    out = text_metrics.cider(df)
+    assert sorted((str(r.key), round(r.cider, 9)) for r in out.collect()) == sorted((str(k), round(one(k), 9)) for k, _, _ in rows)
+    for plan in (out, text_metrics.bleu(df)):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"Exchange hashpartitioning\(key#\d+, n#\d+, gram#", text)
