@@ -2,17 +2,56 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larkspur.operators.ranks import global_rank
 
+#: Fixed values of MD5.
+SINES = np.array([int(abs(math.sin(k + 1)) * 2**32) for k in range(64)], np.uint32)
+TURNS = np.array([7, 12, 17, 22] * 4 + [5, 9, 14, 20] * 4 + [4, 11, 16, 23] * 4 + [6, 10, 15, 21] * 4, np.uint32)
+
 
 def draw(*parts: Column | str) -> Column:
     """An integer below 2**32 from the md5 of the parts."""
     return F.conv(F.substring(F.md5(F.concat_ws("_", *parts).cast("binary")), 1, 8), 16, 10).cast("long")
 
 
+def md5_heads(prefix: bytes, numbers: np.ndarray) -> np.ndarray:
+    """``draw`` of a short prefix and the decimal digits of each number, for all at once: MD5 of messages of one block."""
+    n, start, length = len(numbers), len(prefix), np.ones(len(numbers), np.int64)
+    for power in range(1, len(str(int(numbers.max(initial=0))))):
+        length += numbers >= 10**power
+    block, each, rest = np.zeros((n, 64), np.uint8), np.arange(n), numbers.astype(np.int64)
+    block[:, :start] = np.frombuffer(prefix, np.uint8)
+    for d in range(int(length.max(initial=0))):
+        has = length > d
+        block[each[has], start + length[has] - 1 - d] = 48 + rest[has] % 10
+        rest = rest // 10
+    block[each, start + length] = 128
+    words = np.ascontiguousarray(block.view("<u4").T).astype(np.uint32)
+    words[14] = (start + length) * 8
+    first = np.uint32(0x67452301)
+    a, b, c, d = (np.full(n, x, np.uint32) for x in (first, 0xEFCDAB89, 0x98BADCFE, 0x10325476))
+    for k in range(64):
+        if k < 16:
+            mixed, at = d ^ (b & (c ^ d)), k
+        elif k < 32:
+            mixed, at = c ^ (d & (b ^ c)), 5 * k + 1
+        elif k < 48:
+            mixed, at = b ^ c ^ d, 3 * k + 5
+        else:
+            mixed, at = c ^ (b | ~d), 7 * k
+        mixed = mixed + a + SINES[k] + words[at % 16]
+        a, d, c, b = d, c, b, b + ((mixed << TURNS[k]) | (mixed >> (np.uint32(32) - TURNS[k])))
+    return (a + first).byteswap().astype(np.int64)
+
+
 def numbered(df: DataFrame, order: str, out: str = "pos") -> DataFrame:
     """0-based positions by ``order``."""
     return global_rank(df, F.col(order), out)
@@ -20,8 +59,18 @@ def numbered(df: DataFrame, order: str, out: str = "pos") -> DataFrame:
 
 def drawn_positions(spark: SparkSession, n: int, rounds: int) -> DataFrame:
     """(round, i, pos): ``n`` positions below ``n`` for each round, made where they are used."""
-    draws = spark.range(rounds * n).select(F.expr(f"id div {max(n, 1)}").alias("round"), (F.col("id") % max(n, 1)).alias("i"))
-    return draws.withColumn("pos", F.pmod(draw(F.col("round").cast("string"), F.col("i").cast("string")), F.lit(n)))
+    whole, n = n > 0, max(n, 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(0).to_numpy()
+            b, i = at // n, at % n
+            cuts = np.flatnonzero(np.diff(b)) + 1
+            heads = [md5_heads(b"%d_" % x[0], y) for x, y in zip(np.split(b, cuts), np.split(i, cuts), strict=True) if len(x)]
+            pos = np.concatenate([np.zeros(0, np.int64), *heads]) % n
+            yield pa.RecordBatch.from_arrays([pa.array(b), pa.array(i), pa.array(pos)], ["round", "i", "pos"])
+
+    return spark.range(rounds * n if whole else 0).mapInArrow(run, "round long, i long, pos long")
 
 
 def bootstrap_rows(spark: SparkSession, rows: DataFrame, n: int, rounds: int) -> DataFrame:
@@ -31,10 +80,16 @@ def bootstrap_rows(spark: SparkSession, rows: DataFrame, n: int, rounds: int) ->
 
 def bootstrap_metrics(spark: SparkSession, rows: DataFrame, n: int, rounds: int) -> DataFrame:
     """W3 with the metrics of each label and round: (label, round, auroc, f1, accuracy, precision). ``rows``: (pos, label, y,
-    score, yhat) with the same positions 0 to ``n - 1`` for each label. Draws are counted before they meet the rows, and
-    what is ordered are the distinct scores of a round; a round without both classes has no AUROC."""
-    drawn = drawn_positions(spark, n, rounds).groupBy("round", "pos").agg(F.count(F.lit(1)).alias("w"))
-    cells = drawn.join(rows, "pos").groupBy("label", "round", "score", "yhat").agg(F.sum(F.col("w") * F.col("y")).alias("p"), F.sum(F.col("w") * (1 - F.col("y"))).alias("q"))
+    score, yhat) with the same positions 0 to ``n - 1`` for each label. Draws move once, to the rows, and are counted there for all
+    labels together; what is ordered are the distinct scores of a round; a round without both classes has no AUROC."""
+    drawn = drawn_positions(spark, n, rounds).select("round", "pos")
+    each = rows.groupBy("pos").agg(F.array_sort(F.collect_list(F.struct("label", "score", "yhat", "y"))).alias("of"))  # a row for each label
+    kinds = each.groupBy("of").agg(F.min("pos").alias("kind"))  # equal rows are one kind, named by the least position
+    known = each.join(kinds, "of").select("pos", "kind")
+    counts = drawn.join(known.hint("shuffle_hash"), "pos").groupBy("round", "kind").agg(F.count(F.lit(1)).alias("w"))
+    met = counts.join(kinds, "kind").select("round", "w", F.explode("of").alias("x"))
+    met = met.select("round", "w", "x.label", "x.score", "x.yhat", "x.y")
+    cells = met.groupBy("label", "round", "score", "yhat").agg(F.sum(F.col("w") * F.col("y")).alias("p"), F.sum(F.col("w") * (1 - F.col("y"))).alias("q"))
     below = Window.partitionBy("label", "round").orderBy("score").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     cells = cells.withColumn("lower", F.sum("q").over(below))
     same = Window.partitionBy("label", "round", "score")

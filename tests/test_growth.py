@@ -11,7 +11,7 @@ import pyarrow as pa
 
 from pyspark.sql import functions as F
 
-from larkspur.operators import contrastive, meteor, retrieval, sentences, subsets, text_metrics, tokens
+from larkspur.operators import contrastive, meteor, resampling, retrieval, sentences, subsets, text_metrics, tokens
 from larkspur.sources import sinks, submissions
 
 
@@ -147,3 +147,16 @@ def test_grams_move_once_for_their_frequency(spark):
     for plan in (out, text_metrics.bleu(df)):
         text = plan._jdf.queryExecution().executedPlan().toString()
         assert not re.search(r"Exchange hashpartitioning\(key#\d+, n#\d+, gram#", text)
+
+
+def test_draws_are_made_for_many_at_once_and_move_once(spark):
+    numbers = np.array([0, 7, 9, 10, 99, 100, 12_345, 10**9, 10**15 - 1, 3])
+    for prefix in (b"0_", b"999_"):
+        assert resampling.md5_heads(prefix, numbers).tolist() == [int(hashlib.md5(b"%s%d" % (prefix, i)).hexdigest()[:8], 16) for i in numbers]
+    got = {(r.round, r.i): r.pos for r in resampling.drawn_positions(spark, 13, 40).collect()}
+    want = spark.range(40 * 13).select(F.expr("id div 13").alias("b"), (F.col("id") % 13).alias("i"))
+    want = want.withColumn("p", resampling.draw(F.col("b").cast("string"), F.col("i").cast("string")) % 13)
+    assert got == {(r.b, r.i): r.p for r in want.collect()} and resampling.drawn_positions(spark, 0, 3).count() == 0
+    rows = spark.createDataFrame([(p, x, p % 2, p / 7, p % 3 // 2) for p in range(13) for x in "ab"], "pos long, label string, y int, score double, yhat int")
+    plan = resampling.bootstrap_metrics(spark, rows, 13, 40)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(round#" in plan and not re.search(r"hashpartitioning\(round#\d+L, pos#", plan)
