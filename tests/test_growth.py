@@ -1,5 +1,6 @@
 """Steps that must not grow with the whole table, on small cases with small bounds."""
 
+import contextlib
 import hashlib
 import math
 import re
@@ -8,10 +9,11 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 
 from pyspark.sql import functions as F
 
-from larkspur.operators import contrastive, meteor, resampling, retrieval, sentences, subsets, text_metrics, tokens
+from larkspur.operators import contrastive, merges, meteor, resampling, retrieval, sentences, subsets, text_metrics, tokens
 from larkspur.sources import sinks, submissions
 
 
@@ -160,3 +162,31 @@ def test_draws_are_made_for_many_at_once_and_move_once(spark):
     rows = spark.createDataFrame([(p, x, p % 2, p / 7, p % 3 // 2) for p in range(13) for x in "ab"], "pos long, label string, y int, score double, yhat int")
     plan = resampling.bootstrap_metrics(spark, rows, 13, 40)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(round#" in plan and not re.search(r"hashpartitioning\(round#\d+L, pos#", plan)
+
+
+def test_words_of_documents_make_no_rows(spark, monkeypatch):
+    """Blocks of a few documents; ids that the vocabulary lacks; white space of all kinds, empty and null texts and a null key."""
+    ranked = spark.createDataFrame([("a", "b</w>", 0), ("a", "b", 1), ("ab", "c</w>", 2), ("a", "a", 3)], "left string, right string, rank int")
+    ids = {"ab</w>": 1, "abc</w>": 2, "aa": 3, "a</w>": 4, "1</w>": 5, "'": 6, "s</w>": 7, "a": 8, "<|endoftext|>": 9}
+    vocabulary = spark.createDataFrame(list(ids.items()), "symbol string, id int")
+    told = {"ab": [1], "abc": [2], "aaaaa": [3, 3, 4], "1": [5], "'s": [6, 7], "<|endoftext|>": [9], "a?": [4, None], "12": [5, None]}
+    many = ["ab", "abc", "1", "aaaaa"] * 250
+    texts = [many, many[::-1]] * 6 + [["ab's", "a?"], ["\u2003", "ab\u00a0abc\u0085", "\n"], [" \t"], [], ["12", "1<|endoftext|>ab"]]
+    parts = {"ab's": ["ab", "'s"], "ab\u00a0abc\u0085": ["ab", "abc"], "1<|endoftext|>ab": ["1", "<|endoftext|>", "ab"]}
+    rows = [(None if i == 3 else i, " ".join(w)) for i, w in enumerate(texts)] + [(99, None)]
+    want = {k: [x for w in own for part in parts.get(w, [w]) for x in told.get(part, [])] for (k, _), own in zip(rows, [*texts, []], strict=True)}
+    monkeypatch.setattr(merges, "BLOCK", 9_000, raising=False)
+    context = spark.sparkContext._jsc.sc()
+    first = context.dagScheduler().nextStageId()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as in large tables
+    try:
+        got = merges.encode(spark.createDataFrame(rows, "id long, text string"), "id", "text", ranked, vocabulary).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(got) == len(rows) and {r.id: r.ids for r in got} == want
+    context.listenerBus().waitUntilEmpty()
+    moved = 0
+    for stage in range(first, context.dagScheduler().nextStageId()):
+        with contextlib.suppress(Py4JJavaError):  # a stage that was skipped
+            moved += context.statusStore().lastStageAttempt(stage).shuffleWriteRecords()
+    assert 0 < moved < 2_000
