@@ -25,7 +25,7 @@ from pyspark.sql.types import StructField, StructType
 from larkspur.staging import dropped, staged
 
 # Fixed value: the words of the encoding, contractions apart. Every character but white space is in one.
-WORDS = r"<\|startoftext\|>|<\|endoftext\|>|'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+WORDS = r"[\p{L}]++|[\p{N}]|<\|startoftext\|>|<\|endoftext\|>|'(?:[stmd]|re|ve|ll)|[^\s\p{L}\p{N}]++"
 #: Words that stand for themselves.
 WHOLE = ("<|startoftext|>", "<|endoftext|>")
 END = "</w>"
@@ -43,8 +43,8 @@ def byte_characters() -> list[str]:
 
 
 def words_of(text: Column) -> Column:
-    """The words of cleaned text, in order, as one string with a space after each; text without words may give a space."""
-    return F.regexp_replace(F.coalesce(text, F.lit("")), rf"(?iU)\s*({WORDS})\s*|\s+", "$1 ")
+    """The words of cleaned text, in order, as one string with a space after each; white space before them is one space."""
+    return F.regexp_replace(F.coalesce(text, F.lit("")), rf"(?iU)({WORDS})\s*+|\s++", "$1 ")
 
 
 def first_symbols(word: Column, end: str = END) -> Column:
