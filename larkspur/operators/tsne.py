@@ -1,6 +1,6 @@
 """V8, t-SNE of latents: affinities over near neighbours, repulsion through grid cells, iterations as staged tables.
 
-* **Affinities.** Every row keeps its ``3 * perplexity`` nearest rows. Its bandwidth is bisected on the JVM until
+* **Affinities.** Every row keeps its ``3 * perplexity`` nearest rows in arrays. Its bandwidth is bisected in Arrow batches until
   the entropy of its neighbours is that of the perplexity. What is then symmetric is an edge table of at most
   ``6 * perplexity`` edges a row; there is no table of all pairs.
 * **Attraction** of a row is a sum over its edges: two joins of the edge table to the positions.
@@ -18,60 +18,71 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.operators.resampling import draw
-from larkspur.operators.retrieval import dot, top_k
+from larkspur.operators.retrieval import nearest
 from larkspur.staging import dropped, staged
 
 #: Cells of a side of the grid, about.
 GRID = 96
 BISECTIONS = 60
+#: Rows that are bisected at once.
+BISECTED = 512
 
 
 def neighbour_distances(vectors: DataFrame, k: int) -> DataFrame:
-    """(i, j, d2): squared distances of the ``k`` nearest rows of each row of ``vectors`` (id, v), itself left out."""
-    v = F.col("v").cast("array<double>")
-    rows = vectors.where("v IS NOT NULL").select("id", v.alias("v"))
-    ask = rows.select("id", F.concat(F.transform("v", lambda x: 2 * x), F.array(F.lit(-1.0))).alias("v"))
-    other = rows.select("id", F.concat("v", F.array(dot(F.col("v"), F.col("v")))).alias("v"))  # 2 xy - y^2 falls as the distance grows
-    found = top_k(ask, other, k + 1).where("q <> c").where(F.col("rank") <= k + 1)
-    own = rows.select(F.col("id").alias("q"), dot(F.col("v"), F.col("v")).alias("_xx"))
-    return found.join(own, "q").select(F.col("q").alias("i"), F.col("c").alias("j"), F.greatest(F.col("_xx") - F.col("sim"), F.lit(0.0)).alias("d2"), F.col("rank"))
+    """(q, c, sim): arrays of the ``k + 1`` nearest rows of each row of ``vectors`` (id, v), mostly with itself, and their negative squared distances."""
+    rows = vectors.where("v IS NOT NULL").select("id", "v")
+    return nearest(rows, rows, k + 1, "distance")
 
 
-def _weights(distances: Column, beta: Column) -> Column:
-    return F.transform(distances, lambda d: F.exp(-beta * d))
+def bisected(d: np.ndarray, there: np.ndarray, perplexity: float) -> np.ndarray:
+    """Probabilities of each row of ``d`` (distances above the least; only where ``there``) with an entropy of ``log(perplexity)``."""
+    lo, hi = np.full(len(d), -30.0), np.full(len(d), 30.0)
+    for _ in range(BISECTIONS):
+        middle = (lo + hi) / 2
+        beta = np.exp(middle)
+        w = np.exp(-beta[:, None] * d) * there
+        total = w.sum(axis=1)
+        wide = np.log(total) + beta * (w * d).sum(axis=1) / total > np.log(perplexity)
+        lo, hi = np.where(wide, middle, lo), np.where(wide, hi, middle)
+    w = np.exp(-np.exp((lo + hi) / 2)[:, None] * d) * there
+    return w / w.sum(axis=1, keepdims=True)
 
 
-def _total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda s, x: s + x)
+def conditional_affinities(near: DataFrame, perplexity: float) -> DataFrame:
+    """(i, j, p): each row with arrays of its neighbours and of their probabilities, whose entropy is ``log(perplexity)``, or all equal if there are too few."""
 
-
-def conditional_affinities(distances: DataFrame, perplexity: float) -> DataFrame:
-    """(i, j, p): each row's neighbours with probabilities whose entropy is ``log(perplexity)``, or all equal if there are too few."""
-    near = distances.groupBy("i").agg(F.array_sort(F.collect_list(F.struct("rank", "j", "d2"))).alias("n"), F.min("d2").alias("least"))  # as many as a row has neighbours
-    rows = staged(near.select("i", F.col("n.j").alias("j"), F.transform("n", lambda x: x["d2"] - F.col("least")).alias("d")), "tsne-distances")  # kept, so that a step doesn't make them again
-
-    def halve(state: Column, _: Column) -> Column:
-        beta = F.exp((state["lo"] + state["hi"]) / 2)
-        sums = F.aggregate("d", F.struct(F.lit(0.0).alias("w"), F.lit(0.0).alias("wd")), lambda s, d: F.struct((s["w"] + F.exp(-beta * d)).alias("w"), (s["wd"] + d * F.exp(-beta * d)).alias("wd")), lambda s: F.log(s["w"]) + beta * s["wd"] / s["w"])
-        middle, wide = (state["lo"] + state["hi"]) / 2, sums > float(np.log(perplexity))
-        return F.struct(F.when(wide, middle).otherwise(state["lo"]).alias("lo"), F.when(wide, state["hi"]).otherwise(middle).alias("hi"))
-
-    start = F.struct(F.lit(-30.0).alias("lo"), F.lit(30.0).alias("hi"))
-    widths = staged(rows.select("i", "j", "d", F.aggregate(F.sequence(F.lit(1), F.lit(BISECTIONS)), start, halve, lambda s: F.exp((s["lo"] + s["hi"]) / 2)).alias("beta")), "tsne-widths")
-    weighted = staged(widths.select("i", "j", _weights(F.col("d"), F.col("beta")).alias("w")), "tsne-weights")
-    each = weighted.select("i", _total(F.col("w")).alias("s"), F.explode(F.arrays_zip("j", "w")).alias("e"))
-    return each.select("i", "e.j", (F.col("e.w") / F.col("s")).alias("p"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, BISECTED):
+                q, c, sim = batch.slice(low, BISECTED).columns
+                row = np.repeat(np.arange(len(q)), pc.list_value_length(c).to_numpy())
+                other = pc.not_equal(c.flatten(), q.take(pa.array(row)))
+                row, j, d2 = row[other.to_numpy(zero_copy_only=False)], c.flatten().filter(other), np.maximum(-sim.flatten().filter(other).to_numpy(), 0.0)
+                n = np.bincount(row, minlength=len(q))
+                some = np.flatnonzero(n)
+                there = np.arange(n.max(initial=0)) < n[some, None]
+                d = np.full(there.shape, np.inf)
+                d[there] = d2
+                d = np.where(there, d - d.min(axis=1, keepdims=True), 0.0) if len(some) else d
+                ends = pa.array(np.concatenate([[0], np.cumsum(n[some])]), pa.int32())
+                lists = (pa.ListArray.from_arrays(ends, x) for x in (j, pa.array(bisected(d, there, perplexity)[there])))
+                yield pa.RecordBatch.from_arrays([q.take(pa.array(some)), *lists], ["i", "j", "p"])
+
+    kind = near.schema["q"].dataType.simpleString()
+    return near.mapInArrow(run, f"i {kind}, j array<{kind}>, p array<double>")
 
 
 def affinities(vectors: DataFrame, perplexity: float = 30.0) -> DataFrame:
     """(i, j, p): the symmetric affinities of ``vectors`` (id, v), which sum up to 1."""
     own = staged(conditional_affinities(neighbour_distances(vectors, round(3 * perplexity)), perplexity), "tsne-conditional")
-    both = own.unionByName(own.select(F.col("j").alias("i"), F.col("i").alias("j"), "p"))
-    total = own.agg(F.sum("p").alias("n"))  # one row
+    each = own.select("i", F.explode(F.arrays_zip("j", "p")).alias("e")).select("i", "e.j", "e.p")
+    both = own.select("i", F.explode(F.arrays_zip("j", "p")).alias("e")).select(F.explode(F.array(F.struct("i", "e.j", "e.p"), F.struct(F.col("e.j").alias("i"), F.col("i").alias("j"), "e.p"))).alias("e")).select("e.*")
+    total = each.agg(F.sum("p").alias("n"))  # one row
     return both.groupBy("i", "j").agg(F.sum("p").alias("p")).crossJoin(F.broadcast(total)).select("i", "j", (F.col("p") / (2 * F.col("n"))).alias("p"))
 
 

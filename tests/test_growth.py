@@ -55,6 +55,43 @@ def test_best_of_with_ties_and_gaps():
             assert list(zip(row.tolist(), col.tolist(), strict=True)) == want and (sim == (x @ y.T)[row, col]).all()
 
 
+def test_a_search_scores_few_cells_in_double_precision(monkeypatch):
+    """Packets in any order; only the first of them go to best_of, unless values are odd, tied or missing."""
+    g = np.random.default_rng(12)
+    plain = retrieval.best_of
+    for kind in ("plain", "ties", "large", "copies"):
+        x, y = g.normal(size=(50, 8)), g.normal(size=(3_000, 8))
+        if kind == "ties":
+            x, y = np.round(x), np.round(y)
+        elif kind == "large":
+            y[7] *= 1e30
+        elif kind == "copies":
+            y[:] = y[0]
+        seen = []
+        monkeypatch.setattr(retrieval, "best_of", lambda a, b, k, seen=seen: seen.append(len(a) * len(b)) or plain(a, b, k))
+        monkeypatch.setattr(retrieval, "CELLS", 10_000)
+        best, order = retrieval.Best(x, 9), g.permutation(3_000)
+        for low in range(0, 3_000, 200):
+            best.meet(pa.array(order[low : low + 200]), y[order[low : low + 200]])
+            assert best.held <= best.most
+        got = pa.Table.from_batches(best.batches(pa.array(range(50)), np.zeros(50)))
+        sims = np.round(x @ y.T, 12)
+        assert got["q"].to_pylist() == list(range(50)) and got["c"].to_pylist() == [np.lexsort((np.arange(3_000), -s))[:9].tolist() for s in sims]
+        assert kind != "plain" or sum(seen) <= 50 * 3_000 / 2
+
+
+def test_nearest_gives_a_row_for_each_query(spark, monkeypatch):
+    monkeypatch.setattr(retrieval, "QUERY_BLOCK", 40)
+    monkeypatch.setattr(retrieval, "PACKET", 30)
+    v = np.random.default_rng(13).normal(size=(700, 4))
+    v[5] = v[6]
+    rows = spark.createDataFrame([*((f"r{i:03}", x.tolist()) for i, x in enumerate(v)), ("none", None), ("gap", [1.0, None, 0.0, 0.0])], "id string, v array<double>").repartition(3)
+    got = {r.q: (r.c, r.sim) for r in retrieval.nearest(rows, rows, 7, "distance").collect()}
+    d2 = ((v[:, None] - v[None]) ** 2).sum(axis=2)
+    order = [np.lexsort((np.arange(700), np.round(d, 9)))[:7] for d in d2]
+    assert len(got) == 700 and all(got[f"r{i:03}"][0] == [f"r{j:03}" for j in order[i]] and np.allclose(got[f"r{i:03}"][1], -d2[i][order[i]]) for i in range(700))
+
+
 def test_a_row_of_a_loss_travels_a_few_times(spark, monkeypatch):
     """Strips of a tile, far apart values, own pairs left out; 5,000 pairs are one tile."""
     g = np.random.default_rng(10)
