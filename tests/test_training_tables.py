@@ -73,6 +73,50 @@ def test_affinities_of_few_and_equal_rows(spark):
     assert tsne.layout(tsne.affinities(few.where("id < 0"), 5.0), iterations=2).count() == 0
 
 
+def test_steps_of_many_blocks_equal_exact_ones(spark, monkeypatch):
+    """Edges between blocks, a hub that oscillates far out, and rows outside of the grid."""
+    monkeypatch.setattr(tsne, "BLOCK", 60)
+    monkeypatch.setattr(tsne, "FAR", 15)
+    x = np.random.default_rng(3).normal(size=(200, 8))
+    p = plain_affinities(x, 10.0)
+    p[0, 1:] = p[1:, 0] = 0.002
+    p /= p.sum()
+    edges = spark.createDataFrame([(int(i) * 7, int(j) * 7, float(p[i, j])) for i, j in zip(*np.nonzero(p), strict=True)], "i long, j long, p double")
+    start = {r.id: (r.x, r.y) for r in tsne.start_positions(edges.select(F.col("i").alias("id")).distinct(), 41).collect()}
+    y = np.array([start[7 * i] for i in range(200)])
+    v, g = np.zeros((200, 2)), np.ones((200, 2))
+    for i in range(12):
+        away = y[:, None] - y[None]
+        w = 1 / (1 + (away**2).sum(axis=2))
+        z = w.sum() - 200
+        slope = 4 * (((12.0 if i < 8 else 1.0) * p * w - w * w / z)[:, :, None] * away).sum(axis=1)
+        g = np.maximum(np.where(slope * v < 0, g + 0.2, g * 0.8), 0.01)
+        v = (0.5 if i < 8 else 0.8) * v - 50.0 * g * slope
+        y = y + v
+    got = {r.id: (r.x, r.y) for r in tsne.layout(edges, iterations=12, exaggerated=8, rate=50.0).collect()}
+    assert len(got) == 200 and np.abs(np.array([got[7 * i] for i in range(200)]) - y).max() < 1e-3 * np.abs(y).max()
+
+
+def test_repulsion_is_near_the_exact_one_with_rows_far_out():
+    g = np.random.default_rng(4)
+    for scale, n in ((1e-4, 5_000), (0.1, 5_000), (30.0, 6_000)):
+        x, y = g.normal(size=(2, n)) * scale
+        x[:60] *= 500
+        rings = np.frombuffer(tsne._weighed(tsne.Grid(1.0), 0, x, y)[0], "<i8")
+        grid = tsne.Grid(tsne._best_half(rings))
+        inside = grid.inside(x, y)
+        push, pushed, z = grid.potentials(grid.weights(x[inside], y[inside]), n, np.stack([x[~inside], y[~inside]]))
+        got = np.zeros((2, n))
+        got[:, ~inside] = pushed
+        for node, share in grid.shares(x[inside], y[inside]):
+            got[:, inside] += share * push[:, node]
+        d = np.stack([x[:, None] - x, y[:, None] - y])
+        k = 1 / (1 + (d**2).sum(axis=0))
+        want = (d * k**2).sum(axis=2)
+        assert z == pytest.approx(k.sum() - n, rel=1e-3) and rings.sum() == n and (~inside).sum() <= tsne.FAR
+        assert np.sqrt(((got - want) ** 2).sum() / (want**2).sum()) < (1e-3 if scale < 1 else 0.03)
+
+
 def test_the_query_makes_all_steps_of_the_reference(spark, sf_dir, monkeypatch):
     seen = []
     monkeypatch.setattr(tsne, "layout", lambda edges, iterations, exaggerated: seen.append((iterations, exaggerated)) or spark.createDataFrame([(1, 0.0, 0.0)], "id long, x double, y double"))
