@@ -5,8 +5,8 @@
   ``6 * perplexity`` edges a row; there is no table of all pairs.
 * **Attraction** of a row is a sum over its edges. Rows are dealt to blocks; the edges between two blocks are one row of
   packed numbers (a tile), made once and cached where their block's step is. A step sends positions only, 16 bytes a row to each block.
-* **Repulsion** is a convolution. Rows give their weight to the nodes of a grid, the driver convolves the grid (it never
-  sees rows; at most about ``MOST_STEPS`` nodes a side), and rows take the potential of the nodes around them.
+* **Repulsion** is a convolution. Rows give their weight to the nodes of a grid, the driver convolves the grid (at most about
+  ``MOST_STEPS`` nodes a side), and rows take the potential of the nodes around them. At most ``FAR`` rows outside of the grid come to the driver.
 * A step (momentum, gains) writes the next table of positions; a lost executor costs one step.
 
 Rows with a null vector take no part; rows that are equal stay apart by their seeded starts.
